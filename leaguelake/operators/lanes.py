@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from leaguelake.scale import stored, task_rows
 
-LANE, KIND, CARRY_N = "__lane", "__kind", "__carry_n"
+LANE, KIND = "__lane", "__kind"
+CARRIED = "__carried_"  # prefix of the carried totals
+CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
 SLOTS = 1 << 20  # lanes one day of one entity can be cut into
 
@@ -105,7 +107,7 @@ class Lanes:
         """Drop the neighbour rows and the helper columns."""
         if not self.split:
             return df
-        helpers = [c for c in df.columns if c.startswith("__")]
+        helpers = [c for c in df.columns if c in (LANE, KIND) or c.startswith(CARRIED)]
         return df.where(self.is_own).drop(*helpers)
 
 
@@ -139,7 +141,7 @@ def enter(
 
 
 def _carry(value: str) -> str:
-    return f"__carry_{value}"
+    return CARRIED + value
 
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -233,6 +235,7 @@ def _edges(rows: DataFrame, tl: Timeline, n: int, kind: int) -> DataFrame:
     lanes = Window.partitionBy(*tl.entity).orderBy(F.col(LANE).desc() if earlier else F.col(LANE))
     near = F.flatten(F.collect_list("__edge").over(lanes.rowsBetween(1, n)))
     return (
-        edge.select(*keys, F.explode(F.slice(near, 1, n)).alias("__row"))
+        edge.select(*keys, near.alias("__near"))
+        .select(*keys, F.explode(F.slice("__near", 1, n)).alias("__row"))
         .select(*keys, F.lit(kind).alias(KIND), *[F.col(f"__row.{c}").alias(c) for c in payload])
     )
