@@ -252,7 +252,7 @@ def doc_json_keep_nulls(spark, sf):
 def sink_bulk_ndjson(spark, sf):
     """The export written and read back as lines: action and document lines alternate."""
     path = scratch_path(spark, "bulk")
-    matches = _matches(spark, sf)
+    matches = stored(_matches(spark, sf), "matches")
     documents.write_bulk(matches, path, "match_metrics")
     documents.write_bulk(matches, path, "match_metrics")
     lines = spark.read.text(path)

@@ -90,18 +90,16 @@ def histogram(
 
 def ranges(df: DataFrame, value: str, edges: Sequence[float], metrics: Metrics) -> DataFrame:
     """Half-open ranges between ``edges``; the last one includes its upper end."""
-    pairs = list(zip(edges[:-1], edges[1:], strict=True))
+    pairs = [(float(a), float(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     col = F.col(value)
     start = F.lit(None).cast("double")
     for low, high in reversed(pairs):
-        inside = (col >= low) & ((col <= high) if high == edges[-1] else (col < high))
-        start = F.when(inside, F.lit(float(low))).otherwise(start)
+        inside = (col >= low) & ((col <= high) if high == float(edges[-1]) else (col < high))
+        start = F.when(inside, F.lit(low)).otherwise(start)
     found = df.select("*", start.alias("range_from")).where("range_from is not null")
     counted = found.groupBy("range_from").agg(*_named(metrics))
-    spark = df.sparkSession
-    every = spark.createDataFrame(
-        [(float(a), float(b)) for a, b in pairs], "range_from double, range_to double"
-    )
+    rows = [F.struct(F.lit(a).alias("range_from"), F.lit(b).alias("range_to")) for a, b in pairs]
+    every = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
     return every.join(counted, "range_from", "left").select("range_from", "range_to", *metrics)
 
 

@@ -29,6 +29,7 @@ CARRIED = "__carried_"  # prefix of the carried totals
 CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
 SLOTS = 1 << 20  # lanes one day of one entity can be cut into
+FINER = 4
 
 
 @dataclass(frozen=True)
@@ -163,32 +164,34 @@ def _lane_plan(df: DataFrame, tl: Timeline, limit: int) -> DataFrame | None:
         return None
     # Proven bound: every key listed has more than `limit` rows, so there are < rows / limit keys.
     keys = F.broadcast(_renamed(hot.select(*entity), "__h_"))
+    ends = F.percentile_approx(tl.position, [0.01, 0.99], 1000)
     days = (
         df.join(keys, _matches(entity, "__h_"), "left_semi")
         .groupBy(*entity, tl.day)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(tl.position).alias("lo"),
-            F.max(tl.position).alias("hi"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), ends.alias("ends"))
     )
     earlier = Window.partitionBy(*entity).orderBy(tl.day).rowsBetween(Window.unboundedPreceding, -1)
     rows_before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    pieces = F.ceil(F.col("n") / F.lit(limit))
+    low, high = F.get("ends", F.lit(0)), F.get("ends", F.lit(1))
+    # Positions need not be evenly spread, so a day too large is cut finer than its size asks for.
+    pieces = F.least(F.ceil(F.col("n") * FINER / F.lit(limit)), F.lit(SLOTS))
+    too_large = F.col("n") > limit
     plan = days.select(
         *entity,
         tl.day,
         F.floor(rows_before / F.lit(limit)).alias("lane"),
-        F.when(pieces > 1, F.col("lo")).alias("lo"),
-        F.when(pieces > 1, (F.col("hi") - F.col("lo") + 1) / pieces).alias("width"),
+        F.when(too_large, low).alias("lo"),
+        F.when(too_large, (high - low + 1) / pieces).alias("width"),
+        F.when(too_large, pieces - 1).alias("last"),
     )
     return stored(plan, "lanes")
 
 
 def _assign(df: DataFrame, tl: Timeline, plan: DataFrame) -> DataFrame:
     condition = _matches((*tl.entity, tl.day), "__p_")
-    offset = F.col(tl.position) - F.col("__p_lo")
-    slot = F.least(F.floor(offset / F.col("__p_width")), F.lit(SLOTS - 1))
+    offset = F.floor((F.col(tl.position) - F.col("__p_lo")) / F.col("__p_width"))
+    # Outliers beyond the percentiles fall in the first or last piece, which keeps the order.
+    slot = F.when(offset.isNotNull(), F.greatest(F.least(offset, F.col("__p_last")), F.lit(0)))
     lane = F.col("__p_lane") * SLOTS + F.coalesce(slot, F.lit(0))
     return df.join(_renamed(plan, "__p_"), condition, "left").select(
         *df.columns,

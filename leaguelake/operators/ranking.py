@@ -33,7 +33,8 @@ def rank_desc(df: DataFrame, value: str, name: str, max_rows: int | None = None)
         .groupBy((-F.col(value)).alias("__down"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    lanes = enter(_prepared(counts, "__down"), _value_line("__down"), ["__n"], max_rows=max_rows)
+    counts = stored(_prepared(counts, "__down"), "values")
+    lanes = enter(counts, _value_line("__down"), ["__n"], max_rows=max_rows)
     higher = F.coalesce(lanes.prior_sum("__n"), F.lit(0))
     ranked = lanes.rows.withColumn(name, (higher + 1).cast("int")).where(lanes.is_own)
     ranks = stored(ranked.select((-F.col("__down")).alias("__value"), name), "ranks")
@@ -50,7 +51,8 @@ def rank_auc(df: DataFrame, score: str, label: str, max_rows: int | None = None)
             F.sum(1 - F.col(label)).cast("long").alias("__neg"),
         )
     )
-    lanes = enter(_prepared(counts, score), _value_line(score), ["__neg"], max_rows=max_rows)
+    counts = stored(_prepared(counts, score), "values")
+    lanes = enter(counts, _value_line(score), ["__neg"], max_rows=max_rows)
     below = F.coalesce(lanes.prior_sum("__neg"), F.lit(0))
     placed = lanes.rows.withColumn("__below", below).where(lanes.is_own)
     wins = F.sum(F.col("__pos").cast("double") * (F.col("__below") + F.col("__neg") / 2))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leaguelake.functions import iso_date
 from leaguelake.layout import RUN, LakeLayout
 from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.dims import team_dim
@@ -28,7 +31,7 @@ SCHEDULE_KEYS = ["schedule_difficulty_next5", "home_games_next5", "away_games_ne
 MODES = ("full", "incremental", "all_runs")
 
 
-def format_layer(
+def format_games(
     spark: SparkSession,
     layout: LakeLayout,
     run_date: str,
@@ -37,41 +40,60 @@ def format_layer(
     dates: tuple[str | None, str | None] = (None, None),
     multi_line: bool = False,
 ) -> None:
-    """Raw JSON to typed tables, one row per key.
+    """Raw games to the formatted table, one row per game, and move the high-water mark.
 
-    ``full`` reads the raw run of ``run_date``, ``all_runs`` every raw run, and ``incremental`` the
-    run of ``run_date`` restricted to days after the stored high-water mark.
+    ``full`` reads the raw run of ``run_date``, ``all_runs`` every raw run (the newest copy of a game
+    wins), and ``incremental`` what the run of ``run_date`` has after the mark; there a missing run
+    or an empty slice changes nothing.
     """
     root = layout.table("raw", GAMES, "games")
     path = root if mode == "all_runs" else layout.run("raw", GAMES, "games", run_date)
-    records = raw.read_games(spark, path, multi_line)
+    records = lake.if_present(lambda: raw.read_games(spark, path, multi_line))
+    if records is None:
+        if mode == "incremental":
+            return
+        raise RuntimeError(f"no raw games at {path}")
     if RUN not in records.columns:
         records = records.withColumn(RUN, F.lit(run_date).cast("date"))
+    state = layout.state(STATE)
+    if mode == "incremental":
+        last_date = read_state(spark, state)
+        days = records.withColumn("__day", iso_date(F.col("date")))
+        records = incremental_slice(days, last_date, "__day").drop("__day")
     games = latest_run(raw.format_games(records), ["game_id"]).drop(RUN)
     if seasons is not None:
         games = in_seasons(games, *seasons)
-    games = in_dates(games, *dates)
-    last_date = None
-    if mode == "incremental":
-        last_date = read_state(spark, layout.state(STATE)) if _exists(spark, layout.state(STATE)) else None
-        games = incremental_slice(games, last_date)
-    games = stored(games, "games")
+    games = stored(in_dates(games, *dates), "games")
     guard_nonempty(games, "games", incremental=mode == "incremental")
+    if games.isEmpty():
+        return
     lake.write_run(games, layout.table("formatted", GAMES, "games"), run_date)
-    mark = high_water_mark(games.withColumn("date", F.col("game_date").cast("string")))
-    write_state(mark, layout.state(STATE), run_date)
+    write_state(high_water_mark(records), state, run_date)
+
 
-    for source, entity, key, reader, formatter in (
-        (GAMES, "teams", "team_id", raw.read_teams, raw.format_teams),
-        (VENUES, "teams", "team_name_norm", raw.read_venues, raw.format_venues),
+def format_dimensions(
+    spark: SparkSession,
+    layout: LakeLayout,
+    run_date: str,
+    required: bool = True,
+    multi_line: bool = False,
+) -> None:
+    """Raw teams and venues to formatted tables, one row per key.
+
+    Where they are not ``required`` a missing run leaves the newest earlier one in use.
+    """
+    for source, key, read, shape in (
+        (GAMES, "team_id", raw.read_teams, raw.format_teams),
+        (VENUES, "team_name_norm", raw.read_venues, raw.format_venues),
     ):
-        path = layout.run("raw", source, entity, run_date)
-        if mode == "incremental" and not _exists(spark, path):
-            continue  # the newest earlier run stays in use
-        rows = formatter(reader(spark, path, multi_line))
-        rows = latest_run(rows.withColumn(RUN, F.lit(run_date)), [key]).drop(RUN)
-        guard_nonempty(rows, f"{source} {entity}")
-        lake.write_run(rows, layout.table("formatted", source, entity), run_date)
+        path = layout.run("raw", source, "teams", run_date)
+        records = lake.if_present(functools.partial(read, spark, path, multi_line))
+        if records is None and not required:
+            continue
+        if records is None:
+            raise RuntimeError(f"no raw teams at {path}")
+        rows = latest_run(shape(records).withColumn(RUN, F.lit(run_date)), [key]).drop(RUN)
+        lake.write_run(guard_nonempty(rows, "teams"), layout.table("formatted", source, "teams"), run_date)
 
 
 def combine_layer(
@@ -139,18 +161,14 @@ def run(
     """All jobs of one day; returns the model's scores."""
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
-    format_layer(spark, layout, run_date, mode, multi_line=multi_line)
+    format_games(spark, layout, run_date, mode, multi_line=multi_line)
+    format_dimensions(spark, layout, run_date, mode != "incremental", multi_line)
     combine_layer(spark, layout, run_date, mode != "full", schedule)
     scores = train_layer(spark, layout, run_date, cutoff)
     export_layer(spark, layout, run_date)
     return scores
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def team_view(spark: SparkSession, layout: LakeLayout, run_date: str) -> DataFrame:
     """The team table the dashboard reads."""
     return lake.read_run(spark, layout.table("combined", GAMES, "team_metrics"), run_date)

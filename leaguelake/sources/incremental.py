@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leaguelake.schemas import STATE
+from leaguelake.sources.lake import if_present
 
 
 def in_seasons(games: DataFrame, first: int, last: int) -> DataFrame:
@@ -25,7 +26,8 @@ def in_dates(
 
 def read_state(spark: SparkSession, path: str) -> str | None:
     """``last_date`` of the stored one-row state, or None before the first load."""
-    rows = spark.read.schema(STATE).json(path).select("last_date").take(1)
+    state = if_present(lambda: spark.read.schema(STATE).json(path))
+    rows = state.select("last_date").take(1) if state is not None else []
     return rows[0][0] if rows else None
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +37,13 @@ def write_run(df: DataFrame, table: str, run_date: str) -> None:
         .option("partitionOverwriteMode", "dynamic")
         .parquet(table)
     )
+
+
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` returns, or None if its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
