@@ -208,24 +208,21 @@ def _strength_block(horizon: int) -> tuple[tuple[str, ...], str]:
     return (
         ("numbered", "daily"),
         f"""
-        SELECT game_id, team_id, game_date,
+        SELECT game_id, x.team_id, x.game_date,
                CAST(COUNT(n_is_home) FILTER (WHERE n_is_home = 1) AS INT)
                    AS home_games_next{horizon},
                CAST(COUNT(n_is_home) FILTER (WHERE n_is_home = 0) AS INT)
                    AS away_games_next{horizon},
                CAST(COUNT(n_is_home) FILTER (WHERE n_is_b2b = 1) AS INT)
                    AS b2b_games_next{horizon},
-               ROUND(AVG(opponent_form * (1 + 0.20E0 * (1 - n_is_home))
-                         * (1 + 0.20E0 * n_is_b2b)), 6)
-                   AS schedule_difficulty_next{horizon}
+               AVG(opponent_form * (1 + 0.20E0 * (1 - n_is_home))
+                   * (1 + 0.20E0 * n_is_b2b)) AS schedule_difficulty_next{horizon}
         FROM (SELECT t.game_id, t.team_id, t.game_date, n.is_home AS n_is_home,
                      n.is_b2b AS n_is_b2b, n.opponent_id AS n_opponent
               FROM numbered t LEFT JOIN numbered n
                 ON n.team_id = t.team_id AND n.seq > t.seq AND n.seq <= t.seq + {horizon}) x
         ASOF LEFT JOIN daily d ON d.team_id = x.n_opponent AND d.game_date <= x.game_date
-        GROUP BY game_id, x.team_id, x.game_date""".replace(
-            "SELECT game_id, team_id, game_date,", "SELECT game_id, x.team_id, x.game_date,", 1
-        ),
+        GROUP BY game_id, x.team_id, x.game_date""",
     )
 
 
@@ -234,8 +231,10 @@ _BLOCKS["strength10"] = _strength_block(10)
 _BLOCKS["team_strength"] = (
     ("form", "dim", "strength5"),
     """
-    SELECT f.game_id, team_name, s.schedule_difficulty_next5, s.home_games_next5,
-           s.away_games_next5
+    SELECT f.game_id, team_name,
+           CAST(s.schedule_difficulty_next5 AS FLOAT) AS schedule_difficulty_next5,
+           CAST(s.home_games_next5 AS DOUBLE) AS home_games_next5,
+           CAST(s.away_games_next5 AS DOUBLE) AS away_games_next5
     FROM form f JOIN strength5 s ON s.game_id = f.game_id AND s.team_id = f.team_id
     LEFT JOIN dim d ON d.team_id = f.team_id""",
 )
@@ -269,7 +268,6 @@ _RANKING = f"""{_avg("win_rate_last5")} AS win_rate, {_avg("avg_points_last5")}
 
 _RATES = "win_rate, avg_points_for, avg_points_against"
 _NEXT5 = "schedule_difficulty_next5, home_games_next5, away_games_next5"
-_IS_HOME = "CAST(CASE WHEN h{i} = 1 THEN 1 ELSE 0 END AS INT)"
 _LEADS = ", ".join(f"LEAD(is_home, {i}) OVER w AS next_is_home_{i}" for i in range(1, 6))
 _HOME5 = " + ".join(f"coalesce(next_is_home_{i}, 0)" for i in range(1, 6))
 
@@ -308,8 +306,9 @@ _FORMATTED = """game_id, game_date, season, CAST(home_team_id AS BIGINT) AS home
        CAST(visitor_team_id AS BIGINT) AS visitor_team_id, home_team_score, visitor_team_score,
        status"""
 
-_STRENGTH_COLUMNS = """game_id, team_id, schedule_difficulty_next{n}, home_games_next{n},
-       away_games_next{n}, b2b_games_next{n}"""
+_STRENGTH_COLUMNS = """game_id, team_id,
+       ROUND(schedule_difficulty_next{n}, 6) AS schedule_difficulty_next{n},
+       home_games_next{n}, away_games_next{n}, b2b_games_next{n}"""
 
 ORACLE: dict[str, str] = {
     # sources
@@ -522,7 +521,8 @@ ORACLE: dict[str, str] = {
         "strength5",
         select="""SELECT team_id, game_id, schedule_difficulty_next5,
         CAST(rank() OVER (ORDER BY schedule_difficulty_next5 DESC) AS INT) AS sos_rank
-        FROM (SELECT * FROM strength5 WHERE schedule_difficulty_next5 IS NOT NULL
+        FROM (SELECT * REPLACE (ROUND(schedule_difficulty_next5, 6) AS schedule_difficulty_next5)
+              FROM strength5 WHERE schedule_difficulty_next5 IS NOT NULL
               QUALIFY row_number() OVER (PARTITION BY team_id
                       ORDER BY game_date DESC, game_id DESC) = 1)""",
     ),
@@ -614,9 +614,9 @@ ORACLE: dict[str, str] = {
     ),
     "dash_next5_home_away": _sql(
         "team_strength",
-        select="""SELECT 'home' AS side, CAST(SUM(home_games_next5) AS BIGINT) AS games
+        select="""SELECT 'home' AS side, SUM(home_games_next5) AS games
         FROM team_strength
-        UNION ALL SELECT 'away', CAST(SUM(away_games_next5) AS BIGINT) FROM team_strength""",
+        UNION ALL SELECT 'away', SUM(away_games_next5) FROM team_strength""",
     ),
     "dash_filtered": _sql(
         "team",

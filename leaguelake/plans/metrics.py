@@ -39,7 +39,12 @@ TEAM_METRICS = [
     "away_games_next5",
 ]
 _DIM = ["team_name", "conference", "division"]
-_STRENGTH = ["schedule_difficulty_next5", "home_games_next5", "away_games_next5"]
+# Types as in the placeholder columns: runs of one table must agree, however they were computed.
+_STRENGTH = {
+    "schedule_difficulty_next5": "float",
+    "home_games_next5": "double",
+    "away_games_next5": "double",
+}
 
 
 def team_rows(games: DataFrame, schedule: str = "constant", status: str | None = None) -> DataFrame:
@@ -55,11 +60,13 @@ def team_rows(games: DataFrame, schedule: str = "constant", status: str | None =
     if schedule == "constant":
         return schedule_constants(form)
     if schedule == "simple":
-        return schedule_simple(form)
-    if schedule == "strength":
+        rows = schedule_simple(form)
+    elif schedule == "strength":
         strength = schedule_strength(side_split(games)).select("game_id", "team_id", *_STRENGTH)
-        return form.join(strength, ["game_id", "team_id"], "left")
-    raise ValueError("schedule is 'constant', 'simple' or 'strength'")
+        rows = form.join(strength, ["game_id", "team_id"], "left")
+    else:
+        raise ValueError("schedule is 'constant', 'simple' or 'strength'")
+    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in _STRENGTH.items()})
 
 
 def team_metrics(rows: DataFrame, dim: DataFrame) -> DataFrame:

@@ -119,9 +119,11 @@ class Trained:
 def train(matches: DataFrame, cutoff: str, trees: int = 10, depth: int = 3, seed: int = 42) -> Trained:
     """Fit the forest on the matches before ``cutoff``.
 
-    The inputs are written once, because tree growth reads them once per level.
+    The inputs are written once, because tree growth reads them once per level, and in a fixed order,
+    because the forest's samples are drawn by position: the same seed gives the same forest.
     """
-    rows = stored(imputed(match_features(matches)), "features")
+    inputs = imputed(match_features(matches)).sortWithinPartitions("game_id")
+    rows = stored(inputs, "features")
     before, after = temporal_split(rows, cutoff)
     if before.isEmpty():
         raise RuntimeError(f"no training rows before {cutoff}")

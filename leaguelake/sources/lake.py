@@ -29,14 +29,11 @@ def read_latest_run(spark: SparkSession, table: str) -> DataFrame:
 
 
 def write_run(df: DataFrame, table: str, run_date: str) -> None:
-    """Replace one run of a table and leave the others alone, so a rerun changes nothing."""
-    (
-        df.withColumn(RUN, F.lit(run_date).cast("date"))
-        .write.partitionBy(RUN)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(table)
-    )
+    """Replace one run of a table and leave the others alone, so a rerun changes nothing.
+
+    The run's directory is overwritten as such: an empty result replaces earlier rows as well.
+    """
+    df.write.mode("overwrite").parquet(f"{table}/{RUN}={run_date}")
 
 
 def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:

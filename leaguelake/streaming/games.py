@@ -27,7 +27,7 @@ def load_new_games(
 ) -> None:
     """Append the games of all new files below ``raw_root/dt=...`` to ``table`` and stop.
 
-    Every micro-batch owns the partition ``load=<batch id>`` and overwrites only that one: a batch
+    Every micro-batch owns the directory ``load=<batch id>`` and overwrites only that one: a batch
     that is repeated after a failure leaves the same rows.
     """
     files = (
@@ -39,13 +39,7 @@ def load_new_games(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         games = latest_run(format_games(batch), ["game_id"], RUN)
-        (
-            games.withColumn(LOAD, F.lit(batch_id))
-            .write.partitionBy(LOAD)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(table)
-        )
+        games.write.mode("overwrite").parquet(f"{table}/{LOAD}={batch_id}")
 
     query = (
         unwrap(files, RAW_GAME, GAMES_WRAPPER)
