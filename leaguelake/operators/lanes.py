@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from leaguelake.scale import stored, task_rows
 
 LANE, KIND = "__lane", "__kind"
+HOT, AHEAD, BEHIND = "__hot", "__ahead", "__behind"
 CARRIED = "__carried_"  # prefix of the carried totals
 CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
@@ -130,7 +131,7 @@ def enter(
     if plan is None:
         return Lanes(df, timeline, split=False)
     rows = _assign(df, timeline, plan)
-    own = rows.drop("__hot").withColumn(KIND, F.lit(OWN))
+    own = rows.drop(HOT, AHEAD, BEHIND).withColumn(KIND, F.lit(OWN))
     extra = [_carries(rows, timeline, sums)]
     if before:
         extra.append(_edges(rows, timeline, before, EARLIER))
@@ -159,44 +160,74 @@ def _matches(keys: Sequence[str], prefix: str) -> Column:
 def _lane_plan(df: DataFrame, tl: Timeline, limit: int) -> DataFrame | None:
     """Lane number per day of every entity with more than ``limit`` rows; None if there is none."""
     entity = list(tl.entity)
-    hot = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    count = F.count(F.lit(1)).alias("n")
+    hot = df.groupBy(*entity).agg(count).where(F.col("n") > limit)
     if hot.isEmpty():
         return None
     # Proven bound: every key listed has more than `limit` rows, so there are < rows / limit keys.
     keys = F.broadcast(_renamed(hot.select(*entity), "__h_"))
-    ends = F.percentile_approx(tl.position, [0.01, 0.99], 1000)
-    days = (
-        df.join(keys, _matches(entity, "__h_"), "left_semi")
-        .groupBy(*entity, tl.day)
-        .agg(F.count(F.lit(1)).alias("n"), ends.alias("ends"))
+    rows = df.join(keys, _matches(entity, "__h_"), "left_semi")
+    days = stored(rows.groupBy(*entity, tl.day).agg(count), "days")
+
+    by_day = Window.partitionBy(*entity).orderBy(tl.day)
+    rows_before = F.sum("n").over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+    plan = days.withColumn("lane", F.floor(F.coalesce(rows_before, F.lit(0)) / F.lit(limit)))
+    in_lane = Window.partitionBy(*entity, "lane").orderBy(tl.day)
+    earlier = F.sum("n").over(in_lane.rowsBetween(Window.unboundedPreceding, -1))
+    # A large day may leave the lane it begins in empty: its rows move on to lanes of their own.
+    whole = F.when(F.col("n") <= limit, F.col("n")).otherwise(0)
+    later = F.sum(whole).over(in_lane.rowsBetween(1, Window.unboundedFollowing))
+    plan = plan.withColumns(
+        {"ahead": F.coalesce(earlier, F.lit(0)), "behind": F.coalesce(later, F.lit(0))}
     )
-    earlier = Window.partitionBy(*entity).orderBy(tl.day).rowsBetween(Window.unboundedPreceding, -1)
-    rows_before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    low, high = F.get("ends", F.lit(0)), F.get("ends", F.lit(1))
-    # Positions need not be evenly spread, so a day too large is cut finer than its size asks for.
+    large = days.where(F.col("n") > limit)
+    if large.isEmpty():
+        none = F.lit(None).cast("double")
+        plan = plan.withColumns({"lo": none, "width": none, "last": F.lit(None).cast("long")})
+    else:
+        cuts = _renamed(_day_cuts(rows, tl, large, limit), "__c_")
+        plan = plan.join(cuts, _matches([*entity, tl.day], "__c_"), "left").select(
+            *plan.columns, *[F.col(f"__c_{c}").alias(c) for c in ("lo", "width", "last")]
+        )
+    return stored(plan.drop("n"), "lanes")
+
+
+def _day_cuts(rows: DataFrame, tl: Timeline, large: DataFrame, limit: int) -> DataFrame:
+    """How to cut every day that is itself too large: into pieces of equal width by position."""
+    keys = [*tl.entity, tl.day]
+    # Proven bound as above: each of these days has more than `limit` rows.
+    wanted = F.broadcast(_renamed(large.select(*keys), "__l_"))
+    ends = F.percentile_approx(tl.position, [0.01, 0.99], 1000)
+    # Positions need not be evenly spread, so a day is cut finer than its size asks for.
     pieces = F.least(F.ceil(F.col("n") * FINER / F.lit(limit)), F.lit(SLOTS))
-    too_large = F.col("n") > limit
-    plan = days.select(
-        *entity,
-        tl.day,
-        F.floor(rows_before / F.lit(limit)).alias("lane"),
-        F.when(too_large, low).alias("lo"),
-        F.when(too_large, (high - low + 1) / pieces).alias("width"),
-        F.when(too_large, pieces - 1).alias("last"),
+    low, high = (F.get("ends", F.lit(i)).cast("double") for i in (0, 1))
+    return (
+        rows.join(wanted, _matches(keys, "__l_"), "left_semi")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), ends.alias("ends"))
+        .select(
+            *keys,
+            low.alias("lo"),
+            ((high - low + 1) / pieces).alias("width"),
+            (pieces - 1).alias("last"),
+        )
     )
-    return stored(plan, "lanes")
 
 
 def _assign(df: DataFrame, tl: Timeline, plan: DataFrame) -> DataFrame:
+    """Add the lane, and for rows of hot entities how many rows of the lane other days hold."""
     condition = _matches((*tl.entity, tl.day), "__p_")
     offset = F.floor((F.col(tl.position) - F.col("__p_lo")) / F.col("__p_width"))
     # Outliers beyond the percentiles fall in the first or last piece, which keeps the order.
     slot = F.when(offset.isNotNull(), F.greatest(F.least(offset, F.col("__p_last")), F.lit(0)))
     lane = F.col("__p_lane") * SLOTS + F.coalesce(slot, F.lit(0))
+    whole_day = F.col("__p_lo").isNull()
     return df.join(_renamed(plan, "__p_"), condition, "left").select(
         *df.columns,
         F.coalesce(lane, F.lit(0)).cast("long").alias(LANE),
-        F.col("__p_lane").isNotNull().alias("__hot"),
+        F.col("__p_lane").isNotNull().alias(HOT),
+        F.when(whole_day, F.col("__p_ahead")).otherwise(0).alias(AHEAD),
+        F.when(whole_day, F.col("__p_behind")).otherwise(0).alias(BEHIND),
     )
 
 
@@ -204,7 +235,7 @@ def _carries(rows: DataFrame, tl: Timeline, sums: Sequence[str]) -> DataFrame:
     """One row per lane of a hot entity with the totals of the entity's earlier lanes."""
     keys = [*tl.entity, LANE]
     totals = (
-        rows.where("__hot")
+        rows.where(F.col(HOT))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias(CARRY_N),
@@ -224,11 +255,12 @@ def _edges(rows: DataFrame, tl: Timeline, n: int, kind: int) -> DataFrame:
     """For every lane of a hot entity, the ``n`` rows just before (or just after) it."""
     keys = [*tl.entity, LANE]
     earlier = kind == EARLIER
-    payload = [c for c in rows.columns if c not in (*keys, "__hot")]
+    payload = [c for c in rows.columns if c not in (*keys, HOT, AHEAD, BEHIND)]
     nearest = [c.desc() for c in tl.order] if earlier else tl.order
-    # row_number <= n is applied on the map side too, so only n rows per lane and task are shuffled.
+    # Only days with fewer than n rows between them and the lane's end are looked at, and
+    # row_number <= n is applied on the map side too: n rows per lane and task are shuffled.
     edge = (
-        rows.where("__hot")
+        rows.where(F.col(HOT) & (F.col(BEHIND if earlier else AHEAD) < n))
         .withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*nearest)))
         .where(F.col("__rank") <= n)
         .groupBy(*keys)
