@@ -161,9 +161,17 @@ def _lane_plan(df: DataFrame, tl: Timeline, limit: int) -> DataFrame | None:
     """Lane number per day of every entity with more than ``limit`` rows; None if there is none."""
     entity = list(tl.entity)
     count = F.count(F.lit(1)).alias("n")
-    hot = df.groupBy(*entity).agg(count).where(F.col("n") > limit)
-    if hot.isEmpty():
-        return None
+    # Persisted, so that the counts the check made are not made again below.
+    hot = df.groupBy(*entity).agg(count).where(F.col("n") > limit).persist()
+    try:
+        return None if hot.isEmpty() else _plan_for(df, tl, limit, hot)
+    finally:
+        hot.unpersist()
+
+
+def _plan_for(df: DataFrame, tl: Timeline, limit: int, hot: DataFrame) -> DataFrame:
+    entity = list(tl.entity)
+    count = F.count(F.lit(1)).alias("n")
     # Proven bound: every key listed has more than `limit` rows, so there are < rows / limit keys.
     keys = F.broadcast(_renamed(hot.select(*entity), "__h_"))
     rows = df.join(keys, _matches(entity, "__h_"), "left_semi")

@@ -36,7 +36,9 @@ def match_rows(team_rows: DataFrame, dim: DataFrame) -> DataFrame:
         known = (F.col("is_home") == side) & F.col("team_id").isNotNull()
         return F.max(F.when(known, F.col(column)))
 
-    folded = team_rows.groupBy("game_id").agg(
+    # Grouping only halves the rows, so they are shuffled first: adding up before the shuffle would
+    # keep a hash entry for nearly every game in each map task and send wider rows.
+    folded = team_rows.repartition("game_id").groupBy("game_id").agg(
         F.max("game_date").alias("game_date"),
         F.max("season").alias("season"),
         of(1, "team_id").alias("home_team_id"),
