@@ -95,10 +95,6 @@ class Lanes:
         """Sum over the ``n`` rows after this one; NULL where there is none."""
         return F.sum(self._visible(value)).over(self.window.rowsBetween(1, n))
 
-    def next_list(self, value: Column, n: int) -> Column:
-        """The ``n`` values after this row, in order."""
-        return F.collect_list(value).over(self.window.rowsBetween(1, n))
-
     def previous(self, value: Column) -> Column:
         return F.lag(self._visible(value)).over(self.window)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,22 +71,6 @@ def schedule_simple(
     return lanes.leave(out.withColumn(f"schedule_difficulty_next{horizon}", difficulty))
 
 
-def _with_counts(lanes: Lanes, rows: DataFrame, horizon: int) -> DataFrame:
-    flags = {
-        "home": F.col("is_home"),
-        "away": 1 - F.col("is_home"),
-        "b2b": F.col("is_b2b"),
-    }
-    return rows.withColumns(
-        {
-            f"{name}_games_next{horizon}": F.coalesce(
-                lanes.next_sum(flag, horizon), F.lit(0)
-            ).cast("int")
-            for name, flag in flags.items()
-        }
-    )
-
-
 def schedule_counts(
     sides: DataFrame,
     horizon: int = HORIZON,
@@ -94,7 +80,16 @@ def schedule_counts(
     """Home, away and back-to-back games among the next ``horizon`` games there are."""
     lanes = enter(sides, timeline, before=1, after=horizon, max_rows=max_rows)
     rows = lanes.rows.withColumn("is_b2b", _back_to_back(lanes))
-    return lanes.leave(_with_counts(lanes, rows, horizon))
+    flags = {"home": F.col("is_home"), "away": 1 - F.col("is_home"), "b2b": F.col("is_b2b")}
+    counts = {
+        f"{name}_games_next{horizon}": F.coalesce(lanes.next_sum(flag, horizon), F.lit(0)).cast("int")
+        for name, flag in flags.items()
+    }
+    return lanes.leave(rows.withColumns(counts))
+
+
+def _total(values: list[Column], nothing: int | float) -> Column:
+    return functools.reduce(Column.__add__, [F.coalesce(v, F.lit(nothing)) for v in values])
 
 
 def schedule_strength(
@@ -113,33 +108,45 @@ def schedule_strength(
     lanes = enter(sides, timeline, before=LAST, after=horizon, max_rows=max_rows)
     form = lanes.last_sum(F.col("is_win"), LAST) / F.lit(LAST)
     rows = lanes.rows.withColumns({"form": form, "is_b2b": _back_to_back(lanes)})
-    coming = F.struct("opponent_id", "is_home", "is_b2b")
-    rows = _with_counts(lanes, rows, horizon).withColumn(
-        "coming", lanes.next_list(coming, horizon)
-    )
-    counts = [f"{name}_games_next{horizon}" for name in ("home", "away", "b2b")]
+    games = range(1, horizon + 1)
+    coming = {
+        f"{name}_{i}": lanes.following(F.col(name), i)
+        for i in games
+        for name in ("opponent_id", "is_home", "is_b2b")
+    }
     keys = ["game_id", "team_id", "game_date"]
-    ahead = stored(lanes.leave(rows).select(*keys, *counts, "form", "coming"), "ahead")
+    rows = lanes.leave(rows.withColumns(coming)).select(*keys, "form", *coming)
+    ahead = stored(rows, "ahead")
 
-    # The lookup table has at most one row per team and day; its stored size decides the join.
+    # One row per team and day. Its stored size decides how the lookups below are joined; while it is
+    # broadcast, one copy serves all of them and no row of `ahead` is shuffled again.
     known = daily_last(ahead, "team_id", "game_date", "form", "game_id")
-    probes = ahead.select(
-        F.explode(F.array_distinct("coming.opponent_id")).alias("team_id"), "game_date"
-    )
-    forms = stored(asof_last(probes, known, "team_id", "game_date", "form"), "forms").select(
-        F.col("team_id").alias("opponent_id"), "game_date", F.col("form").alias("opponent_form")
-    )
-    difficulty = (
-        F.col("opponent_form")
-        * (1 + AWAY_WEIGHT * (1 - F.col("is_home")))
-        * (1 + B2B_WEIGHT * F.col("is_b2b"))
-    )
-    games = ahead.select(*keys, *counts, F.explode_outer("coming").alias("g"))
-    return (
-        games.select(*keys, *counts, "g.*")
-        .join(forms, ["opponent_id", "game_date"], "left")
-        .groupBy(*keys, *counts)
-        .agg(F.avg(difficulty).alias(f"schedule_difficulty_next{horizon}"))
+    opponents = F.array_distinct(F.array(*[f"opponent_id_{i}" for i in games]))
+    probes = ahead.select(F.explode(opponents).alias("team_id"), "game_date")
+    forms = stored(asof_last(probes, known, "team_id", "game_date", "form"), "forms")
+    found = ahead
+    for i in games:
+        of_opponent = forms.select(
+            F.col("team_id").alias(f"opponent_id_{i}"), "game_date", F.col("form").alias(f"form_{i}")
+        )
+        found = found.join(of_opponent, [f"opponent_id_{i}", "game_date"], "left")
+    weighed = [
+        F.col(f"form_{i}")
+        * (1 + AWAY_WEIGHT * (1 - F.col(f"is_home_{i}")))
+        * (1 + B2B_WEIGHT * F.col(f"is_b2b_{i}"))
+        for i in games
+    ]
+    known_games = _total([w.isNotNull().cast("int") for w in weighed], 0)
+    at_home = [F.col(f"is_home_{i}") for i in games]
+    counts = {
+        "home": _total(at_home, 0),
+        "away": _total([1 - h for h in at_home], 0),
+        "b2b": _total([F.col(f"is_b2b_{i}") for i in games], 0),
+    }
+    return found.select(
+        *keys,
+        *[n.alias(f"{name}_games_next{horizon}") for name, n in counts.items()],
+        F.try_divide(_total(weighed, 0.0), known_games).alias(f"schedule_difficulty_next{horizon}"),
     )
 
 
