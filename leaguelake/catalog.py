@@ -252,9 +252,7 @@ def doc_json_keep_nulls(spark, sf):
 def sink_bulk_ndjson(spark, sf):
     """The export written and read back as lines: action and document lines alternate."""
     path = scratch_path(spark, "bulk")
-    matches = stored(_matches(spark, sf), "matches")
-    documents.write_bulk(matches, path, "match_metrics")
-    documents.write_bulk(matches, path, "match_metrics")
+    documents.write_bulk(_matches(spark, sf), path, "match_metrics")
     lines = spark.read.text(path)
     index = F.get_json_object("value", "$.index._index")
     return lines.groupBy(
@@ -501,8 +499,9 @@ def user_events_last5(spark, sf):
         "ts",
         F.col("ts").cast("date").alias("day"),
         F.round(F.col("value") * 100).cast("long").alias("cents"),
+        (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).alias("second"),
     )
-    line = Timeline(("user_id",), "day", ("ts", "event_id"), "event_id")
+    line = Timeline(("user_id",), "day", ("ts", "event_id"), "second")
     return form.rolling_prior(events, line, ["cents"]).select("event_id", "user_id", "cents_last5")
 
 

@@ -120,7 +120,8 @@ def enter(
     """Prepare ``df`` for windows along ``timeline``.
 
     ``sums`` names the columns ``prior_sum`` will be asked for; ``before`` and ``after`` say how many
-    neighbouring rows the windows look at.
+    neighbouring rows the windows look at. ``df`` is read more than once and must give the same rows
+    every time: pass a table, or a cheap projection of one.
     """
     limit = max_rows or task_rows(df.sparkSession)
     plan = _lane_plan(df, timeline, limit)

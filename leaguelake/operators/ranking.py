@@ -15,25 +15,33 @@ from leaguelake.operators.lanes import Timeline, enter
 from leaguelake.scale import stored
 
 ALL = "__all"
-STEPS = 1000  # a value range of one is planned in this many steps
+STEPS = 1000  # the range of values is planned in this many steps, however wide it is
 
 
 def _value_line(value: str) -> Timeline:
     return Timeline(entity=(ALL,), day="__step", ties=(value,), position=value)
 
 
-def _prepared(df: DataFrame, value: str) -> DataFrame:
-    return df.withColumns({ALL: F.lit(0), "__step": F.floor(F.col(value) * STEPS)})
+def _along(counts: DataFrame, value: str) -> DataFrame:
+    """The stored distinct values with the step of the value range each falls in."""
+    low, high = counts.agg(F.min(value), F.max(value)).first()
+    step = F.lit(0)
+    if low is not None and high > low:
+        step = F.floor((F.col(value) - F.lit(low)) / F.lit(high - low) * STEPS)
+    return counts.withColumns({ALL: F.lit(0), "__step": step})
 
 
 def rank_desc(df: DataFrame, value: str, name: str, max_rows: int | None = None) -> DataFrame:
-    """Add ``rank()`` of ``value``, highest first; rows without a value get none."""
+    """Add ``rank()`` of ``value``, highest first; rows without a value get none.
+
+    ``df`` is read twice, once for the distinct values and once for the result.
+    """
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy((-F.col(value)).alias("__down"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    counts = stored(_prepared(counts, "__down"), "values")
+    counts = _along(stored(counts, "values"), "__down")
     lanes = enter(counts, _value_line("__down"), ["__n"], max_rows=max_rows)
     higher = F.coalesce(lanes.prior_sum("__n"), F.lit(0))
     ranked = lanes.rows.withColumn(name, (higher + 1).cast("int")).where(lanes.is_own)
@@ -51,7 +59,7 @@ def rank_auc(df: DataFrame, score: str, label: str, max_rows: int | None = None)
             F.sum(1 - F.col(label)).cast("long").alias("__neg"),
         )
     )
-    counts = stored(_prepared(counts, score), "values")
+    counts = _along(stored(counts, "values"), score)
     lanes = enter(counts, _value_line(score), ["__neg"], max_rows=max_rows)
     below = F.coalesce(lanes.prior_sum("__neg"), F.lit(0))
     placed = lanes.rows.withColumn("__below", below).where(lanes.is_own)

@@ -158,4 +158,4 @@ def sos_rank(strength: DataFrame, horizon: int = HORIZON, max_rows: int | None =
         ["team_id"],
         [F.col("game_date").desc(), F.col("game_id").desc()],
     )
-    return rank_desc(current, value, "sos_rank", max_rows=max_rows)
+    return rank_desc(stored(current, "current"), value, "sos_rank", max_rows=max_rows)

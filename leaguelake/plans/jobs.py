@@ -110,7 +110,7 @@ def combine_layer(
     """
     table = layout.table("formatted", GAMES, "games")
     if all_runs:
-        games = latest_run(lake.read_runs(spark, table), ["game_id"]).drop(RUN)
+        games = stored(latest_run(lake.read_runs(spark, table), ["game_id"]).drop(RUN), "games")
     else:
         games = lake.read_run(spark, table, run_date)
     teams = lake.read_latest_run(spark, layout.table("formatted", GAMES, "teams"))

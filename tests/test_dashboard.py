@@ -114,3 +114,12 @@ def test_auc_by_counting_pairs(scored, max_rows):
     wins = sum((p > n) + (p == n) / 2 for p, n in pairs)
     found = rank_auc(scored, "win_probability_home", "home_win", max_rows).first()[0]
     assert found == pytest.approx(wins / len(pairs))
+
+
+def test_wide_value_ranges_are_planned_in_few_steps(spark):
+    df = spark.range(300).select("id", (F.pow(F.lit(1.2), F.col("id")) - 1e9).alias("v"))
+    ranked = rank_desc(df, "v", "r", max_rows=20)
+    assert ranked.where("r <> 300 - id").isEmpty()
+    same = df.withColumn("v", F.lit(2.5))
+    assert rank_desc(same, "v", "r", max_rows=20).where("r <> 1").isEmpty()
+    assert rank_desc(df.limit(0), "v", "r").count() == 0
