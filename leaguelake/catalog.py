@@ -381,6 +381,25 @@ def match_metrics(spark, sf):
     return _matches(spark, sf)
 
 
+def _difficulty_as_double(df: DataFrame) -> DataFrame:
+    """Stored as float; compared as a rounded double."""
+    names = [c for c in df.columns if "schedule_difficulty" in c]
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in names})
+
+
+@query
+def team_metrics_strength(spark, sf):
+    """The team table with strength of schedule in place of the placeholder values."""
+    return _difficulty_as_double(_team(spark, sf, "strength"))
+
+
+@query
+def match_metrics_simple(spark, sf):
+    """The match table with the look-ahead counts in place of the placeholder values."""
+    rows = metrics.team_rows(fixtures.games(spark, sf), "simple")
+    return _difficulty_as_double(metrics.match_metrics(rows, _dim(spark, sf)))
+
+
 @query
 def opponent_form_asof(spark, sf):
     """The opponent's last known form on the date of every game."""

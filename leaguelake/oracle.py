@@ -270,6 +270,14 @@ _RATES = "win_rate, avg_points_for, avg_points_against"
 _NEXT5 = "schedule_difficulty_next5, home_games_next5, away_games_next5"
 _LEADS = ", ".join(f"LEAD(is_home, {i}) OVER w AS next_is_home_{i}" for i in range(1, 6))
 _HOME5 = " + ".join(f"coalesce(next_is_home_{i}, 0)" for i in range(1, 6))
+_SIMPLE_DIFFICULTY = "ROUND(CAST(CAST(((5 - {x}.home5) * 0.20E0 + 5) / 5 AS FLOAT) AS DOUBLE), 6)"
+_BLOCKS["simple5"] = (
+    ("sides",),
+    f"""
+    SELECT game_id, team_id, {_HOME5} AS home5
+    FROM (SELECT game_id, team_id, {_LEADS} FROM sides
+          WINDOW w AS (PARTITION BY team_id ORDER BY game_date, game_id))""",
+)
 
 _HISTORY = ["win_rate", "avg_points", "avg_points_against", "win_rate_last5", "avg_points_last5",
             "rest_days"]
@@ -426,6 +434,30 @@ ORACLE: dict[str, str] = {
     "team_dim": _sql("dim", select="SELECT * FROM dim"),
     "team_metrics": _sql("team", select="SELECT * FROM team"),
     "match_metrics": _sql("matches", select="SELECT * FROM matches"),
+    "team_metrics_strength": _sql(
+        "team",
+        "strength5",
+        select="""SELECT t.* REPLACE (
+            ROUND(CAST(CAST(s.schedule_difficulty_next5 AS FLOAT) AS DOUBLE), 6)
+                AS schedule_difficulty_next5,
+            CAST(s.home_games_next5 AS DOUBLE) AS home_games_next5,
+            CAST(s.away_games_next5 AS DOUBLE) AS away_games_next5)
+        FROM team t JOIN strength5 s ON s.game_id = t.game_id AND s.team_id = t.team_id""",
+    ),
+    "match_metrics_simple": _sql(
+        "matches",
+        "simple5",
+        select=f"""SELECT m.* REPLACE (
+            {_SIMPLE_DIFFICULTY.format(x="h")} AS home_schedule_difficulty,
+            CAST(h.home5 AS DOUBLE) AS home_home_games_next5,
+            CAST(5 - h.home5 AS DOUBLE) AS home_away_games_next5,
+            {_SIMPLE_DIFFICULTY.format(x="a")} AS away_schedule_difficulty,
+            CAST(a.home5 AS DOUBLE) AS away_home_games_next5,
+            CAST(5 - a.home5 AS DOUBLE) AS away_away_games_next5)
+        FROM matches m
+        JOIN simple5 h ON h.game_id = m.game_id AND h.team_id = m.home_team_id
+        JOIN simple5 a ON a.game_id = m.game_id AND a.team_id = m.visitor_team_id""",
+    ),
     "opponent_form_asof": _sql(
         "sides",
         "daily",
@@ -495,13 +527,11 @@ ORACLE: dict[str, str] = {
         WINDOW w AS (PARTITION BY team_id ORDER BY game_date, game_id)""",
     ),
     "schedule_simple_next5": _sql(
-        "sides",
-        select=f"""SELECT game_id, team_id, CAST(h AS INT) AS home_games_next5,
-               CAST(5 - h AS INT) AS away_games_next5,
-               ROUND(((5 - h) * 0.20E0 + 5) / 5, 6) AS schedule_difficulty_next5
-        FROM (SELECT game_id, team_id, {_HOME5} AS h
-              FROM (SELECT game_id, team_id, {_LEADS} FROM sides
-                    WINDOW w AS (PARTITION BY team_id ORDER BY game_date, game_id)))""",
+        "simple5",
+        select="""SELECT game_id, team_id, CAST(home5 AS INT) AS home_games_next5,
+               CAST(5 - home5 AS INT) AS away_games_next5,
+               ROUND(((5 - home5) * 0.20E0 + 5) / 5, 6) AS schedule_difficulty_next5
+        FROM simple5""",
     ),
     "schedule_counts": _sql(
         "strength5",

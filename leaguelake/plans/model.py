@@ -157,7 +157,10 @@ def evaluate(trained: Trained) -> dict[str, float]:
     )
     result = {}
     for name, rows in (("train", trained.train), (trained.eval_on, trained.test)):
-        scored = score(trained, rows)
+        # Both measures read the scores, so the trees are evaluated once.
+        scored = stored(
+            score(trained, rows).select(LABEL, "rawPrediction", "prediction"), "scored"
+        )
         result[f"{name}_auc"] = auc.evaluate(scored)
         result[f"{name}_accuracy"] = accuracy.evaluate(scored)
     return result
