@@ -30,7 +30,7 @@ CARRIED = "__carried_"  # prefix of the carried totals
 CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
 SLOTS = 1 << 20  # lanes one day of one entity can be cut into
-FINER = 4
+FINER = 4  # pieces per limit a too large day is cut into
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,9 @@ class Timeline:
     """Rows of an entity in order: ``day`` first, then ``ties``.
 
     ``position`` is a number that never decreases along the order within a day; a day too large for
-    one task is cut by it.
+    one task is cut by it into pieces of equal width between its outer percentiles. Where positions
+    crowd together a piece can exceed the limit, and rows with the same position stay together; that
+    costs balance, never rows.
     """
 
     entity: tuple[str, ...]
