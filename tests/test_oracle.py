@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from leaguelake.catalog import QUERIES
+from leaguelake.oracle import ORACLE
 from oracle_check import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -26,7 +28,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_only_the_model_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {
+    assert set(QUERIES) - set(ORACLE) == {
         "rf_predictions",
         "rf_importance",
         "rf_evaluation",
