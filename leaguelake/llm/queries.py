@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leaguelake.llm.licenses import with_licenses
+from leaguelake.llm.repetition import with_repetition
 from leaguelake.llm.sharding import sharded
 from leaguelake.llm.tables import table
 
@@ -19,6 +21,16 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_repetition(spark, sf):
+    return with_repetition(table(spark, sf, "documents"))
+
+
+@query
+def op6_licenses(spark, sf):
+    return with_licenses(table(spark, sf, "documents")).drop("detections")
+
+
 @query
 def op7_sharding(spark, sf):
     return sharded(table(spark, sf, "documents"))

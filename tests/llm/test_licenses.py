@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import re
+
+from leaguelake.llm.licenses import BASE, rules, with_licenses
+from rows import awkward, documents
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def brute(text: str | None) -> tuple:
+    found = WORD.findall((text or "").translate(LOWER))
+    places = [
+        (i, label)
+        for label, phrase in BASE
+        for i in range(len(found))
+        if found[i : i + len(phrase.split())] == phrase.split()
+    ]
+    at = [i for i, _ in places]
+    labels = ",".join(sorted({label for _, label in places}))
+    return len(found), len(places), min(at, default=None), max(at, default=None), labels
+
+
+def test_base_equals_brute_force(spark):
+    texts = awkward() + [
+        (50, "mit license mit license " * 40 + "MIT\nLICENSE apache-license"),
+        (51, "mitx license xmit license mit licenses müt license mit éé license"),
+        (52, "General Public License general\tPUBLIC license"),
+    ]
+    found = with_licenses(documents(spark, texts)).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:5] != (0,), str(x))
+    got = [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in found]
+    assert sorted(got, key=key) == sorted([(i, *brute(t)) for i, t in texts], key=key)
+    for r in found:
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+
+
+def test_method_labels(spark):
+    texts = {
+        1: "SPDX-License-Identifier: GPL-2.0-or-later",
+        2: "Licensed under the Apache License, Version 2.0.",
+        3: "see https://www.gnu.org/licenses/gpl-3.0.html",
+        4: "Licensed under CC BY-NC 4.0.",
+        5: "This work is licensed under the GNU General Public License, version 3.",
+        6: "GNU Lesser General Public License, version 3",
+        7: "nothing of the kind",
+    }
+    got = {r.doc_id: r.labels for r in with_licenses(documents(spark, texts)).collect()}
+    assert got == {
+        1: "gpl-2.0",
+        2: "apache,apache-2.0",
+        3: "gpl-3.0",
+        4: "cc-by-nc",
+        5: "gpl,gpl-3.0",
+        6: "gpl,lgpl-3.0",  # the rule for GPL lies inside and is dropped
+        7: "",
+    }
+
+
+def test_there_are_hundreds_of_rules():
+    assert len(rules()) > 200
+
+
+def test_empty_table(spark):
+    assert with_licenses(documents(spark, {1: ""}).where("doc_id < 0")).count() == 0

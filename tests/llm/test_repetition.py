@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from leaguelake.llm.repetition import Limits, longest_repeats, with_repetition
+from leaguelake.llm.textbuf import SPACES, blocks, words
+from rows import awkward, documents
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def brute(text: str | None, limits: Limits = Limits()) -> dict:
+    text = text or ""
+    found = WORD.findall(text)
+    n = len(found)
+
+    def repeated(k):
+        seen = {}
+        for i in range(n - k + 1):
+            seen.setdefault(tuple(found[i : i + k]), []).append(i)
+        return {i + j for at in seen.values() if len(at) > 1 for i in at for j in range(k)}
+
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    longest = 0
+    if repeated(limits.window):
+        for i in range(n):
+            for j in range(i):
+                k = 0
+                while i + k < n and found[i + k] == found[j + k]:
+                    k += 1
+                longest = max(longest, k)
+    out = {
+        "n_words": n,
+        "word_chars": sum(map(len, found)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(repeated(limits.window)),
+        "covered_words": len(repeated(limits.min_words)),
+        "longest_repeat": longest,
+    }
+    failed = n < 10 or 100 * out["n_repeat_words"] > 20 * n
+    fair = out["covered_words"] * 100 <= 15 * n and longest <= 100
+    return out | {"base_failed": failed, "kept": not failed and fair}
+
+
+def some_texts() -> list[str]:
+    rng = random.Random(5)
+    out = []
+    for size in (0, 1, 9, 30, 80, 200):
+        for alphabet in (2, 5, 400):
+            base = [f"w{rng.randrange(alphabet)}é" for _ in range(size)]
+            out.append(" ".join(base))
+            cut = base[size // 3 : size // 2]
+            out.append("\n".join([" ".join(base), " ".join(cut), " ".join(cut), "# end |"]))
+    return out
+
+
+def test_figures_equal_brute_force(spark):
+    texts = [(i, t) for i, t in awkward() if not t or len(t) < 9000] + list(enumerate(some_texts(), 100))
+    found = with_repetition(documents(spark, texts)).collect()
+    assert len(found) == len(texts)
+    expected = sorted(((i is None, i or 0), sorted(brute(t).items())) for i, t in texts)
+    assert sorted(((r.doc_id is None, r.doc_id or 0), sorted(brute_row(r).items())) for r in found) == expected
+
+
+def brute_row(row) -> dict:
+    return {k: v for k, v in row.asDict().items() if k != "doc_id"}
+
+
+def test_a_long_cycle_is_one_long_repeat(spark):
+    row = with_repetition(documents(spark, {1: "a b c d e " * 2000})).first()
+    assert (row.n_words, row.longest_repeat, row.covered_words, row.kept) == (10000, 9995, 10000, False)
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 7, 1000])
+def test_longest_repeats(alphabet):
+    rng = np.random.default_rng(alphabet)
+    sizes = [0, 1, 40, 3, 25]
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    symbols = np.concatenate([rng.integers(0, alphabet, s) + 10_000 * i for i, s in enumerate(sizes)]).astype(np.uint64)
+    expected = []
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        for i in range(lo, hi):
+            best = 0
+            for j in range(lo, hi):
+                k = 0
+                while j != i and max(i, j) + k < hi and symbols[i + k] == symbols[j + k]:
+                    k += 1
+                best = max(best, k)
+            expected.append(best)
+    assert longest_repeats(symbols, bounds).tolist() == expected
+
+
+def test_words_do_not_cross_texts_or_blocks():
+    import pyarrow as pa
+
+    texts = ["ab cd", "", "ef", " gh ", None, "ij\tkl\x0bmn"]
+    for limit in (1, 4, 100):
+        seen = []
+        for block in blocks(pa.array(texts), limit):
+            found = words(block, SPACES)
+            for i in range(len(block)):
+                lo, hi = found.bounds[i], found.bounds[i + 1]
+                seen.append([bytes(block.data[s:e]).decode() for s, e in zip(found.starts[lo:hi], found.ends[lo:hi], strict=True)])
+        assert seen == [WORD.findall(t or "") for t in texts]
+
+
+def test_empty_table_and_clashing_names(spark):
+    docs = documents(spark, {1: "a b"}).selectExpr("*", "1 AS n_words", "2 AS kept", "3 AS size")
+    assert with_repetition(docs).count() == 1
+    assert with_repetition(docs.where("doc_id < 0")).count() == 0
