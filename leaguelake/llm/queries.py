@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leaguelake.llm.licenses import with_licenses
+from leaguelake.llm.quality import scored
 from leaguelake.llm.repetition import with_repetition
+from leaguelake.llm.secrets import scan, scan_sql
 from leaguelake.llm.sharding import sharded
 from leaguelake.llm.tables import table
+from leaguelake.llm.urls import judged
+from leaguelake.llm.warc import ROUND_TRIP_SQL, round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,11 +25,29 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_quality(spark, sf):
+    return scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op3_repetition(spark, sf):
     return with_repetition(table(spark, sf, "documents"))
 
 
+@query
+def op4_urls(spark, sf):
+    return judged(table(spark, sf, "pages"))
+
+
+@query
+def op5_credentials(spark, sf):
+    return scan(table(spark, sf, "documents"))
+
+
+ORACLE["op5_credentials"] = scan_sql()
+
+
 @query
 def op6_licenses(spark, sf):
     return with_licenses(table(spark, sf, "documents")).drop("detections")
@@ -34,3 +56,11 @@ def op6_licenses(spark, sf):
 @query
 def op7_sharding(spark, sf):
     return sharded(table(spark, sf, "documents"))
+
+
+@query
+def op8_warc(spark, sf):
+    return round_trip(table(spark, sf, "pages"))
+
+
+ORACLE["op8_warc"] = ROUND_TRIP_SQL

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers look for this package where the driver has it, if it is not installed there
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
