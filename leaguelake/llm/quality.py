@@ -234,15 +234,16 @@ def _lessons(docs: DataFrame, labels: DataFrame, table, s: Settings) -> tuple[np
     return np.array(features).reshape(len(rows), s.features), np.array([r["quality"] for r in rows])
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """``docs`` with ``quality_score`` (nearer 1: label 1 is likelier)."""
+def with_quality(
+    docs: DataFrame, labels: DataFrame, s: Settings = Settings(), name: str = "quality_score"
+) -> DataFrame:
+    """``docs`` with a column ``name`` between 0 and 1 (higher: label 1 is likelier)."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(word_vectors(docs, s))  # rows * width numbers
     features, known = _lessons(docs, labels, table, s)
     share = float(known.mean()) if len(known) else 0.5
     network = train(features, known, s) if len(known) and 0 < share < 1 else None
 
-    name = "quality_score"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

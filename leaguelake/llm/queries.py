@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leaguelake.llm.decontaminate import contaminated
+from leaguelake.llm.jaccard import near_duplicates
 from leaguelake.llm.licenses import with_licenses
+from leaguelake.llm.packing import packed
 from leaguelake.llm.quality import scored
 from leaguelake.llm.repetition import with_repetition
 from leaguelake.llm.secrets import scan, scan_sql
@@ -25,6 +28,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_decontamination(spark, sf):
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op2_quality(spark, sf):
     return scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -64,3 +72,14 @@ def op8_warc(spark, sf):
 
 
 ORACLE["op8_warc"] = ROUND_TRIP_SQL
+
+
+@query
+def op9_packing(spark, sf):
+    return packed(table(spark, sf, "documents"))
+
+
+@query
+def op10_jaccard(spark, sf):
+    found = near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")

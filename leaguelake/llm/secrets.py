@@ -19,6 +19,8 @@ Rows are numbered once and stored with their number before anything is joined by
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,8 +45,9 @@ _HOST_NAMES = _either_case("endpoint|hostname|host|server")
 
 @dataclass(frozen=True)
 class Part:
-    """``pattern`` finds it; ``group`` must have ``least`` to ``most`` characters; ``test`` holds
-    whenever a match that counts exists, and spares most texts the search."""
+    """``pattern`` finds it; ``group`` must have ``least`` to ``most`` characters. Whenever a match that
+    counts exists, the lowered text contains one of ``hints`` (if there are any) and ``test`` holds;
+    they spare most texts the search."""
 
     kind: str
     role: str
@@ -54,21 +57,27 @@ class Part:
     most: int
     base: bool
     test: str
+    hints: tuple[str, ...] = ()
 
 
 LONG = 1 << 30
 _ASSIGN = f"({_SECRET_NAMES}){_SET}([A-Za-z0-9+/_.=-]+)"
+_SECRET_HINTS = ("passw", "secret", "token", "api")
+_ACCOUNT_HINTS = ("client", "access", "user", "login", "account")
+_HOST_HINTS = ("endpoint", "host", "server")
 PARTS = (
-    Part("assign", "secret", _ASSIGN, 2, 12, LONG, True, f"({_SECRET_NAMES}){_SET}[A-Za-z0-9+/_.=-]{{12}}"),
+    Part("assign", "secret", _ASSIGN, 2, 12, LONG, True, f"({_SECRET_NAMES}){_SET}[A-Za-z0-9+/_.=-]{{12}}", _SECRET_HINTS),
     # a match of AKIA[A-Z0-9]+ or [0-9a-f]+ ends with its run, so asking for the length finds the same
-    Part("access", "identifier", "AKIA[A-Z0-9]{14,}", 0, 18, LONG, True, "AKIA[A-Z0-9]{14}"),
+    Part("access", "identifier", "AKIA[A-Z0-9]{14,}", 0, 18, LONG, True, "AKIA[A-Z0-9]{14}", ("akia",)),
     Part("hex", "secret", "[0-9a-f]{16,}", 0, 16, LONG, True, "[0-9a-f]{16}"),
-    Part("weak", "secret", _ASSIGN, 2, 6, 11, False, f"({_SECRET_NAMES}){_SET}[A-Za-z0-9+/_.=-]{{6}}"),
+    Part("weak", "secret", _ASSIGN, 2, 6, 11, False, f"({_SECRET_NAMES}){_SET}[A-Za-z0-9+/_.=-]{{6}}", _SECRET_HINTS),
     Part("opaque", "secret", "[A-Za-z0-9+/]{32,}", 0, 32, 88, False, "[A-Za-z0-9+/]{32}"),
-    Part("account", "identifier", f"({_ACCOUNT_NAMES}){_SET}([A-Za-z0-9_.@-]+)", 2, 3, LONG, False, f"({_ACCOUNT_NAMES}){_SET}[A-Za-z0-9_.@-]{{3}}"),
-    Part("address", "endpoint", "[a-z][a-z0-9+]*://[^\\x00-\\x20\"'<>]+", 0, 8, LONG, False, "[a-z]://[^\\x00-\\x20\"'<>]"),
-    Part("host", "endpoint", f"({_HOST_NAMES}){_SET}([A-Za-z0-9.:-]+)", 2, 3, LONG, False, f"({_HOST_NAMES}){_SET}[A-Za-z0-9.:-]{{3}}"),
+    Part("account", "identifier", f"({_ACCOUNT_NAMES}){_SET}([A-Za-z0-9_.@-]+)", 2, 3, LONG, False, f"({_ACCOUNT_NAMES}){_SET}[A-Za-z0-9_.@-]{{3}}", _ACCOUNT_HINTS),
+    Part("address", "endpoint", "[a-z][a-z0-9+]*://[^\\x00-\\x20\"'<>]+", 0, 8, LONG, False, "[a-z0-9+]://[^\\x00-\\x20\"'<>]", ("://",)),
+    Part("host", "endpoint", f"({_HOST_NAMES}){_SET}([A-Za-z0-9.:-]+)", 2, 3, LONG, False, f"({_HOST_NAMES}){_SET}[A-Za-z0-9.:-]{{3}}", _HOST_HINTS),
 )
+# every weak part is reported beside an identifier only, or is one: without any, none is sought
+_IDENTIFIER_HINTS = ("akia", *_ACCOUNT_HINTS)
 ROLES = ("identifier", "secret", "endpoint")
 NEEDS = {"secret": ("identifier",), "identifier": ("secret",), "endpoint": ("identifier", "secret")}
 BASE_KINDS = [p.kind for p in PARTS if p.base]
@@ -94,7 +103,19 @@ def _matches(text: Column, number: int, part: Part) -> Column:
             m["value"].alias("value"),
         ),
     )
-    return F.when(text.rlike(part.test), found)
+    return F.when(_sought(text, part), found)
+
+
+def _holds_any(text: Column, hints: tuple[str, ...]) -> Column:
+    lowered = F.lower(text)
+    return functools.reduce(operator.or_, [F.contains(lowered, F.lit(h)) for h in hints])
+
+
+def _sought(text: Column, part: Part) -> Column:
+    """Whether the text has to be searched for the part: cheap tests first."""
+    tests = [_holds_any(text, part.hints)] if part.hints else []
+    tests += [] if part.base else [_holds_any(text, _IDENTIFIER_HINTS)]
+    return functools.reduce(operator.and_, [*tests, text.rlike(part.test)])
 
 
 def _all_matches(text: Column) -> Column:
@@ -179,10 +200,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Only texts in which some pattern matches are numbered and shuffled; the others pass through.
     """
-    suspect = F.lit(False)
-    for part in PARTS:
-        suspect = suspect | F.col("text").rlike(part.test)
-    suspect = F.coalesce(suspect, F.lit(False))
+    suspect = F.coalesce(functools.reduce(operator.or_, [_sought(F.col("text"), p) for p in PARTS]), F.lit(False))
     some = stored(_numbered(docs.where(suspect)), "secret-texts")
     spans = parts(some.select(ROW, _all_matches(F.col("text")).alias("hits")))
     # spans that overlap or touch become one
