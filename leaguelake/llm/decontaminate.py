@@ -167,6 +167,8 @@ def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, flo
     widths = {len(w) for w in items.words if 0 < len(w) < WIDTH}
     keys, first = _text_seeds(hashes, bounds, widths)
     hit, seed = _find(keys, items.seeds)
+    if not len(hit):
+        return []
     times = items.first[seed + 1] - items.first[seed]
     entry = np.repeat(items.first[seed], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     at = np.repeat(first[hit], times)
