@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leaguelake import fixtures
@@ -200,6 +200,47 @@ def high_water_mark(spark, sf):
     return incremental.high_water_mark(fixtures.raw_games(spark, sf))
 
 
+@query
+def high_water_mark_dirty(spark, sf):
+    """Every eleventh date is no date."""
+    games = fixtures.raw_games(spark, sf)
+    date = F.when(F.col("id") % 11 == 0, "unknown").otherwise(F.col("date"))
+    return incremental.high_water_mark(games.withColumn("date", date))
+
+
+@query
+def raw_quarantine(spark, sf):
+    """Every tenth page breaks off, and some ids are no numbers: all rows are loaded or set aside."""
+    path = scratch_path(spark, "dirty")
+    games = fixtures.raw_games(spark, sf)
+    text_id = F.when(F.col("id") % 50 == 7, F.concat(F.lit("game "), F.col("id").cast("string")))
+    text_id = text_id.otherwise(F.col("id").cast("string"))
+    rows = games.withColumn("text_id", text_id)
+    fields = [F.col("text_id").alias("id"), *games.columns[1:]]
+    pages = rows.groupBy(F.floor(F.col("id") / fixtures.PAGE_ROWS).alias("block")).agg(
+        F.collect_list(F.struct(*fields)).alias("data")
+    )
+    # ids that are numbers are written as numbers
+    page = F.regexp_replace(F.to_json(F.struct("data")), r'"id":"(\d+)"', r'"id":$1')
+    broken = F.when(F.col("block") % 10 == 3, F.substring(page, F.lit(1), F.length(page) - 9))
+    pages.select(F.coalesce(broken, page)).write.text(path)
+    rows = raw.format_games(raw.read_games_checked(spark, path))
+    return rows.groupBy(F.coalesce(raw.REASON, F.lit("good")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col(raw.REASON).isNull(), F.col("game_id"))).alias("id_sum"),
+    )
+
+
+@query
+def dims_of_run(spark, sf):
+    """Two runs of the teams; a job of the first day must not see the second."""
+    table = scratch_path(spark, "teams")
+    teams = _teams(spark, sf)
+    lake.write_run(teams, table, FIRST_RUN)
+    lake.write_run(teams.withColumn("conference", F.lit("later")), table, SECOND_RUN)
+    return lake.read_latest_run(spark, table, FIRST_RUN)
+
+
 @query
 def guard_nonempty(spark, sf):
     games = incremental.guard_nonempty(fixtures.games(spark, sf), "games")
@@ -224,11 +265,9 @@ def sink_parquet_roundtrip(spark, sf):
     return lake.read_runs(spark, table)
 
 
-_DOC_FIELDS = "game_id bigint, team_id int, team_name string, is_home int, win_rate double, rest_days int"
-
-
-def _document_fields(docs: DataFrame, fields: str) -> DataFrame:
-    return docs.select(F.from_json("doc", fields).alias("d"), "doc").select(
+def _document_fields(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """Every field of the documents, and how many each has."""
+    return docs.select(F.from_json("doc", like.schema).alias("d"), "doc").select(
         "d.*", F.size(F.json_object_keys("doc")).cast("int").alias("n_fields")
     )
 
@@ -236,7 +275,7 @@ def _document_fields(docs: DataFrame, fields: str) -> DataFrame:
 @query
 def doc_json(spark, sf):
     docs = _team(spark, sf)
-    return _document_fields(docs.select(documents.document(docs).alias("doc")), _DOC_FIELDS)
+    return _document_fields(docs.select(documents.document(docs).alias("doc")), docs)
 
 
 @query
@@ -244,23 +283,31 @@ def doc_json_keep_nulls(spark, sf):
     """Documents of the look-ahead table; difficulty stays as null where no game follows."""
     strength = schedule.schedule_strength(_sides(spark, sf))
     doc = documents.document(strength, keep_nulls=["schedule_difficulty_next5"])
-    fields = "game_id bigint, team_id int, home_games_next5 int, away_games_next5 int"
-    return _document_fields(strength.select(doc.alias("doc")), fields)
+    read = _document_fields(strength.select(doc.alias("doc")), strength)
+    return read.withColumn("schedule_difficulty_next5", F.round("schedule_difficulty_next5", 6))
 
 
 @query
 def sink_bulk_ndjson(spark, sf):
-    """The export written and read back as lines: action and document lines alternate."""
+    """The export written and read back: every field of every document, split at the action lines."""
     path = scratch_path(spark, "bulk")
-    documents.write_bulk(_matches(spark, sf), path, "match_metrics")
-    lines = spark.read.text(path)
-    index = F.get_json_object("value", "$.index._index")
-    return lines.groupBy(
-        F.when(index.isNotNull(), "action").otherwise("document").alias("kind"),
-        index.alias("index_name"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.get_json_object("value", "$.game_id").cast("long")).alias("id_sum"),
+    matches = _matches(spark, sf)
+    documents.write_bulk(matches, path, "match_metrics")
+    docs = documents.read_bulk(spark, path, "match_metrics")
+    return docs.select(F.from_json("doc", matches.schema).alias("d")).select("d.*")
+
+
+@query
+def sink_bulk_requests(spark, sf):
+    """The export cut into requests: all documents, each behind its action line, at most 500 in one."""
+    path = scratch_path(spark, "bulk")
+    documents.write_bulk(fixtures.games(spark, sf), path, "games")
+    requests = documents.bulk_requests(spark, path, "games")
+    actions = F.regexp_count("body", F.lit(r'(?m)^\{"index": \{"_index": "games"\}\}$'))
+    return requests.agg(
+        F.sum("documents").alias("documents"),
+        F.sum(actions).alias("actions"),
+        (F.max("documents") <= documents.BATCH_SIZE).alias("within"),
     )
 
 
@@ -468,7 +515,7 @@ def form_last5_actual(spark, sf):
 @query
 def form_by_season(spark, sf):
     """Form that starts afresh every season."""
-    line = Timeline(("team_id", "season"), "game_date", ("game_id",), "game_id")
+    line = Timeline(("team_id", "season"), "game_date", ("game_id",))
     return form.team_form(_sides(spark, sf), line).select(
         "game_id", "team_id", "season", "games_played", "win_rate", "rest_days"
     )
@@ -503,14 +550,13 @@ def customer_orders_before(spark, sf):
         F.col("o_orderdate").cast("date").alias("day"),
         F.floor("o_totalprice").cast("long").alias("price"),
     )
-    line = Timeline(("custkey",), "day", ("orderkey",), "orderkey")
+    line = Timeline(("custkey",), "day", ("orderkey",))
     return form.prior_cumulative(orders, line, ["price"]).select(
         "orderkey", "custkey", "games_played", "price_cum"
     )
 
 
-@query
-def user_events_last5(spark, sf):
+def _user_events(spark, sf, max_rows=None):
     """Whole cents of each user's five events before every event."""
     events = fixtures.table(spark, sf, "events").select(
         "user_id",
@@ -518,10 +564,21 @@ def user_events_last5(spark, sf):
         "ts",
         F.col("ts").cast("date").alias("day"),
         F.round(F.col("value") * 100).cast("long").alias("cents"),
-        (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).alias("second"),
     )
-    line = Timeline(("user_id",), "day", ("ts", "event_id"), "second")
-    return form.rolling_prior(events, line, ["cents"]).select("event_id", "user_id", "cents_last5")
+    line = Timeline(("user_id",), "day", ("ts", "event_id"))
+    rows = form.rolling_prior(events, line, ["cents"], max_rows=max_rows)
+    return rows.select("event_id", "user_id", "cents_last5")
+
+
+@query
+def user_events_last5(spark, sf):
+    return _user_events(spark, sf)
+
+
+@query
+def user_events_last5_split(spark, sf):
+    """The same with every user cut into lanes."""
+    return _user_events(spark, sf, 20)
 
 
 # --- schedule ------------------------------------------------------------------------------------
@@ -579,15 +636,25 @@ def schedule_strength_split(spark, sf):
     return _strength(_sides(spark, sf), 5, SPLIT_ROWS)
 
 
-@query
-def sos_rank(spark, sf):
+def _sos(spark, sf, max_rows=None):
     # Rounded before ranking: averages differing in the last bit would rank equal teams apart.
     strength = _rounded(schedule.schedule_strength(_sides(spark, sf)), "schedule_difficulty_next5")
-    return schedule.sos_rank(strength).select(
+    return schedule.sos_rank(strength, max_rows=max_rows).select(
         "team_id", "game_id", "schedule_difficulty_next5", "sos_rank"
     )
 
 
+@query
+def sos_rank(spark, sf):
+    return _sos(spark, sf)
+
+
+@query
+def sos_rank_split(spark, sf):
+    """The same with the ranked values cut into lanes."""
+    return _sos(spark, sf, 4)
+
+
 # --- dashboard -----------------------------------------------------------------------------------
 
 
@@ -605,6 +672,9 @@ _dash("dash_avg_points_by_team", _team, dashboard.avg_points_by_team)
 _dash("dash_home_away_games", _team, dashboard.home_away_games)
 _dash("dash_home_away_wins", _team, dashboard.home_away_wins)
 _dash("dash_prob_histogram", _scored, dashboard.probability_histogram)
+_dash("dash_prob_histogram_025", _scored, lambda m: dashboard.probability_histogram(m, 0.25))
+_dash("dash_prob_histogram_03", _scored, lambda m: dashboard.probability_histogram(m, 0.3))
+_dash("dash_form_vs_result_025", _matches, lambda m: dashboard.form_vs_result(m, 0.25))
 _dash("dash_win_rate_by_conference", _team, dashboard.win_rate_by_conference)
 _dash("dash_rest_days", _team, dashboard.win_rate_by_rest_days)
 _dash("dash_pred_accuracy", _scored, dashboard.prediction_accuracy)
@@ -633,6 +703,13 @@ def dash_filtered(spark, sf):
     return picked.select("game_id", "team_id", "team_name", "win_rate", "win_rate_last5")
 
 
+@query
+def dash_filtered_matches(spark, sf):
+    """The team filter on matches: at home or away."""
+    picked = dashboard.filtered(_matches(spark, sf), teams=["NATION_1", "NATION_2"])
+    return picked.select("game_id", "home_team_name", "away_team_name")
+
+
 @query
 def dash_last_30_days(spark, sf):
     return dashboard.last_days(_team(spark, sf), "2001-08-01").select(
@@ -705,18 +782,44 @@ def confusion(spark, sf):
 
 @query
 def rf_predictions(spark, sf):
-    return model.predictions(model.train(_matches(spark, sf), fixtures.CUTOFF))
+    """The prediction table; of the forest's own columns, what must hold for any forest."""
+    rows = model.predictions(model.train(_matches(spark, sf), fixtures.CUTOFF))
+    p = F.col("win_probability_home")
+    return rows.select(
+        *[c for c in rows.columns if c not in ("win_probability_home", "prediction")],
+        p.between(0, 1).alias("probability_valid"),
+        ((p > 0.5) == (F.col("prediction") == 1)).alias("prediction_agrees"),
+    )
 
 
 @query
 def rf_importance(spark, sf):
-    return model.importances(model.train(_matches(spark, sf), fixtures.CUTOFF))
+    rows = model.importances(model.train(_matches(spark, sf), fixtures.CUTOFF))
+    total = F.sum("importance").over(Window.partitionBy())  # one row per feature
+    return rows.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("valid"),
+        (F.abs(total - 1) < 1e-9).alias("sum_is_one"),
+    )
 
 
 @query
 def rf_evaluation(spark, sf):
-    scores = model.evaluate(model.train(_matches(spark, sf), fixtures.CUTOFF))
-    return spark.createDataFrame(list(scores.items()), "measure string, value double")
+    """The evaluators' measures against the rank formula and the share of hits on the same scores."""
+    trained = model.train(_matches(spark, sf), fixtures.CUTOFF)
+    scores = model.evaluate(trained)
+    rows = stored(model.score(trained, trained.test).select(model.LABEL, "win_probability_home", "prediction"), "rf")
+    own = ranking.rank_auc(rows, "win_probability_home", model.LABEL).select(
+        F.lit("test_auc").alias("measure"), F.col("auc").alias("own")
+    )
+    own = own.unionByName(
+        model.accuracy(rows, model.LABEL, "prediction").select(
+            F.lit("test_accuracy").alias("measure"), F.col("accuracy").alias("own")
+        )
+    )
+    value = F.when(F.col("measure") == "test_auc", scores["test_auc"]).otherwise(scores["test_accuracy"])
+    # the evaluator draws its curve through 1000 points
+    return own.select("measure", (F.abs(F.col("own") - value) < 1e-3).alias("agrees"))
 
 
 # --- stream --------------------------------------------------------------------------------------

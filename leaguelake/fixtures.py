@@ -68,15 +68,18 @@ def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One venue per nation that has a supplier, with the name written differently."""
+    """One venue per nation that has a supplier, with the name written differently.
+
+    Every seventh is spelled so that it matches no team.
+    """
     supplier, nation = (table(spark, sf_dir, n) for n in ("supplier", "nation"))
     first = supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("k"))
     return (
         first.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .where("n_nationkey % 7 <> 0")
         .selectExpr(
             "CAST(k AS STRING) AS idTeam",
-            "concat('  ', replace(n_name, '_', ' - '), '! ') AS strTeam",
+            "concat(CASE WHEN n_nationkey % 7 = 0 THEN 'Old ' ELSE '  ' END, "
+            "replace(n_name, '_', ' - '), '! ') AS strTeam",
             "concat('Arena ', CAST(k AS STRING)) AS strStadium",
             "n_name AS strLocation",
             "CASE WHEN k % 5 = 0 THEN 'n/a' ELSE CAST(10000 + k * 37 AS STRING) END "

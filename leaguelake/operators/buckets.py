@@ -7,10 +7,13 @@ is pre-aggregated before its shuffle, so a bucket holding most of the rows costs
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leaguelake.scale import stored
+
 Metrics = Mapping[str, Column]
 
 
@@ -47,17 +50,29 @@ def split_terms(
     )
 
 
+EXACT = "decimal(38,12)"
+MOST_BUCKETS = 65_536
+
+
+def _step(interval: float) -> Decimal:
+    step = Decimal(str(interval))
+    if step <= 0 or -step.as_tuple().exponent > 12:
+        raise ValueError("an interval is positive and has at most 12 decimals")
+    return step
+
+
 def bucket_number(value: Column, interval: float) -> Column:
-    """Number of the interval ``value`` falls in; 0.1 is applied as 10 per unit, which is exact."""
-    if interval < 1:
-        return F.floor(value * F.lit(round(1 / interval)))
-    return F.floor(value / F.lit(interval))
+    """Number of the interval ``value`` falls in, in decimals: 0.3 begins its interval at 0.1 or 0.3.
+
+    Values are taken to 12 decimals, so the error of a sum or quotient does not move one from an edge.
+    """
+    exact, step = value.try_cast(EXACT), F.lit(_step(interval)).cast(EXACT)
+    whole = F.call_function("div", exact, step)  # towards zero
+    return whole - F.when((exact < 0) & (whole * step != exact), 1).otherwise(0)
 
 
 def bucket_start(number: Column, interval: float) -> Column:
-    if interval < 1:
-        return (number / F.lit(round(1 / interval))).cast("double")
-    return (number * F.lit(interval)).cast("double")
+    return (number * F.lit(_step(interval))).cast("double")
 
 
 def histogram(
@@ -70,20 +85,23 @@ def histogram(
     """Intervals of equal width keyed by their lower end.
 
     With ``bounds`` the empty intervals between the outermost buckets, widened to the bounds, appear
-    too, with NULL metrics; without, only those that hold rows.
+    too, with NULL metrics; without, only those that hold rows. More than ``MOST_BUCKETS`` intervals
+    to fill in are refused: an outlier would ask for any number of empty ones.
     """
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(bucket_number(F.col(value), interval).alias("__bucket"))
+        df.select("*", bucket_number(F.col(value), interval).alias("__bucket"))
+        .where("__bucket IS NOT NULL")
+        .groupBy("__bucket")
         .agg(*_named(metrics))
     )
     if bounds:
-        low, high = (int(b * round(1 / interval) if interval < 1 else b // interval) for b in bounds)
-        ends = counts.agg(
-            F.least(F.min("__bucket"), F.lit(low)).alias("a"),
-            F.greatest(F.max("__bucket"), F.lit(high)).alias("b"),
-        )
-        every = ends.select(F.explode(F.sequence("a", "b")).alias("__bucket"))
+        counts = stored(counts, "buckets")
+        low, high = (int(Decimal(str(b)) // _step(interval)) for b in bounds)
+        first, last = counts.agg(F.min("__bucket"), F.max("__bucket")).first()
+        low, high = min(low, low if first is None else first), max(high, high if last is None else last)
+        if high - low >= MOST_BUCKETS:
+            raise ValueError(f"{high - low + 1} buckets of {interval}: choose a wider interval")
+        every = df.sparkSession.range(low, high + 1).withColumnRenamed("id", "__bucket")
         counts = every.join(counts, "__bucket", "left")
     return counts.select(bucket_start(F.col("__bucket"), interval).alias("bucket"), *metrics)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,13 +10,17 @@ from pyspark.sql import functions as F
 
 
 def latest(df: DataFrame, key: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
-    """Keep the first row of each key in ``newest_first`` order.
+    """Keep the first row of each key in ``newest_first`` order, and every row whose key is NULL.
 
-    Spark applies ``row_number() = 1`` before the shuffle as well, so a key with very many copies
+    A missing key does not make rows copies of each other; such rows also share no group, however
+    many there are. Spark applies ``row_number() = 1`` before the shuffle as well, so a key with very many copies
     arrives as one row per map task.
     """
-    ranked = Window.partitionBy(*key).orderBy(*newest_first)
-    return df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
+    missing = functools.reduce(Column.__or__, [F.col(k).isNull() for k in key])
+    own = F.when(missing, F.monotonically_increasing_id())
+    ranked = Window.partitionBy(*key, "__own").orderBy(*newest_first)
+    rows = df.withColumn("__own", own).withColumn("__rank", F.row_number().over(ranked))
+    return rows.where("__rank = 1").drop("__rank", "__own")
 
 
 def latest_run(df: DataFrame, key: Sequence[str], run: str = "dt") -> DataFrame:

@@ -15,7 +15,7 @@ LAST = 5
 
 
 def game_number(lanes: Lanes) -> Column:
-    return lanes.ordinal().cast("int")
+    return lanes.ordinal()
 
 
 def rest_days(lanes: Lanes) -> Column:
@@ -56,6 +56,33 @@ def rest(df: DataFrame, timeline: Timeline, max_rows: int | None = None) -> Data
     return lanes.leave(lanes.rows.withColumn("rest_days", rest_days(lanes)))
 
 
+TOTALS = ("points_for", "points_against", "is_win")
+
+
+def with_form(lanes: Lanes, n: int = LAST, denominator: str = "fixed") -> DataFrame:
+    """The rows of ``lanes``, which carry ``TOTALS`` and ``n`` rows before, with all form columns."""
+    if denominator not in ("fixed", "actual"):
+        raise ValueError("denominator is 'fixed' or 'actual'")
+    played = F.col("games_played")
+    recent = F.lit(n) if denominator == "fixed" else F.least(played, F.lit(n))
+    known = F.col(f"points_for_last{n}").isNotNull()
+    summed = lanes.rows.select(
+        "*",
+        game_number(lanes).alias("game_number"),
+        *[lanes.prior_sum(c).alias(f"{c}_cum") for c in TOTALS],
+        *[lanes.last_sum(F.col(c), n).alias(f"{c}_last{n}") for c in TOTALS],
+        rest_days(lanes).alias("rest_days"),
+    ).withColumn("games_played", F.col("game_number") - 1)
+    return summed.select(
+        "*",
+        ratio(F.col("is_win_cum"), played).alias("win_rate"),
+        ratio(F.col("points_for_cum"), played).alias("avg_points_for"),
+        ratio(F.col("points_against_cum"), played).alias("avg_points_against"),
+        F.when(known, ratio(F.col(f"is_win_last{n}"), recent)).alias(f"win_rate_last{n}"),
+        ratio(F.col(f"points_for_last{n}"), recent).alias(f"avg_points_last{n}"),
+    )
+
+
 def team_form(
     sides: DataFrame,
     timeline: Timeline = TEAM_GAMES,
@@ -69,27 +96,5 @@ def team_form(
     ``"actual"`` divides by the number of games there were. Put a season column into the timeline's
     entity to start every season afresh.
     """
-    if denominator not in ("fixed", "actual"):
-        raise ValueError("denominator is 'fixed' or 'actual'")
-    totals = ["points_for", "points_against", "is_win"]
-    lanes = enter(sides, timeline, sums=totals, before=n, max_rows=max_rows)
-    played = F.col("games_played")
-    recent = F.lit(n) if denominator == "fixed" else F.least(played, F.lit(n))
-    known = F.col(f"points_for_last{n}").isNotNull()
-    summed = lanes.rows.select(
-        "*",
-        game_number(lanes).alias("game_number"),
-        *[lanes.prior_sum(c).alias(f"{c}_cum") for c in totals],
-        *[lanes.last_sum(F.col(c), n).alias(f"{c}_last{n}") for c in totals],
-        rest_days(lanes).alias("rest_days"),
-    ).withColumn("games_played", F.col("game_number") - 1)
-    return lanes.leave(
-        summed.select(
-            "*",
-            ratio(F.col("is_win_cum"), played).alias("win_rate"),
-            ratio(F.col("points_for_cum"), played).alias("avg_points_for"),
-            ratio(F.col("points_against_cum"), played).alias("avg_points_against"),
-            F.when(known, ratio(F.col(f"is_win_last{n}"), recent)).alias(f"win_rate_last{n}"),
-            ratio(F.col(f"points_for_last{n}"), recent).alias(f"avg_points_last{n}"),
-        )
-    )
+    lanes = enter(sides, timeline, sums=TOTALS, before=n, max_rows=max_rows)
+    return lanes.leave(with_form(lanes, n, denominator))

@@ -2,15 +2,18 @@
 
 A window partitioned by entity alone puts each entity into one task: 30 teams are 30 tasks however
 large the cluster, and an entity with a third of all rows is one endless task. ``enter`` therefore
-counts rows per entity first. While none exceeds ``task_rows`` the plain window is used. Otherwise
-the timelines of the hot entities are cut into *lanes* of consecutive rows, and every lane gets, as
-extra rows, what windows need from its neighbours:
-
-* one carry row holding count and totals of all earlier lanes,
+looks whether any entity has more than ``task_rows`` rows. While none has, the plain window is used.
+Otherwise the rows are dealt by range, in the order (entity, day, ties), to as many partitions as
+there are limits' worth of rows, and stored with their partition number as the *lane*: the ranges of
+such a shuffle are sampled, so they have to be used as they came out. A lane is as long as a
+partition, however the rows crowd on days or moments; only rows alike in entity, day and all ties
+cannot be parted. Every lane gets, as extra rows, what windows need from the lanes before and after:
+
+* one carry row holding count and totals of all earlier lanes of the entity,
 * the last ``before`` rows ahead of it and the first ``after`` rows behind it.
 
-Lane totals and edge rows are reduced before they are shuffled, so the detail rows are shuffled
-once, by (entity, lane), as they would be without the split.
+Both are reduced before they are shuffled and made for entities in more than one lane only. Which of
+the two ways is taken changes the plan, never the rows; ``task_rows`` decides it.
 """
 
 from __future__ import annotations
@@ -25,28 +28,18 @@ from pyspark.sql import functions as F
 from leaguelake.scale import stored, task_rows
 
 LANE, KIND = "__lane", "__kind"
-HOT, AHEAD, BEHIND = "__hot", "__ahead", "__behind"
 CARRIED = "__carried_"  # prefix of the carried totals
 CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
-SLOTS = 1 << 20  # lanes one day of one entity can be cut into
-FINER = 4  # pieces per limit a too large day is cut into
 
 
 @dataclass(frozen=True)
 class Timeline:
-    """Rows of an entity in order: ``day`` first, then ``ties``.
-
-    ``position`` is a number that never decreases along the order within a day; a day too large for
-    one task is cut by it into pieces of equal width between its outer percentiles. Where positions
-    crowd together a piece can exceed the limit, and rows with the same position stay together; that
-    costs balance, never rows.
-    """
+    """Rows of an entity in order: ``day`` first, then ``ties``."""
 
     entity: tuple[str, ...]
     day: str
-    ties: tuple[str, ...]
-    position: str
+    ties: tuple[str, ...] = ()
 
     @property
     def order(self) -> list[Column]:
@@ -122,20 +115,21 @@ def enter(
     """Prepare ``df`` for windows along ``timeline``.
 
     ``sums`` names the columns ``prior_sum`` will be asked for; ``before`` and ``after`` say how many
-    neighbouring rows the windows look at. ``df`` is read more than once and must give the same rows
-    every time: pass a table, or a cheap projection of one.
+    neighbouring rows the windows look at. If it has to be cut, ``df`` is read twice: to count its
+    entities and to store its lanes.
     """
     limit = max_rows or task_rows(df.sparkSession)
-    plan = _lane_plan(df, timeline, limit)
-    if plan is None:
+    total = df.count()
+    if total <= limit or not _has_hot(df, timeline, limit):
         return Lanes(df, timeline, split=False)
-    rows = _assign(df, timeline, plan)
-    own = rows.drop(HOT, AHEAD, BEHIND).withColumn(KIND, F.lit(OWN))
-    extra = [_carries(rows, timeline, sums)]
+    rows = _dealt(df, timeline, -(-total // limit))
+    cut = stored(_cut_entities(rows, timeline, sums), "lanes")
+    own = rows.withColumn(KIND, F.lit(OWN))
+    extra = [_carries(cut, timeline, sums)]
     if before:
-        extra.append(_edges(rows, timeline, before, EARLIER))
+        extra.append(_edges(rows, cut, timeline, before, EARLIER))
     if after:
-        extra.append(_edges(rows, timeline, after, LATER))
+        extra.append(_edges(rows, cut, timeline, after, LATER))
     for part in extra:
         own = own.unionByName(part, allowMissingColumns=True)
     return Lanes(own, timeline, split=True)
@@ -145,10 +139,6 @@ def _carry(value: str) -> str:
     return CARRIED + value
 
 
-def _renamed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
-
-
 def _matches(keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality: rows without an entity form a group that can be hot as well."""
     return functools.reduce(
@@ -156,118 +146,49 @@ def _matches(keys: Sequence[str], prefix: str) -> Column:
     )
 
 
-def _lane_plan(df: DataFrame, tl: Timeline, limit: int) -> DataFrame | None:
-    """Lane number per day of every entity with more than ``limit`` rows; None if there is none."""
-    entity = list(tl.entity)
-    count = F.count(F.lit(1)).alias("n")
-    # Persisted, so that the counts the check made are not made again below.
-    hot = df.groupBy(*entity).agg(count).where(F.col("n") > limit).persist()
-    try:
-        return None if hot.isEmpty() else _plan_for(df, tl, limit, hot)
-    finally:
-        hot.unpersist()
-
-
-def _plan_for(df: DataFrame, tl: Timeline, limit: int, hot: DataFrame) -> DataFrame:
-    entity = list(tl.entity)
-    count = F.count(F.lit(1)).alias("n")
-    # Proven bound: every key listed has more than `limit` rows, so there are < rows / limit keys.
-    keys = F.broadcast(_renamed(hot.select(*entity), "__h_"))
-    rows = df.join(keys, _matches(entity, "__h_"), "left_semi")
-    days = stored(rows.groupBy(*entity, tl.day).agg(count), "days")
-
-    by_day = Window.partitionBy(*entity).orderBy(tl.day)
-    rows_before = F.sum("n").over(by_day.rowsBetween(Window.unboundedPreceding, -1))
-    plan = days.withColumn("lane", F.floor(F.coalesce(rows_before, F.lit(0)) / F.lit(limit)))
-    in_lane = Window.partitionBy(*entity, "lane").orderBy(tl.day)
-    earlier = F.sum("n").over(in_lane.rowsBetween(Window.unboundedPreceding, -1))
-    # A large day may leave the lane it begins in empty: its rows move on to lanes of their own.
-    whole = F.when(F.col("n") <= limit, F.col("n")).otherwise(0)
-    later = F.sum(whole).over(in_lane.rowsBetween(1, Window.unboundedFollowing))
-    plan = plan.withColumns(
-        {"ahead": F.coalesce(earlier, F.lit(0)), "behind": F.coalesce(later, F.lit(0))}
-    )
-    large = days.where(F.col("n") > limit)
-    if large.isEmpty():
-        none = F.lit(None).cast("double")
-        plan = plan.withColumns({"lo": none, "width": none, "last": F.lit(None).cast("long")})
-    else:
-        cuts = _renamed(_day_cuts(rows, tl, large, limit), "__c_")
-        plan = plan.join(cuts, _matches([*entity, tl.day], "__c_"), "left").select(
-            *plan.columns, *[F.col(f"__c_{c}").alias(c) for c in ("lo", "width", "last")]
-        )
-    return stored(plan.drop("n"), "lanes")
-
-
-def _day_cuts(rows: DataFrame, tl: Timeline, large: DataFrame, limit: int) -> DataFrame:
-    """How to cut every day that is itself too large: into pieces of equal width by position."""
-    keys = [*tl.entity, tl.day]
-    # Proven bound as above: each of these days has more than `limit` rows.
-    wanted = F.broadcast(_renamed(large.select(*keys), "__l_"))
-    ends = F.percentile_approx(tl.position, [0.01, 0.99], 1000)
-    # Positions need not be evenly spread, so a day is cut finer than its size asks for.
-    pieces = F.least(F.ceil(F.col("n") * FINER / F.lit(limit)), F.lit(SLOTS))
-    low, high = (F.get("ends", F.lit(i)).cast("double") for i in (0, 1))
-    return (
-        rows.join(wanted, _matches(keys, "__l_"), "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), ends.alias("ends"))
-        .select(
-            *keys,
-            low.alias("lo"),
-            ((high - low + 1) / pieces).alias("width"),
-            (pieces - 1).alias("last"),
-        )
-    )
+def _has_hot(df: DataFrame, tl: Timeline, limit: int) -> bool:
+    counts = df.groupBy(*tl.entity).agg(F.count(F.lit(1)).alias("n"))
+    return not counts.where(F.col("n") > limit).isEmpty()
 
 
-def _assign(df: DataFrame, tl: Timeline, plan: DataFrame) -> DataFrame:
-    """Add the lane, and for rows of hot entities how many rows of the lane other days hold."""
-    condition = _matches((*tl.entity, tl.day), "__p_")
-    offset = F.floor((F.col(tl.position) - F.col("__p_lo")) / F.col("__p_width"))
-    # Outliers beyond the percentiles fall in the first or last piece, which keeps the order.
-    slot = F.when(offset.isNotNull(), F.greatest(F.least(offset, F.col("__p_last")), F.lit(0)))
-    lane = F.col("__p_lane") * SLOTS + F.coalesce(slot, F.lit(0))
-    whole_day = F.col("__p_lo").isNull()
-    return df.join(_renamed(plan, "__p_"), condition, "left").select(
-        *df.columns,
-        F.coalesce(lane, F.lit(0)).cast("long").alias(LANE),
-        F.col("__p_lane").isNotNull().alias(HOT),
-        F.when(whole_day, F.col("__p_ahead")).otherwise(0).alias(AHEAD),
-        F.when(whole_day, F.col("__p_behind")).otherwise(0).alias(BEHIND),
-    )
+def _dealt(df: DataFrame, tl: Timeline, lanes: int) -> DataFrame:
+    """The rows, stored with the number of the range they fell in."""
+    keys = [F.col(c) for c in tl.entity]
+    ranged = df.repartitionByRange(lanes, *keys, *tl.order)
+    return stored(ranged.withColumn(LANE, F.spark_partition_id().cast("long")), "dealt")
 
 
-def _carries(rows: DataFrame, tl: Timeline, sums: Sequence[str]) -> DataFrame:
-    """One row per lane of a hot entity with the totals of the entity's earlier lanes."""
-    keys = [*tl.entity, LANE]
-    totals = (
-        rows.where(F.col(HOT))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias(CARRY_N),
-            *[F.sum(c).alias(_carry(c)) for c in sums],
-        )
+def _cut_entities(rows: DataFrame, tl: Timeline, sums: Sequence[str]) -> DataFrame:
+    """Entity, lane and totals of the entities in several lanes: fewer than two for every lane."""
+    totals = rows.groupBy(*tl.entity, LANE).agg(
+        F.count(F.lit(1)).alias(CARRY_N), *[F.sum(c).alias(_carry(c)) for c in sums]
     )
+    lanes = F.count(F.lit(1)).over(Window.partitionBy(*tl.entity))
+    return totals.withColumn("__lanes", lanes).where("__lanes > 1").drop("__lanes")
+
+
+def _carries(cut: DataFrame, tl: Timeline, sums: Sequence[str]) -> DataFrame:
+    """One row per lane with the totals of the entity's earlier lanes."""
     earlier = Window.partitionBy(*tl.entity).orderBy(LANE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *keys,
+    return cut.select(
+        *tl.entity,
+        LANE,
         F.lit(CARRY).alias(KIND),
         F.coalesce(F.sum(CARRY_N).over(earlier), F.lit(0)).alias(CARRY_N),
         *[F.sum(_carry(c)).over(earlier).alias(_carry(c)) for c in sums],
     )
 
 
-def _edges(rows: DataFrame, tl: Timeline, n: int, kind: int) -> DataFrame:
-    """For every lane of a hot entity, the ``n`` rows just before (or just after) it."""
+def _edges(rows: DataFrame, cut: DataFrame, tl: Timeline, n: int, kind: int) -> DataFrame:
+    """For every lane of a cut entity, the ``n`` rows just before (or just after) it."""
     keys = [*tl.entity, LANE]
     earlier = kind == EARLIER
-    payload = [c for c in rows.columns if c not in (*keys, HOT, AHEAD, BEHIND)]
+    payload = [c for c in rows.columns if c not in keys]
     nearest = [c.desc() for c in tl.order] if earlier else tl.order
-    # Only days with fewer than n rows between them and the lane's end are looked at, and
+    wanted = cut.select(*[F.col(k).alias(f"__c_{k}") for k in keys])
     # row_number <= n is applied on the map side too: n rows per lane and task are shuffled.
     edge = (
-        rows.where(F.col(HOT) & (F.col(BEHIND if earlier else AHEAD) < n))
+        rows.join(wanted, _matches(keys, "__c_"), "left_semi")
         .withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*nearest)))
         .where(F.col("__rank") <= n)
         .groupBy(*keys)

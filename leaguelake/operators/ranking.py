@@ -1,7 +1,7 @@
 """Order over all rows without sending all rows to one task.
 
 Equal values are first added up, then the distinct values are treated as one timeline, which
-``lanes`` cuts into pieces once it is too long for a task.
+``lanes`` deals by range once it is too long for a task.
 """
 
 from __future__ import annotations
@@ -15,20 +15,11 @@ from leaguelake.operators.lanes import Timeline, enter
 from leaguelake.scale import stored
 
 ALL = "__all"
-STEPS = 1000  # the range of values is planned in this many steps, however wide it is
 
 
-def _value_line(value: str) -> Timeline:
-    return Timeline(entity=(ALL,), day="__step", ties=(value,), position=value)
-
-
-def _along(counts: DataFrame, value: str) -> DataFrame:
-    """The stored distinct values with the step of the value range each falls in."""
-    low, high = counts.agg(F.min(value), F.max(value)).first()
-    step = F.lit(0)
-    if low is not None and high > low:
-        step = F.floor((F.col(value) - F.lit(low)) / F.lit(high - low) * STEPS)
-    return counts.withColumns({ALL: F.lit(0), "__step": step})
+def _along(counts: DataFrame) -> DataFrame:
+    """The stored distinct values, all on one timeline."""
+    return counts.withColumn(ALL, F.lit(0))
 
 
 def rank_desc(df: DataFrame, value: str, name: str, max_rows: int | None = None) -> DataFrame:
@@ -41,10 +32,10 @@ def rank_desc(df: DataFrame, value: str, name: str, max_rows: int | None = None)
         .groupBy((-F.col(value)).alias("__down"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    counts = _along(stored(counts, "values"), "__down")
-    lanes = enter(counts, _value_line("__down"), ["__n"], max_rows=max_rows)
+    counts = _along(stored(counts, "values"))
+    lanes = enter(counts, Timeline((ALL,), "__down"), ["__n"], max_rows=max_rows)
     higher = F.coalesce(lanes.prior_sum("__n"), F.lit(0))
-    ranked = lanes.rows.withColumn(name, (higher + 1).cast("int")).where(lanes.is_own)
+    ranked = lanes.rows.withColumn(name, (higher + 1)).where(lanes.is_own)
     ranks = stored(ranked.select((-F.col("__down")).alias("__value"), name), "ranks")
     return df.join(ranks, F.col(value) == F.col("__value"), "left").drop("__value")
 
@@ -59,8 +50,8 @@ def rank_auc(df: DataFrame, score: str, label: str, max_rows: int | None = None)
             F.sum(1 - F.col(label)).cast("long").alias("__neg"),
         )
     )
-    counts = _along(stored(counts, "values"), score)
-    lanes = enter(counts, _value_line(score), ["__neg"], max_rows=max_rows)
+    counts = _along(stored(counts, "values"))
+    lanes = enter(counts, Timeline((ALL,), score), ["__neg"], max_rows=max_rows)
     below = F.coalesce(lanes.prior_sum("__neg"), F.lit(0))
     placed = lanes.rows.withColumn("__below", below).where(lanes.is_own)
     wins = F.sum(F.col("__pos").cast("double") * (F.col("__below") + F.col("__neg") / 2))
@@ -69,10 +60,9 @@ def rank_auc(df: DataFrame, score: str, label: str, max_rows: int | None = None)
 
 
 def number_rows(
-    df: DataFrame, day: str, ties: Sequence[str], position: str, name: str,
-    max_rows: int | None = None,
+    df: DataFrame, day: str, ties: Sequence[str], name: str, max_rows: int | None = None
 ) -> DataFrame:
     """Add 1, 2, 3, ... over all rows in (``day``, ``ties``) order."""
-    line = Timeline(entity=(ALL,), day=day, ties=tuple(ties), position=position)
+    line = Timeline(entity=(ALL,), day=day, ties=tuple(ties))
     lanes = enter(df.withColumn(ALL, F.lit(0)), line, max_rows=max_rows)
     return lanes.leave(lanes.rows.withColumn(name, lanes.ordinal())).drop(ALL)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.operators.asof import asof_last, daily_last
 from leaguelake.operators.dedup import latest
-from leaguelake.operators.form import LAST, rest_days
+from leaguelake.operators.form import LAST, TOTALS, rest_days, with_form
 from leaguelake.operators.lanes import Lanes, Timeline, enter
 from leaguelake.operators.ranking import rank_desc
 from leaguelake.operators.sides import TEAM_GAMES
@@ -51,6 +51,15 @@ def next_is_home(
     return lanes.leave(lanes.rows.withColumns(flags))
 
 
+def with_simple(lanes: Lanes, rows: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """``rows`` (of ``lanes``, with more columns) and the look-ahead counts of ``schedule_simple``."""
+    home = F.coalesce(lanes.next_sum(F.col("is_home"), horizon), F.lit(0)).cast("int")
+    away = F.lit(horizon) - F.col(f"home_games_next{horizon}")
+    out = rows.withColumn(f"home_games_next{horizon}", home).withColumn(f"away_games_next{horizon}", away)
+    difficulty = (F.col(f"away_games_next{horizon}") * AWAY_WEIGHT + horizon) / horizon
+    return out.withColumn(f"schedule_difficulty_next{horizon}", difficulty)
+
+
 def schedule_simple(
     sides: DataFrame,
     horizon: int = HORIZON,
@@ -62,13 +71,7 @@ def schedule_simple(
     Games missing at the end of the schedule therefore count as away games.
     """
     lanes = enter(sides, timeline, after=horizon, max_rows=max_rows)
-    home = F.coalesce(lanes.next_sum(F.col("is_home"), horizon), F.lit(0)).cast("int")
-    away = F.lit(horizon) - F.col(f"home_games_next{horizon}")
-    out = lanes.rows.withColumn(f"home_games_next{horizon}", home).withColumn(
-        f"away_games_next{horizon}", away
-    )
-    difficulty = (F.col(f"away_games_next{horizon}") * AWAY_WEIGHT + horizon) / horizon
-    return lanes.leave(out.withColumn(f"schedule_difficulty_next{horizon}", difficulty))
+    return lanes.leave(with_simple(lanes, lanes.rows, horizon))
 
 
 def schedule_counts(
@@ -88,8 +91,67 @@ def schedule_counts(
     return lanes.leave(rows.withColumns(counts))
 
 
-def _total(values: list[Column], nothing: int | float) -> Column:
-    return functools.reduce(Column.__add__, [F.coalesce(v, F.lit(nothing)) for v in values])
+ROW, COMING = "__row", "__coming"
+_GAME = ("opponent_id", "is_home", "is_b2b")
+
+
+def with_coming(lanes: Lanes, rows: DataFrame, horizon: int) -> DataFrame:
+    """``rows`` with ``is_b2b`` and the coming games in order; past the schedule's end they are NULL."""
+    games = [
+        F.struct(*[lanes.following(F.col(c), i).alias(c) for c in _GAME]) for i in range(1, horizon + 1)
+    ]
+    return rows.withColumn("is_b2b", _back_to_back(lanes)).withColumn(COMING, F.array(*games))
+
+
+def weighed(ahead: DataFrame, form: str, horizons: Sequence[int]) -> DataFrame:
+    """Add the counts and the difficulty of the next games for every horizon, and drop the games.
+
+    ``ahead`` must be stored: it is read for the forms, the lookups and the result. All coming games
+    are looked up in one join and folded into one row before they return, whatever the horizon.
+    """
+    numbered = stored(ahead.withColumn(ROW, F.monotonically_increasing_id()), "ahead")
+    # One row per team and day, and the distinct days it is asked for.
+    known = daily_last(numbered, "team_id", "game_date", form, "game_id")
+    games = numbered.select(ROW, "game_date", F.posexplode(COMING).alias("i", "game")).select(
+        ROW, "game_date", "i", "game.*"
+    )
+    games = games.where(F.col("opponent_id").isNotNull())
+    probes = games.select(F.col("opponent_id").alias("team_id"), "game_date")
+    forms = stored(asof_last(probes, known, "team_id", "game_date", form), "forms")
+    of_opponent = forms.toDF("opponent_id", "game_date", "__form").where("__form IS NOT NULL")
+    weight = (
+        F.col("__form") * (1 + AWAY_WEIGHT * (1 - F.col("is_home"))) * (1 + B2B_WEIGHT * F.col("is_b2b"))
+    )
+    found = (
+        games.join(of_opponent, ["opponent_id", "game_date"])
+        .groupBy(ROW)
+        .agg(F.array_sort(F.collect_list(F.struct("i", weight.alias("w")))).alias("__weights"))
+    )
+    columns = {}
+    for h in horizons:
+        columns |= {f"{name}_games_next{h}": _count(flag, h) for name, flag in _FLAGS.items()}
+        columns[f"schedule_difficulty_next{h}"] = _mean_weight(h)
+    rows = numbered.join(found, ROW, "left").withColumns(columns)
+    return rows.drop(ROW, COMING, "__weights")
+
+
+_FLAGS = {
+    "home": lambda g: g["is_home"],
+    "away": lambda g: 1 - g["is_home"],
+    "b2b": lambda g: g["is_b2b"],
+}
+
+
+def _count(flag, horizon: int) -> Column:
+    games = F.slice(COMING, 1, horizon)
+    return F.aggregate(games, F.lit(0), lambda n, g: n + F.coalesce(flag(g), F.lit(0)))
+
+
+def _mean_weight(horizon: int) -> Column:
+    """In the order of the games, so that every run adds up alike."""
+    near = F.filter("__weights", lambda x: x["i"] < horizon)
+    total = F.aggregate(near, F.lit(0.0), lambda s, x: s + x["w"])
+    return F.when(F.size(near) > 0, total / F.size(near))
 
 
 def schedule_strength(
@@ -107,54 +169,30 @@ def schedule_strength(
     """
     lanes = enter(sides, timeline, before=LAST, after=horizon, max_rows=max_rows)
     form = lanes.last_sum(F.col("is_win"), LAST) / F.lit(LAST)
-    rows = lanes.rows.withColumns({"form": form, "is_b2b": _back_to_back(lanes)})
-    games = range(1, horizon + 1)
-    coming = {
-        f"{name}_{i}": lanes.following(F.col(name), i)
-        for i in games
-        for name in ("opponent_id", "is_home", "is_b2b")
-    }
     keys = ["game_id", "team_id", "game_date"]
-    rows = lanes.leave(rows.withColumns(coming)).select(*keys, "form", *coming)
-    ahead = stored(rows, "ahead")
-
-    # One row per team and day. Its stored size decides how the lookups below are joined; while it is
-    # broadcast, one copy serves all of them and no row of `ahead` is shuffled again.
-    known = daily_last(ahead, "team_id", "game_date", "form", "game_id")
-    opponents = F.array_distinct(F.array(*[f"opponent_id_{i}" for i in games]))
-    probes = ahead.select(F.explode(opponents).alias("team_id"), "game_date")
-    forms = stored(asof_last(probes, known, "team_id", "game_date", "form"), "forms")
-    found = ahead
-    for i in games:
-        of_opponent = forms.select(
-            F.col("team_id").alias(f"opponent_id_{i}"), "game_date", F.col("form").alias(f"form_{i}")
-        )
-        found = found.join(of_opponent, [f"opponent_id_{i}", "game_date"], "left")
-    weighed = [
-        F.col(f"form_{i}")
-        * (1 + AWAY_WEIGHT * (1 - F.col(f"is_home_{i}")))
-        * (1 + B2B_WEIGHT * F.col(f"is_b2b_{i}"))
-        for i in games
-    ]
-    known_games = _total([w.isNotNull().cast("int") for w in weighed], 0)
-    at_home = [F.col(f"is_home_{i}") for i in games]
-    counts = {
-        "home": _total(at_home, 0),
-        "away": _total([1 - h for h in at_home], 0),
-        "b2b": _total([F.col(f"is_b2b_{i}") for i in games], 0),
-    }
-    return found.select(
-        *keys,
-        *[n.alias(f"{name}_games_next{horizon}") for name, n in counts.items()],
-        F.try_divide(_total(weighed, 0.0), known_games).alias(f"schedule_difficulty_next{horizon}"),
-    )
+    rows = with_coming(lanes, lanes.rows.withColumn("form", form), horizon)
+    ahead = lanes.leave(rows).select(*keys, "form", COMING)
+    names = [f"{name}_games_next{horizon}" for name in _FLAGS]
+    return weighed(ahead, "form", [horizon]).select(*keys, *names, f"schedule_difficulty_next{horizon}")
+
+
+def form_and_strength(
+    sides: DataFrame,
+    horizons: Sequence[int] = (HORIZON, 2 * HORIZON),
+    timeline: Timeline = TEAM_GAMES,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """``team_form`` and ``schedule_strength`` for several horizons from one pass over the timelines."""
+    lanes = enter(sides, timeline, TOTALS, LAST, max(horizons), max_rows)
+    ahead = lanes.leave(with_coming(lanes, with_form(lanes), max(horizons)))
+    return weighed(ahead, f"win_rate_last{LAST}", horizons)
 
 
 def sos_rank(strength: DataFrame, horizon: int = HORIZON, max_rows: int | None = None) -> DataFrame:
     """Teams by the difficulty ahead of their latest game that has one; rank 1 is the hardest."""
     value = f"schedule_difficulty_next{horizon}"
     current = latest(
-        strength.where(F.col(value).isNotNull()),
+        strength.where(F.col(value).isNotNull() & F.col("team_id").isNotNull()),
         ["team_id"],
         [F.col("game_date").desc(), F.col("game_id").desc()],
     )

@@ -9,7 +9,7 @@ from leaguelake.functions import beats
 from leaguelake.operators.lanes import Timeline
 
 # Ties on the date are ordered by game id, so every run sees the same order.
-TEAM_GAMES = Timeline(entity=("team_id",), day="game_date", ties=("game_id",), position="game_id")
+TEAM_GAMES = Timeline(entity=("team_id",), day="game_date", ties=("game_id",))
 
 
 def _side(team: str, opponent: str, scored: str, conceded: str, is_home: int) -> Column:

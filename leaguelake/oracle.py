@@ -56,14 +56,14 @@ _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """
         SELECT CAST(k AS VARCHAR) AS "idTeam",
-               '  ' || replace(n_name, '_', ' - ') || '! ' AS "strTeam",
+               CASE WHEN n_nationkey % 7 = 0 THEN 'Old ' ELSE '  ' END
+                   || replace(n_name, '_', ' - ') || '! ' AS "strTeam",
                'Arena ' || k AS "strStadium", n_name AS "strLocation",
                CASE WHEN k % 5 = 0 THEN 'n/a' ELSE CAST(10000 + k * 37 AS VARCHAR) END
                    AS "intStadiumCapacity",
                'https://venue.example/' || k AS "strWebsite", CAST(NULL AS VARCHAR) AS "strBadge"
         FROM (SELECT s_nationkey, MIN(s_suppkey) AS k FROM supplier GROUP BY s_nationkey)
-        JOIN nation ON s_nationkey = n_nationkey
-        WHERE n_nationkey % 7 <> 0""",
+        JOIN nation ON s_nationkey = n_nationkey""",
     ),
     "venues": (
         ("raw_venues",),
@@ -97,8 +97,8 @@ _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         ("sides",),
         """
         SELECT *,
-               CAST(row_number() OVER w AS INT) AS game_number,
-               CAST(row_number() OVER w - 1 AS INT) AS games_played,
+               CAST(row_number() OVER w AS BIGINT) AS game_number,
+               CAST(row_number() OVER w - 1 AS BIGINT) AS games_played,
                CAST(SUM(points_for) OVER past AS BIGINT) AS points_for_cum,
                CAST(SUM(points_against) OVER past AS BIGINT) AS points_against_cum,
                CAST(SUM(is_win) OVER past AS BIGINT) AS is_win_cum,
@@ -358,6 +358,22 @@ ORACLE: dict[str, str] = {
         select="""SELECT strftime(MAX(game_date), '%Y-%m-%d') AS last_date,
         COUNT(*) AS last_game_count FROM games""",
     ),
+    "raw_quarantine": _sql(
+        "games",
+        select="""SELECT CASE WHEN game_id // 100 % 10 = 3 THEN 'unreadable payload'
+                           WHEN game_id % 50 = 7 THEN 'no id' ELSE 'good' END AS outcome,
+               COUNT(DISTINCT CASE WHEN game_id // 100 % 10 = 3 THEN game_id // 100
+                                   ELSE -1 - game_id END) AS n,
+               CAST(SUM(CASE WHEN game_id // 100 % 10 <> 3 AND game_id % 50 <> 7
+                             THEN game_id END) AS BIGINT) AS id_sum
+        FROM games GROUP BY 1""",
+    ),
+    "high_water_mark_dirty": _sql(
+        "games",
+        select="""SELECT strftime(MAX(game_date) FILTER (WHERE game_id % 11 <> 0), '%Y-%m-%d')
+                      AS last_date, COUNT(*) AS last_game_count FROM games""",
+    ),
+    "dims_of_run": _sql("teams", select="SELECT * FROM teams"),
     "guard_nonempty": _sql(
         "games",
         "venues",
@@ -368,7 +384,7 @@ ORACLE: dict[str, str] = {
     "sink_parquet_roundtrip": _sql("runs", select="SELECT * FROM runs"),
     "doc_json": _sql(
         "team",
-        select="""SELECT game_id, team_id, team_name, is_home, win_rate, rest_days,
+        select="""SELECT team.*,
         CAST(20 - (CASE WHEN win_rate IS NULL THEN 1 ELSE 0 END)
                 - (CASE WHEN avg_points_for IS NULL THEN 1 ELSE 0 END)
                 - (CASE WHEN avg_points_against IS NULL THEN 1 ELSE 0 END)
@@ -379,15 +395,13 @@ ORACLE: dict[str, str] = {
     ),
     "doc_json_keep_nulls": _sql(
         "strength5",
-        select="""SELECT game_id, team_id, home_games_next5, away_games_next5,
+        select="""SELECT game_id, team_id, game_date, home_games_next5, away_games_next5,
+        b2b_games_next5, ROUND(schedule_difficulty_next5, 6) AS schedule_difficulty_next5,
         CAST(7 AS INT) AS n_fields FROM strength5""",
     ),
-    "sink_bulk_ndjson": _sql(
-        "games",
-        select="""SELECT 'action' AS kind, 'match_metrics' AS index_name, COUNT(*) AS n,
-        CAST(NULL AS BIGINT) AS id_sum FROM games
-        UNION ALL
-        SELECT 'document', NULL, COUNT(*), CAST(SUM(game_id) AS BIGINT) FROM games""",
+    "sink_bulk_ndjson": _sql("matches", select="SELECT * FROM matches"),
+    "sink_bulk_requests": _sql(
+        "games", select="SELECT COUNT(*) AS documents, COUNT(*) AS actions, TRUE AS within FROM games"
     ),
     "doc_batches": _sql(
         "games",
@@ -437,12 +451,22 @@ ORACLE: dict[str, str] = {
     "team_metrics_strength": _sql(
         "team",
         "strength5",
+        "strength10",
         select="""SELECT t.* REPLACE (
             ROUND(CAST(CAST(s.schedule_difficulty_next5 AS FLOAT) AS DOUBLE), 6)
                 AS schedule_difficulty_next5,
             CAST(s.home_games_next5 AS DOUBLE) AS home_games_next5,
-            CAST(s.away_games_next5 AS DOUBLE) AS away_games_next5)
-        FROM team t JOIN strength5 s ON s.game_id = t.game_id AND s.team_id = t.team_id""",
+            CAST(s.away_games_next5 AS DOUBLE) AS away_games_next5),
+            ROUND(x.schedule_difficulty_next10, 6) AS schedule_difficulty_next10,
+            s.b2b_games_next5, sos_rank
+        FROM team t JOIN strength5 s ON s.game_id = t.game_id AND s.team_id = t.team_id
+        JOIN strength10 x ON x.game_id = t.game_id AND x.team_id = t.team_id
+        LEFT JOIN (SELECT team_id, rank() OVER (ORDER BY d DESC) AS sos_rank
+              FROM (SELECT team_id, ROUND(schedule_difficulty_next5, 6) AS d,
+                           row_number() OVER (PARTITION BY team_id
+                                              ORDER BY game_date DESC, game_id DESC) AS k
+                    FROM strength5 WHERE schedule_difficulty_next5 IS NOT NULL)
+              WHERE k = 1) r ON r.team_id = t.team_id""",
     ),
     "match_metrics_simple": _sql(
         "matches",
@@ -490,8 +514,7 @@ ORACLE: dict[str, str] = {
     ),
     "form_by_season": _sql(
         "sides",
-        select="""SELECT game_id, team_id, season, CAST(row_number() OVER w - 1 AS INT)
-               AS games_played,
+        select="""SELECT game_id, team_id, season, row_number() OVER w - 1 AS games_played,
                CASE WHEN row_number() OVER w > 1
                     THEN SUM(is_win) OVER past / CAST(row_number() OVER w - 1 AS DOUBLE) END
                AS win_rate,
@@ -508,7 +531,7 @@ ORACLE: dict[str, str] = {
         avg_points_last5, rest_days FROM form""",
     ),
     "customer_orders_before": """SELECT o_orderkey AS orderkey, o_custkey AS custkey,
-               CAST(row_number() OVER w - 1 AS INT) AS games_played,
+               CAST(row_number() OVER w - 1 AS BIGINT) AS games_played,
                CAST(SUM(CAST(FLOOR(o_totalprice) AS BIGINT)) OVER past AS BIGINT) AS price_cum
         FROM orders
         WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey),
@@ -550,7 +573,7 @@ ORACLE: dict[str, str] = {
     "sos_rank": _sql(
         "strength5",
         select="""SELECT team_id, game_id, schedule_difficulty_next5,
-        CAST(rank() OVER (ORDER BY schedule_difficulty_next5 DESC) AS INT) AS sos_rank
+        CAST(rank() OVER (ORDER BY schedule_difficulty_next5 DESC) AS BIGINT) AS sos_rank
         FROM (SELECT * REPLACE (ROUND(schedule_difficulty_next5, 6) AS schedule_difficulty_next5)
               FROM strength5 WHERE schedule_difficulty_next5 IS NOT NULL
               QUALIFY row_number() OVER (PARTITION BY team_id
@@ -574,6 +597,31 @@ ORACLE: dict[str, str] = {
           ON CAST(FLOOR(win_probability_home * 10) AS BIGINT) = b
         GROUP BY b""",
     ),
+    "dash_prob_histogram_025": _sql(
+        "scored",
+        select="""SELECT b / 4.0E0 AS bucket, COUNT(win_probability_home) AS matches
+        FROM range(0, 5) r(b) LEFT JOIN scored
+          ON CAST(FLOOR(CAST(win_probability_home AS DECIMAL(9,6)) * 4) AS BIGINT) = b
+        GROUP BY b""",
+    ),
+    "dash_prob_histogram_03": _sql(
+        "scored",
+        select="""SELECT CAST(b * 0.3 AS DOUBLE) AS bucket, COUNT(win_probability_home) AS matches
+        FROM range(0, 4) r(b) LEFT JOIN scored
+          ON win_probability_home >= CAST(b * 0.3 AS DOUBLE)
+             AND win_probability_home < CAST((b + 1) * 0.3 AS DOUBLE)
+        GROUP BY b""",
+    ),
+    "dash_form_vs_result_025": _sql(
+        "matches",
+        select="""SELECT FLOOR(home_win_rate_last5 * 4) / 4 AS form, home_win, COUNT(*) AS matches
+        FROM matches WHERE home_win_rate_last5 IS NOT NULL GROUP BY 1, 2""",
+    ),
+    "dash_filtered_matches": _sql(
+        "matches",
+        select="""SELECT game_id, home_team_name, away_team_name FROM matches
+        WHERE home_team_name IN ('NATION_1', 'NATION_2') OR away_team_name IN ('NATION_1', 'NATION_2')""",
+    ),
     "dash_win_rate_by_conference": _top("win_rate", "win_rate_last5", 2, "conference"),
     "dash_rest_days": _sql(
         "team",
@@ -700,3 +748,17 @@ ORACLE: dict[str, str] = {
         "current_games", select=f"SELECT {_FORMATTED} FROM current_games"
     ),
 }
+
+ORACLE["user_events_last5_split"] = ORACLE["user_events_last5"]
+ORACLE["sos_rank_split"] = ORACLE["sos_rank"]
+# what is certain about a forest: inputs, ranges, and measures computed in two ways
+ORACLE["rf_predictions"] = _sql(
+    "features",
+    select=f"""SELECT game_id, game_date, home_team_id, visitor_team_id, home_team_score,
+    visitor_team_score, home_win, home_team_name, away_team_name,
+    {", ".join(_filled(c) for c in _INPUTS)}, TRUE AS probability_valid, TRUE AS prediction_agrees
+    FROM features WHERE game_date >= DATE '2000-01-01'""",
+)
+ORACLE["rf_importance"] = f"""SELECT feature, TRUE AS valid, TRUE AS sum_is_one
+    FROM (SELECT unnest([{", ".join(repr(c) for c in _INPUTS)}]) AS feature)"""
+ORACLE["rf_evaluation"] = """SELECT unnest(['test_auc', 'test_accuracy']) AS measure, TRUE AS agrees"""

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaguelake.operators.buckets import date_histogram, histogram, ranges, split_terms, terms
+from leaguelake.operators.buckets import (
+    bucket_number,
+    bucket_start,
+    date_histogram,
+    histogram,
+    ranges,
+    split_terms,
+    terms,
+)
 
 TEAMS = 30
 
@@ -17,11 +27,15 @@ def filtered(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    """The dashboard's filter controls; dates include both ends."""
+    """The dashboard's filter controls; dates include both ends.
+
+    On rows with two teams a match counts for a team whether it played at home or away.
+    """
     if seasons is not None:
         df = df.where(F.col("season").isin(seasons))
     if teams is not None:
-        df = df.where(F.col("team_name").isin(teams))
+        names = [c for c in ("team_name", "home_team_name", "away_team_name") if c in df.columns]
+        df = df.where(functools.reduce(Column.__or__, [F.col(c).isin(teams) for c in names]))
     if start is not None:
         df = df.where(F.col("game_date") >= F.lit(start).cast("date"))
     if end is not None:
@@ -137,11 +151,8 @@ def score_difference_histogram(matches: DataFrame, width: int = 5) -> DataFrame:
 def form_vs_result(matches: DataFrame, interval: float = 0.2) -> DataFrame:
     """Games by recent home form and by result, plus the share won at that form."""
     known = matches.where(F.col("home_win_rate_last5").isNotNull())
-    # The form is a number of wins over five; rounding first keeps 3/5 out of the bucket below.
-    wins = F.round(F.col("home_win_rate_last5") / F.lit(interval), 6)
-    return known.groupBy(
-        (F.floor(wins) * interval).cast("decimal(3,1)").cast("double").alias("form"), "home_win"
-    ).agg(F.count(F.lit(1)).alias("matches"))
+    start = bucket_start(bucket_number(F.col("home_win_rate_last5"), interval), interval)
+    return known.groupBy(start.alias("form"), "home_win").agg(F.count(F.lit(1)).alias("matches"))
 
 
 CALIBRATION_EDGES = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)

@@ -7,21 +7,20 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.functions import iso_date
 from leaguelake.layout import RUN, LakeLayout
 from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.dims import team_dim
 from leaguelake.plans import metrics, model
-from leaguelake.scale import stored
+from leaguelake.scale import scratch, stored
 from leaguelake.sinks.documents import write_bulk
 from leaguelake.sinks.state import write_state
 from leaguelake.sources import lake, raw
 from leaguelake.sources.incremental import (
     guard_nonempty,
-    high_water_mark,
     in_dates,
     in_seasons,
     incremental_slice,
+    loaded_mark,
     read_state,
 )
 
@@ -44,31 +43,45 @@ def format_games(
 
     ``full`` reads the raw run of ``run_date``, ``all_runs`` every raw run (the newest copy of a game
     wins), and ``incremental`` what the run of ``run_date`` has after the mark; there a missing run
-    or an empty slice changes nothing.
+    or an empty slice changes nothing. Payloads that cannot be read, games without an id, and in an
+    incremental load games without a readable date go to the run's quarantine. The mark is the newest
+    day really loaded, so what filters left out is still new to the next incremental load.
     """
     root = layout.table("raw", GAMES, "games")
     path = root if mode == "all_runs" else layout.run("raw", GAMES, "games", run_date)
-    records = lake.if_present(lambda: raw.read_games(spark, path, multi_line))
+    records = lake.if_present(lambda: raw.read_games_checked(spark, path, multi_line))
     if records is None:
         if mode == "incremental":
             return
         raise RuntimeError(f"no raw games at {path}")
     if RUN not in records.columns:
         records = records.withColumn(RUN, F.lit(run_date).cast("date"))
+    rows = raw.format_games(records)
+    if mode == "incremental":
+        undated = F.when(F.col("game_date").isNull(), raw.NO_DATE)
+        rows = rows.withColumn(raw.REASON, F.coalesce(raw.REASON, undated))
+    rows = stored(rows, "parsed-games")
+    lake.write_run(raw.quarantined(rows), layout.table("quarantine", GAMES, "games"), run_date)
+
+    good = rows.where(F.col(raw.REASON).isNull()).drop(raw.REASON, raw.RAW_TEXT, raw.FILE)
     state = layout.state(STATE)
     if mode == "incremental":
-        last_date = read_state(spark, state)
-        days = records.withColumn("__day", iso_date(F.col("date")))
-        records = incremental_slice(days, last_date, "__day").drop("__day")
-    games = latest_run(raw.format_games(records), ["game_id"]).drop(RUN)
+        good = incremental_slice(good, read_state(spark, state))
+    guard_nonempty(_wanted(good, seasons, dates), "games", incremental=mode == "incremental")
+    games = _wanted(latest_run(good, ["game_id"]).drop(RUN), seasons, dates)
+    if mode == "incremental" and _wanted(good, seasons, dates).isEmpty():
+        return
+    table = layout.table("formatted", GAMES, "games")
+    lake.write_run(games, table, run_date)
+    write_state(loaded_mark(lake.read_run(spark, table, run_date)), state, run_date)
+
+
+def _wanted(
+    games: DataFrame, seasons: tuple[int, int] | None, dates: tuple[str | None, str | None]
+) -> DataFrame:
     if seasons is not None:
         games = in_seasons(games, *seasons)
-    games = stored(in_dates(games, *dates), "games")
-    guard_nonempty(games, "games", incremental=mode == "incremental")
-    if games.isEmpty():
-        return
-    lake.write_run(games, layout.table("formatted", GAMES, "games"), run_date)
-    write_state(high_water_mark(records), state, run_date)
+    return in_dates(games, *dates)
 
 
 def format_dimensions(
@@ -113,8 +126,8 @@ def combine_layer(
         games = stored(latest_run(lake.read_runs(spark, table), ["game_id"]).drop(RUN), "games")
     else:
         games = lake.read_run(spark, table, run_date)
-    teams = lake.read_latest_run(spark, layout.table("formatted", GAMES, "teams"))
-    venues = lake.read_latest_run(spark, layout.table("formatted", VENUES, "teams"))
+    teams = lake.read_latest_run(spark, layout.table("formatted", GAMES, "teams"), run_date)
+    venues = lake.read_latest_run(spark, layout.table("formatted", VENUES, "teams"), run_date)
     dim = stored(team_dim(teams, venues), "team-dim")
     rows = stored(metrics.team_rows(games, schedule, status), "team-rows")
     for name, build in (
@@ -125,11 +138,17 @@ def combine_layer(
 
 
 def train_layer(
-    spark: SparkSession, layout: LakeLayout, run_date: str, cutoff: str
+    spark: SparkSession, layout: LakeLayout, run_date: str, cutoff: str, all_runs: bool = False
 ) -> dict[str, float]:
-    """Fit, evaluate, and write predictions and model."""
+    """Fit, evaluate, and write predictions and model; ``all_runs`` learns from the newest row of
+    every match over all runs up to ``run_date``."""
     table = layout.table("combined", GAMES, "match_metrics")
-    trained = model.train(lake.read_run(spark, table, run_date), cutoff)
+    if all_runs:
+        upto = lake.read_runs(spark, table).where(F.col(RUN) <= F.lit(run_date).cast("date"))
+        matches = latest_run(upto, ["game_id"]).drop(RUN)
+    else:
+        matches = lake.read_run(spark, table, run_date)
+    trained = model.train(matches, cutoff)
     out = layout.table("combined", GAMES, "match_metrics_with_preds")
     lake.write_run(model.predictions(trained), out, run_date)
     trained.model.write().overwrite().save(layout.run("models", GAMES, "home_win", run_date))
@@ -157,15 +176,20 @@ def run(
     mode: str = "full",
     schedule: str = "constant",
     multi_line: bool = False,
+    seasons: tuple[int, int] | None = None,
+    dates: tuple[str | None, str | None] = (None, None),
+    status: str | None = None,
+    train_on_all: bool = False,
 ) -> dict[str, float]:
-    """All jobs of one day; returns the model's scores."""
+    """All jobs of one day; returns the model's scores and leaves no intermediate table behind."""
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
-    format_games(spark, layout, run_date, mode, multi_line=multi_line)
-    format_dimensions(spark, layout, run_date, mode != "incremental", multi_line)
-    combine_layer(spark, layout, run_date, mode != "full", schedule)
-    scores = train_layer(spark, layout, run_date, cutoff)
-    export_layer(spark, layout, run_date)
+    with scratch(spark, f"run-{run_date}"):
+        format_games(spark, layout, run_date, mode, seasons, dates, multi_line)
+        format_dimensions(spark, layout, run_date, mode != "incremental", multi_line)
+        combine_layer(spark, layout, run_date, mode != "full", schedule, status)
+        scores = train_layer(spark, layout, run_date, cutoff, train_on_all)
+        export_layer(spark, layout, run_date)
     return scores
 
 

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.operators.dims import with_team
-from leaguelake.operators.form import team_form
+from leaguelake.operators.form import LAST, TOTALS, team_form, with_form
+from leaguelake.operators.lanes import enter
 from leaguelake.operators.matches import match_rows
 from leaguelake.operators.schedule import (
+    HORIZON,
+    form_and_strength,
     schedule_constants,
-    schedule_simple,
-    schedule_strength,
+    sos_rank,
+    with_simple,
 )
-from leaguelake.operators.sides import side_split
+from leaguelake.operators.sides import TEAM_GAMES, side_split
+from leaguelake.scale import stored
 
 # Fixed column order of the table.
 TEAM_METRICS = [
@@ -38,17 +42,24 @@ TEAM_METRICS = [
     "home_games_next5",
     "away_games_next5",
 ]
+# What the look-ahead by strength adds.
+STRENGTH_METRICS = ["schedule_difficulty_next10", "b2b_games_next5", "sos_rank"]
 _DIM = ["team_name", "conference", "division"]
 # Types as in the placeholder columns: runs of one table must agree, however they were computed.
-_STRENGTH = {
+_TYPES = {
     "schedule_difficulty_next5": "float",
     "home_games_next5": "double",
     "away_games_next5": "double",
 }
 
 
-def team_rows(games: DataFrame, schedule: str = "constant", status: str | None = None) -> DataFrame:
-    """Both teams of every game with form and schedule columns.
+def team_rows(
+    games: DataFrame,
+    schedule: str = "constant",
+    status: str | None = None,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Both teams of every game with form and schedule columns, from one pass over the timelines.
 
     ``games`` must be unique on ``game_id``: a copy of a game would count as a game played before.
     ``schedule`` is ``"constant"`` (the placeholder values), ``"simple"`` (look-ahead counts) or
@@ -56,22 +67,31 @@ def team_rows(games: DataFrame, schedule: str = "constant", status: str | None =
     """
     if status is not None:
         games = games.where(F.col("status") == status)
-    form = team_form(side_split(games))
+    sides = side_split(games)
     if schedule == "constant":
-        return schedule_constants(form)
+        return schedule_constants(team_form(sides, max_rows=max_rows))
     if schedule == "simple":
-        rows = schedule_simple(form)
+        lanes = enter(sides, TEAM_GAMES, TOTALS, LAST, HORIZON, max_rows)
+        rows = lanes.leave(with_simple(lanes, with_form(lanes)))
     elif schedule == "strength":
-        strength = schedule_strength(side_split(games)).select("game_id", "team_id", *_STRENGTH)
-        rows = form.join(strength, ["game_id", "team_id"], "left")
+        rows = _with_rank(stored(form_and_strength(sides, max_rows=max_rows), "strength"))
     else:
         raise ValueError("schedule is 'constant', 'simple' or 'strength'")
-    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in _STRENGTH.items()})
+    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in _TYPES.items()})
+
+
+def _with_rank(rows: DataFrame) -> DataFrame:
+    """Add the team's place by the difficulty ahead of it, the same on all its rows."""
+    # Rounded before ranking: averages differing in the last bit would rank equal teams apart.
+    value = F.round("schedule_difficulty_next5", 6).alias("schedule_difficulty_next5")
+    ranks = sos_rank(rows.select("team_id", "game_id", "game_date", value))
+    return rows.join(stored(ranks.select("team_id", "sos_rank"), "sos"), "team_id", "left")
 
 
 def team_metrics(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    """One row per game and team."""
-    return with_team(rows, dim, _DIM).select(*TEAM_METRICS)
+    """One row per game and team; rows with strength of schedule keep its further columns."""
+    more = [c for c in STRENGTH_METRICS if c in rows.columns]
+    return with_team(rows, dim, _DIM).select(*TEAM_METRICS, *more)
 
 
 def match_metrics(rows: DataFrame, dim: DataFrame) -> DataFrame:

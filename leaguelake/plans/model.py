@@ -156,7 +156,8 @@ def evaluate(trained: Trained) -> dict[str, float]:
         labelCol=LABEL, predictionCol="prediction", metricName="accuracy"
     )
     result = {}
-    for name, rows in (("train", trained.train), (trained.eval_on, trained.test)):
+    parts = {"train": trained.train, trained.eval_on: trained.test}  # one part if there is no other
+    for name, rows in parts.items():
         # Both measures read the scores, so the trees are evaluated once.
         scored = stored(
             score(trained, rows).select(LABEL, "rawPrediction", "prediction"), "scored"

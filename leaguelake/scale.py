@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+ALLOW_TMP = "leaguelake.scratch.allowTmp"
 TASK_ROWS = "leaguelake.window.taskRows"
 DEFAULT_TASK_ROWS = 4_000_000
 
@@ -18,13 +21,22 @@ DEFAULT_TASK_ROWS = 4_000_000
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local master may fall back to a temporary one."""
     shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if shared:
+        if not local and is_temporary(shared) and spark.conf.get(ALLOW_TMP, "false") != "true":
+            raise ValueError(f"{shared} is every machine's own: {CHECKPOINT_DIR} must be shared")
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     return _local_root()
 
 
+def is_temporary(path: str) -> bool:
+    """Whether a path lies in a folder that is usually local to a machine."""
+    plain = path.removeprefix("file://").removeprefix("file:")
+    return plain.startswith(("/tmp/", "/var/tmp/", "/dev/shm/")) or plain in ("/tmp", "/var/tmp")
+
+
 @functools.cache
 def _local_root() -> str:
     local = tempfile.mkdtemp(prefix="leaguelake-")
@@ -32,9 +44,26 @@ def _local_root() -> str:
     return local
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody else writes to."""
-    return f"{scratch_root(spark)}/leaguelake/{label}-{uuid.uuid4().hex}"
+    folder = _SCOPES[-1] if _SCOPES else f"{scratch_root(spark)}/leaguelake"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[None]:
+    """Tables stored inside are deleted at the end: nothing lazy may leave the block."""
+    folder = scratch_path(spark, label)
+    _SCOPES.append(folder)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leaguelake.functions import iso_date
 from leaguelake.schemas import STATE
 from leaguelake.sources.lake import if_present
 
@@ -27,7 +28,10 @@ def in_dates(
 def read_state(spark: SparkSession, path: str) -> str | None:
     """``last_date`` of the stored one-row state, or None before the first load."""
     state = if_present(lambda: spark.read.schema(STATE).json(path))
-    rows = state.select("last_date").take(1) if state is not None else []
+    if state is None:
+        return None
+    # a mark that is no date is no mark
+    rows = state.select(F.col("last_date").try_cast("date").cast("string")).take(1)
     return rows[0][0] if rows else None
 
 
@@ -39,9 +43,14 @@ def incremental_slice(df: DataFrame, last_date: str | None, day: str = "game_dat
 
 
 def high_water_mark(raw: DataFrame) -> DataFrame:
-    """Newest day and number of records of a raw slice; no row for an empty slice."""
-    return raw.agg(
-        F.max(F.substring("date", 1, 10)).alias("last_date"),
+    """Newest day and number of records of a raw slice; no row where there is no readable day."""
+    return loaded_mark(raw.select(iso_date(F.col("date")).alias("game_date")))
+
+
+def loaded_mark(games: DataFrame) -> DataFrame:
+    """Newest day and number of the games a load really brought."""
+    return games.agg(
+        F.max("game_date").cast("string").alias("last_date"),
         F.count(F.lit(1)).alias("last_game_count"),
     ).where(F.col("last_date").isNotNull())
 

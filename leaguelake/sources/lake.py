@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -21,11 +22,17 @@ def read_run(spark: SparkSession, table: str, run_date: str) -> DataFrame:
     return read_runs(spark, table).where(F.col(RUN) == F.lit(run_date).cast("date")).drop(RUN)
 
 
-def read_latest_run(spark: SparkSession, table: str) -> DataFrame:
-    """The newest run there is, for dimensions an incremental load did not bring again."""
+def read_latest_run(spark: SparkSession, table: str, run_date: str | None = None) -> DataFrame:
+    """The newest run, up to ``run_date`` if given, for dimensions a load did not bring again.
+
+    Runs are told from the listed file names; no file is opened.
+    """
     runs = read_runs(spark, table)
-    newest = runs.agg(F.max(RUN)).first()[0]  # answered from one row; directories hold the values
-    return runs.where(F.col(RUN) == F.lit(newest)).drop(RUN)
+    days = {m[1] for f in runs.inputFiles() if (m := re.search(rf"/{RUN}=(\d{{4}}-\d\d-\d\d)/", f))}
+    known = [day for day in days if run_date is None or day <= run_date]
+    if not known:
+        raise RuntimeError(f"no run of {table} up to {run_date}")
+    return runs.where(F.col(RUN) == F.lit(max(known)).cast("date")).drop(RUN)
 
 
 def write_run(df: DataFrame, table: str, run_date: str) -> None:

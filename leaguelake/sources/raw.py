@@ -11,6 +11,10 @@ from leaguelake.layout import RUN
 from leaguelake.schemas import RAW_GAME, RAW_TEAM, RAW_VENUE, payload
 
 GAMES_WRAPPER = "data"
+CORRUPT = "_corrupt_record"
+# what ``read_checked`` adds to the fields of a record
+REASON, RAW_TEXT, FILE = "reason", "raw_text", "file"
+UNREADABLE, NO_RECORDS, NO_KEY, NO_DATE = "unreadable payload", "no records", "no id", "no date"
 VENUES_WRAPPER = "teams"
 
 
@@ -31,6 +35,57 @@ def read_payloads(
     return unwrap(raw, record, wrapper)
 
 
+def checked_schema(record: StructType, wrapper: str) -> StructType:
+    return payload(record, wrapper).add(CORRUPT, "string")
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    record: StructType,
+    key: str,
+    wrapper: str = GAMES_WRAPPER,
+    multi_line: bool = False,
+) -> DataFrame:
+    """As ``read_payloads``, but nothing gets lost: see ``unwrap_checked``."""
+    raw = (
+        spark.read.schema(checked_schema(record, wrapper))
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+    )
+    return unwrap_checked(raw.withColumn(FILE, F.col("_metadata.file_path")), record, key, wrapper)
+
+
+def unwrap_checked(
+    raw: DataFrame, record: StructType, key: str, wrapper: str = GAMES_WRAPPER
+) -> DataFrame:
+    """All records, and a row for every payload that gave none, with the reason to set a row aside.
+
+    ``reason`` is NULL for good records. ``raw_text`` is the payload as it came where the parser
+    objected to it, and else the record as JSON. Empty pages are no fault.
+    """
+    fields = record.fieldNames()
+    has_value = F.coalesce(*[F.when(F.col(f).isNotNull(), True) for f in fields])
+    records = F.coalesce(F.col(wrapper), F.when(has_value, F.array(F.struct(*fields))))
+    kept = [c for c in raw.columns if c not in (*fields, wrapper, CORRUPT)]
+    payloads = raw.select(*kept, CORRUPT, records.alias("__records"))
+    rows = payloads.where(F.coalesce(F.size("__records") > 0, F.lit(True))).select(
+        *kept, CORRUPT, F.col("__records").isNull().alias("__none"), F.inline_outer("__records")
+    )
+    reason = F.when(F.col("__none"), F.when(F.col(CORRUPT).isNull(), NO_RECORDS).otherwise(UNREADABLE))
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*fields)))
+    faulty = F.coalesce(reason, F.when(F.col(key).isNull(), NO_KEY))
+    return rows.select(
+        *kept, *fields, faulty.alias(REASON), F.when(faulty.isNotNull(), text).alias(RAW_TEXT)
+    )
+
+
+def quarantined(checked: DataFrame) -> DataFrame:
+    """The rows that were set aside: why, where they came from, and what they were."""
+    return checked.where(F.col(REASON).isNotNull()).select(REASON, FILE, RAW_TEXT)
+
+
 def unwrap(raw: DataFrame, record: StructType, wrapper: str = GAMES_WRAPPER) -> DataFrame:
     """Wrapped and bare records as one flat table, in one pass."""
     fields = record.fieldNames()
@@ -46,7 +101,10 @@ def _run_column(df: DataFrame) -> list[Column]:
 
 
 def format_games(raw: DataFrame) -> DataFrame:
-    """Raw games to the fixed games schema; unreadable dates and numbers become NULL."""
+    """Raw games to the fixed games schema; unreadable dates and numbers become NULL.
+
+    What ``read_checked`` added stays.
+    """
     return raw.select(
         F.col("id").alias("game_id"),
         iso_date(F.col("date")).alias("game_date"),
@@ -57,6 +115,7 @@ def format_games(raw: DataFrame) -> DataFrame:
         whole_number(F.col("visitor_team_score")).alias("visitor_team_score"),
         F.lower("status").alias("status"),
         *_run_column(raw),
+        *[c for c in (REASON, RAW_TEXT, FILE) if c in raw.columns],
     )
 
 
@@ -91,6 +150,10 @@ def read_games(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return read_payloads(spark, path, RAW_GAME, GAMES_WRAPPER, multi_line)
 
 
+def read_games_checked(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_checked(spark, path, RAW_GAME, "id", GAMES_WRAPPER, multi_line)
+
+
 def read_teams(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_payloads(spark, path, RAW_TEAM, GAMES_WRAPPER, multi_line)
 

@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 
 from leaguelake.layout import RUN
 from leaguelake.operators.dedup import latest, latest_run
-from leaguelake.schemas import RAW_GAME, payload
-from leaguelake.sources.raw import GAMES_WRAPPER, format_games, unwrap
+from leaguelake.schemas import RAW_GAME
+from leaguelake.sources.raw import (
+    CORRUPT,
+    FILE,
+    GAMES_WRAPPER,
+    RAW_TEXT,
+    REASON,
+    checked_schema,
+    format_games,
+    quarantined,
+    unwrap_checked,
+)
 
 LOAD = "load"
 
@@ -24,25 +34,33 @@ def load_new_games(
     checkpoint: str,
     files_per_batch: int = 1000,
     multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> None:
     """Append the games of all new files below ``raw_root/dt=...`` to ``table`` and stop.
 
+    What cannot be read as a game goes to ``quarantine`` (by default ``table`` with a suffix).
+
     Every micro-batch owns the directory ``load=<batch id>`` and overwrites only that one: a batch
     that is repeated after a failure leaves the same rows.
     """
     files = (
-        spark.readStream.schema(payload(RAW_GAME, GAMES_WRAPPER))
+        spark.readStream.schema(checked_schema(RAW_GAME, GAMES_WRAPPER))
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(raw_root)
+        .withColumn(FILE, F.col("_metadata.file_path"))
     )
+    aside = quarantine or f"{table.rstrip('/')}-quarantine"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        games = latest_run(format_games(batch), ["game_id"], RUN)
+        quarantined(batch).write.mode("overwrite").parquet(f"{aside}/{LOAD}={batch_id}")
+        good = format_games(batch.where(F.col(REASON).isNull())).drop(REASON, RAW_TEXT, FILE)
+        games = latest_run(good, ["game_id"], RUN)
         games.write.mode("overwrite").parquet(f"{table}/{LOAD}={batch_id}")
 
     query = (
-        unwrap(files, RAW_GAME, GAMES_WRAPPER)
+        unwrap_checked(files, RAW_GAME, "id", GAMES_WRAPPER)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -2,7 +2,14 @@ from __future__ import annotations
 
 import json
 
-from leaguelake.sinks.documents import bulk_lines, document, with_batch, write_bulk
+from leaguelake.sinks.documents import (
+    bulk_lines,
+    bulk_requests,
+    document,
+    read_bulk,
+    with_batch,
+    write_bulk,
+)
 
 ROWS = [(1, "Zürich", None, None), (2, None, 1.5, 3), (None, None, None, None)]
 SCHEMA = "game_id long, team string, win_rate double, rest int"
@@ -38,13 +45,34 @@ def test_export_replaces_and_limits_files(spark, tmp_path):
     path = tmp_path / "export"
     df = spark.range(0, 1001, 1, 1).withColumnRenamed("id", "game_id")
     write_bulk(df, str(path), "m")
-    write_bulk(df, str(path), "m")
+    assert len(list(path.glob("part-*"))) == 1
+    assert sorted(r.documents for r in bulk_requests(spark, str(path), "m").collect()) == [1, 500, 500]
+    write_bulk(df, str(path), "m", documents_per_file=500)
     files = [f.read_text().splitlines() for f in path.glob("part-*")]
     assert sorted(len(f) for f in files) == [2, 1000, 1000]
     ids = [json.loads(x)["game_id"] for f in files for x in f[1::2]]
     assert sorted(ids) == list(range(1001))
 
 
+def test_requests_hold_every_pair_once_wherever_files_are_cut(spark, tmp_path):
+    path = str(tmp_path / "export")
+    df = spark.range(0, 700, 1, 1).selectExpr("id AS game_id", "concat('text \n ', id) AS note")
+    write_bulk(df, path, "m")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 997)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        assert read_bulk(spark, path, "m").count() == 700
+        bodies = [r.body for r in bulk_requests(spark, path, "m", 7).collect()]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    lines = [json.loads(x) for body in bodies for x in body.splitlines()]
+    assert all(len(b.splitlines()) <= 14 for b in bodies)
+    assert lines[::2] == [{"index": {"_index": "m"}}] * 700
+    assert sorted(x["game_id"] for x in lines[1::2]) == list(range(700))
+
+
 def test_batches_are_numbered_in_order(spark):
     df = spark.range(0, 1200).selectExpr(
         "id AS game_id", "date_add(DATE'2024-01-01', CAST(id % 7 AS INT)) AS game_date"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from league import expected_form, random_games
@@ -84,8 +85,11 @@ def test_a_full_run_end_to_end(spark, tmp_path, games):
     lines = spark.read.text(layout.table("export", jobs.GAMES, "team_metrics"))
     assert lines.count() == 2 * 600
     assert lines.where("value like '%\"home_games_next5\":2.5%'").count() == 600
-    again = jobs.run(spark, layout, run, CUTOFF, multi_line=True)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "leaguelake"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    again = jobs.run(spark, layout, run, CUTOFF, multi_line=True, train_on_all=True)
     assert again == scores
+    assert (set(scratch.iterdir()) if scratch.exists() else set()) == before
     assert spark.read.text(layout.table("export", jobs.GAMES, "team_metrics")).count() == 1200
 
 
@@ -136,6 +140,55 @@ def test_schedule_kinds(spark, tmp_path, games):
     assert jobs.team_view(spark, layout, run).isEmpty()
 
 
+def test_a_filtered_load_leaves_the_rest_to_an_incremental_one(spark, tmp_path, games):
+    layout = LakeLayout(str(tmp_path))
+    land(tmp_path, "2024-06-01", games)
+    land(tmp_path, "2024-06-02", games, dims=False)
+    middle = str(sorted(g[1] for g in games)[100])
+    jobs.format_games(spark, layout, "2024-06-01", dates=(None, middle), multi_line=True)
+    assert read_state(spark, layout.state(jobs.STATE)) == middle
+    jobs.format_games(spark, layout, "2024-06-02", "incremental", multi_line=True)
+    table = layout.table("formatted", jobs.GAMES, "games")
+    assert lake.read_runs(spark, table).count() == len(games)
+
+
+@pytest.mark.parametrize(("mode", "dated"), [("full", 4), ("incremental", 3)])
+def test_what_cannot_be_read_is_set_aside(spark, tmp_path, games, mode, dated):
+    layout, run = LakeLayout(str(tmp_path)), "2024-06-01"
+    folder = tmp_path / "raw" / jobs.GAMES / "games" / f"dt={run}"
+    records = [as_raw(g) for g in games[:6]]
+    records[1]["id"], records[2]["id"], records[3]["date"] = "one", None, "unknown"
+    good = json.dumps({"data": records})
+    put(folder / "games.json", f"{good}\n{good[:300]}\n" + json.dumps({"data": []}) + "\n" + json.dumps({"error": 1}))
+    if mode == "incremental":  # a mark that an older version left
+        put(tmp_path / "metadata" / jobs.STATE / "part.json", json.dumps({"last_date": "unknown"}))
+    jobs.format_games(spark, layout, run, mode)
+    assert lake.read_run(spark, layout.table("formatted", jobs.GAMES, "games"), run).count() == dated
+    aside = lake.read_run(spark, layout.table("quarantine", jobs.GAMES, "games"), run).collect()
+    expected = ["no id", "no id", "no records", "unreadable payload"] + ["no date"] * (mode == "incremental")
+    assert sorted(r.reason for r in aside) == sorted(expected)
+    assert all("games.json" in r.file for r in aside)
+    assert next(r.raw_text for r in aside if r.reason == "unreadable payload") == good[:300]
+    assert read_state(spark, layout.state(jobs.STATE)) == max(str(g[1]) for g in (games[0], games[4], games[5]))
+
+
+def test_an_old_day_again_gives_the_same_table(spark, tmp_path, games):
+    layout = LakeLayout(str(tmp_path))
+    land(tmp_path, "2024-06-01", games)
+    jobs.format_games(spark, layout, "2024-06-01", multi_line=True)
+    jobs.format_dimensions(spark, layout, "2024-06-01", multi_line=True)
+    jobs.combine_layer(spark, layout, "2024-06-01")
+    first = sorted(jobs.team_view(spark, layout, "2024-06-01").collect())
+    later = [{**t, "full_name": "Renamed " + t["full_name"]} for t in TEAMS]
+    put(tmp_path / "raw" / jobs.GAMES / "teams" / "dt=2024-06-05" / "teams.json", json.dumps(later, indent=1))
+    put(tmp_path / "raw" / jobs.VENUES / "teams" / "dt=2024-06-05" / "teams.json", json.dumps({"teams": VENUES}, indent=1))
+    jobs.format_dimensions(spark, layout, "2024-06-05", multi_line=True)
+    jobs.combine_layer(spark, layout, "2024-06-01")
+    assert sorted(jobs.team_view(spark, layout, "2024-06-01").collect()) == first
+    with pytest.raises(RuntimeError):
+        jobs.combine_layer(spark, layout, "2024-05-01")
+
+
 def test_nothing_landed(spark, tmp_path):
     layout = LakeLayout(str(tmp_path))
     with pytest.raises(RuntimeError):

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from league import GAMES, random_games
 from pyspark.sql import functions as F
 
 from leaguelake import fixtures, scale
+from leaguelake.operators import form as form_module
+from leaguelake.operators import lanes
+from leaguelake.operators import schedule as schedule_module
 from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.form import team_form
 from leaguelake.operators.lanes import enter
 from leaguelake.operators.matches import match_rows
-from leaguelake.operators.schedule import schedule_constants
+from leaguelake.operators.schedule import schedule_constants, schedule_strength
 from leaguelake.operators.sides import TEAM_GAMES, side_split
+from leaguelake.plans import metrics
 from leaguelake.scale import stored
 
 SF = "/root/testdata/sf0.001"
@@ -70,7 +75,39 @@ def test_edges_reach_the_shuffle_reduced(games):
     text = plan(enter(side_split(games), TEAM_GAMES, before=5, max_rows=20).rows)
     # One partial limit ahead of the shuffle, one final limit behind it.
     assert text.count("WindowGroupLimit") == 2
-    assert "partial_count" in text
+
+
+def test_joins_do_not_grow_with_the_horizon(spark, games):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = {h: count(schedule_strength(side_split(games), h), "SortMergeJoin") for h in (2, 5, 10)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert joins[2] == joins[5] == joins[10] <= 2
+
+
+@pytest.mark.parametrize("kind", ["constant", "simple", "strength"])
+def test_a_schedule_costs_no_second_pass_over_the_timelines(spark, games, kind, monkeypatch):
+    passes = []
+    whole = lanes.enter
+    for module in (form_module, schedule_module, metrics):
+        monkeypatch.setattr(module, "enter", lambda df, *a, **k: passes.append(a[0].entity) or whole(df, *a, **k))
+    metrics.team_rows(games, kind).count()
+    assert passes == [("team_id",)]
+
+
+def test_scratch_is_deleted(spark):
+    with scale.scratch(spark, "job"):
+        path = scale.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    assert not Path(path.removeprefix("file:")).parent.exists()
+
+
+def test_temporary_folders_are_refused_on_a_cluster():
+    assert scale.is_temporary("/tmp/x") and scale.is_temporary("file:/tmp/x") and scale.is_temporary("file:///var/tmp/a")
+    assert not scale.is_temporary("hdfs://store/tmp/x") and not scale.is_temporary("/mnt/shared/x")
 
 
 def test_scans_read_only_the_columns_needed(spark):

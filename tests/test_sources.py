@@ -23,7 +23,7 @@ def raw_game(i, date="2024-10-22T00:00:00.000Z", **more):
         "status": "Final",
         "home_team": {"id": 1, "full_name": "One"},
         "visitor_team": {"id": 2},
-        "home_team_score": 100 + i,
+        "home_team_score": 100 + (i if isinstance(i, int) else 0),
         "visitor_team_score": 90,
     }
     return {**game, **more}

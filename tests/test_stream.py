@@ -26,6 +26,15 @@ def test_only_new_files_are_loaded_and_later_runs_win(spark, tmp_path):
     assert len(list((tmp_path / "loads").glob("load=*"))) == 2
 
 
+def test_unreadable_rows_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "raw" / "dt=2024-11-01"
+    good = json.dumps({"data": [raw_game(1), raw_game("x"), raw_game(None)]})
+    put(folder / "a.json", good + "\n" + good[:100])
+    assert load(spark, tmp_path) == {1: 101}
+    aside = spark.read.parquet(str(tmp_path / "loads-quarantine")).collect()
+    assert sorted(r.reason for r in aside) == ["no id", "no id", "unreadable payload"]
+
+
 def test_a_late_file_of_an_older_run_does_not_win(spark, tmp_path):
     put(tmp_path / "raw" / "dt=2024-11-02" / "a.json", json.dumps([raw_game(1, home_team_score=2)]))
     load(spark, tmp_path)
