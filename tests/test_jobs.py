@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+import daily
 import pytest
 from league import expected_form, random_games
 from test_sources import put
@@ -189,6 +190,15 @@ def test_an_old_day_again_gives_the_same_table(spark, tmp_path, games):
         jobs.combine_layer(spark, layout, "2024-05-01")
 
 
+def test_a_day_from_the_command_line(spark, tmp_path, games, capsys):
+    land(tmp_path, "2024-06-01", games)
+    daily.main([str(tmp_path), "2024-06-01", "--cutoff", CUTOFF, "--multi-line", "--seasons", "2024", "2024",
+                "--dates", "2024-01-10", "-", "--schedule", "simple"])
+    assert set(json.loads(capsys.readouterr().out)) >= {"train_auc", "test_auc"}
+    team = jobs.team_view(spark, LakeLayout(str(tmp_path)), "2024-06-01")
+    assert str(team.agg({"game_date": "min"}).first()[0]) >= "2024-01-10"
+
+
 def test_nothing_landed(spark, tmp_path):
     layout = LakeLayout(str(tmp_path))
     with pytest.raises(RuntimeError):
