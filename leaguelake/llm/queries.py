@@ -68,7 +68,7 @@ def op7_sharding(spark, sf):
 
 @query
 def op8_warc(spark, sf):
-    return round_trip(table(spark, sf, "pages"))
+    return round_trip(table(spark, sf, "pages"), stable=True)
 
 
 ORACLE["op8_warc"] = ROUND_TRIP_SQL

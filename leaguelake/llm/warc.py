@@ -15,8 +15,9 @@ hashed where they are read; only those that hold the magic are put together agai
 
 Defined cases: a NULL html is an empty payload; a NULL page id has no header and sorts lowest; repeated
 rows get a record each (of equal rows one is the response); line breaks in an address become spaces;
-an empty table gives no rows; other columns are ignored. Payloads are whole. The numbered rows are
-stored first, so that what is a copy of what is decided and written over the same numbers.
+an empty table gives no rows; other columns are ignored. Payloads are whole. Rows are numbered to tell
+equal ones apart, and the input is read twice: unless it is ``stable`` (a scan of files, which gives
+the same rows in the same order each time) the numbered rows are stored first.
 """
 
 from __future__ import annotations
@@ -52,8 +53,14 @@ def _header(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(BREAK))).otherwise("")
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = "2000-01-01T00:00:00Z") -> None:
-    rows = stored(_row_ids(pages), "warc-rows")
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    least_bytes: int = LEAST_BYTES,
+    date: str = "2000-01-01T00:00:00Z",
+    stable: bool = False,
+) -> None:
+    rows = _row_ids(pages) if stable else stored(_row_ids(pages), "warc-rows")
     copies = (
         rows.where(F.col("bytes") >= least_bytes)
         .groupBy("digest", "bytes")
@@ -242,10 +249,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, stable: bool = False) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
-    write_archives(pages, path)
+    write_archives(pages, path, stable=stable)
     return read_archives(spark, path)
 
 
