@@ -16,6 +16,7 @@ go by words through a bounded memory of words, others through the tokenizer as t
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -32,7 +33,7 @@ from leaguelake.scale import stored
 
 LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
-MEMORY = 300_000  # words of which a task keeps the ids
+MEMORY = 700_000  # words of which a Python worker keeps the ids, some 150 MB
 SEGMENT = 1 << 20  # characters split at a time
 CLOSING = (0).to_bytes(4, "little")
 
@@ -40,7 +41,8 @@ CLOSING = (0).to_bytes(4, "little")
 _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼½¾"
 _SPACES = "\\t-\\r \\x85\\xa0"
-_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+_SPLIT = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+_WORD_END = "</w>"  # how tokens that end a word are spelled
 _SPACE = re.compile(f"[{_SPACES}]")
 
 
@@ -59,9 +61,28 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self._words(t) if self._is_plain(t) else self._whole(t) for t in texts]
+        """Words that a block of texts needs are looked up together."""
+        plain = [self._is_plain(t) for t in texts]
+        found = [_SPLIT.findall(t.lower()) if ok and len(t) <= SEGMENT else None for t, ok in zip(texts, plain, strict=True)]
+        self._learn(set().union(*(f for f in found if f)))
+        out = [f if f is None else b"".join(map(self._known.__getitem__, f)) for f in found]
+        for i, text in enumerate(texts):
+            if out[i] is None:
+                out[i] = self._words(text) if plain[i] else self._whole(text)
+        return out
+
+    def _learn(self, needed: set[str]) -> None:
+        missing = [w for w in needed if w not in self._known]
+        if missing:
+            if len(self._known) + len(missing) > MEMORY:
+                self._known.clear()
+                missing = list(needed)
+            self._known.update(zip(missing, self._each(missing), strict=True))
 
     @staticmethod
     def _is_plain(text: str) -> bool:
@@ -76,21 +97,31 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _each(self, found: list[str]) -> list[bytes]:
+        """The ids of each word: all words as one text, whose ids are cut after every end of a word."""
+        (coded,) = self._tokenizer.encode_batch_fast([" ".join(found)], add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        stops = ((np.flatnonzero(self._ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(found):
+            return [self._whole(word) for word in found]
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
     def _words(self, text: str) -> bytes:
         out = []
         for segment in _segments(text.lower()):
             found = _SPLIT.findall(segment)
-            missing = [w for w in set(found) if w not in self._known]
-            if missing:
-                if len(self._known) + len(missing) > MEMORY:
-                    self._known.clear()
-                    missing = list(set(found))
-                for word, coded in zip(missing, self._tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-                    self._known[word] = np.array(coded.ids, "<u4").tobytes()
+            self._learn(set(found))
             out.append(b"".join(map(self._known.__getitem__, found)))
         return b"".join(out)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 def _segments(text: str) -> Iterator[str]:
     """Parts of a text cut at spaces, which no token crosses."""
     at = 0
@@ -109,14 +140,14 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "lane", "place"] + ["ids"] * with_ids
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        coder = encoder(path)
         lane = TaskContext.get().partitionId()
         made = np.zeros(length + 1, np.int64)
         for batch in batches:
             for block in blocks(batch.column("text")):
                 ids = batch.column("doc_id").slice(block.lo, len(block)).to_pylist()
                 rows = []
-                for doc_id, coded in zip(ids, encoder.encode([block.text(i) for i in range(len(block))]), strict=True):
+                for doc_id, coded in zip(ids, coder.encode([block.text(i) for i in range(len(block))]), strict=True):
                     coded += CLOSING
                     for k, at in enumerate(range(0, len(coded), 4 * length)):
                         part = coded[at : at + 4 * length]
