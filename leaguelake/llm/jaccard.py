@@ -11,10 +11,13 @@ ends are already known to be connected are not computed.
    most links at the price of a few pairs per row, and families of near copies become components.
 4. What that missed is found by prefixes. In one order of all shingles, rare before frequent, linked
    sets share a shingle among their first quarter. Rows are dealt by these shingles. A short run of
-   rows with one shingle gives its pairs of matching size from different components. A long run is
-   cut into tiles by size band (bands differ by the largest ratio linked sets can have, so a band meets
-   itself and the next) and, within a band, by hash; pairs of tiles are compared as bitmaps, and only
-   pairs whose bit counts leave room for the overlap go on.
+   rows with one shingle gives its pairs of matching size from different components. The rows of long
+   runs are first compared exactly within tiles of bounded size, which gives links that span the
+   tile and not all pairs; so families whose members are barely alike become components, too. Runs
+   that still hold several components are then cut into tiles by size band (bands differ by the largest
+   ratio linked sets can have, so a band meets itself and the next) and, within a band, by hash; all
+   pairs of tiles are compared as bitmaps, and pairs from different components whose bit counts leave
+   room for the overlap go on.
 5. All pairs from 3 and 4 pass the bitmap bound, then the sorted arrays are intersected.
 
 How frequent a shingle is, is counted over all documents into a fixed number of cells; an overestimate
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.llm.arrays import summed
@@ -52,6 +55,8 @@ MOST_BITS = 1 << 16
 TOP_GROUPS = 100_000
 RUN = 64  # rows with one shingle that are paired without tiles
 TILE = 512
+TILE_BYTES = 16 << 20  # of arrays compared exactly in one tile
+PICKS = 3  # long runs a row is compared in before all pairs of tiles are
 ROW_SCHEMA = "row long, doc_id long, n long, sig_a long, sig_b long, keys array<long>, bits binary, shingles binary"
 
 
@@ -78,7 +83,8 @@ def shingle_sets(block: Block, width: int = WORDS) -> tuple[np.ndarray, np.ndarr
 
 
 def bit_widths(sizes: np.ndarray) -> np.ndarray:
-    return 2 ** np.ceil(np.log2(np.clip(sizes, 64, MOST_BITS))).astype(np.int64)
+    """Two to four bits an element: then sets a little too far apart are told by their bitmaps."""
+    return 2 ** np.ceil(np.log2(np.clip(2 * sizes, 64, MOST_BITS))).astype(np.int64)
 
 
 def parity_bits(keys: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -362,11 +368,58 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from handle(carry)
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of runs that hold more than one component; the others have nothing to add."""
+    runs = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+    return stored(rows.join(stored(runs.select("token"), "shingle-mixed"), "token", "left_semi"), "shingle-long-runs")
+
+
+def _spanning_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components within tiles of long runs, enough to connect what is linked there."""
+    if rows.isEmpty():
+        return rows.select(F.col("row").alias("a"), F.col("row").alias("b"))
+    size = stored(
+        rows.groupBy("token").agg(
+            F.count("*").alias("k"),
+            F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.col("n") * 6) / TILE_BYTES)).alias("tiles"),
+        ),
+        "shingle-run-sizes",
+    )
+    longest = Window.partitionBy("row").orderBy(F.desc("k"), "token")
+    picked = stored(
+        rows.join(size, "token").withColumn("pick", F.row_number().over(longest)).where(F.col("pick") <= PICKS)
+        .select("token", "row", "comp", F.pmod(F.xxhash64("row", "token"), F.col("tiles")).alias("tile")),
+        "shingle-picked",
+    )
+    ids = stored(picked.select("row").distinct(), "shingle-long-rows")
+    arrays = stored(sets.join(small(ids), "row", "left_semi").select("row", "n", "bits", "shingles"), "shingle-long-arrays")
+    return picked.join(arrays, "row").groupBy("token", "tile").applyInPandas(_connect, "a long, b long")
+
+
+def _connect(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("row", ignore_index=True)
+    width = min(map(len, frame["bits"])) * 8
+    bits = np.stack([folded(x, width) for x in frame["bits"]])
+    n, comp, row = (frame[c].to_numpy() for c in ("n", "comp", "row"))
+    comp = comp.copy()
+    arrays = [unpack(x) for x in frame["shingles"]]
+    found = []
+    for i in range(len(row)):
+        fits = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
+        fits[: i + 1] = False
+        others = np.flatnonzero(fits)
+        differ = np.bitwise_count(bits[others] ^ bits[i]).sum(1).astype(np.int64)
+        for j in others[may_overlap(n[others], n[i], differ)].tolist():
+            if comp[j] != comp[i]:
+                common = overlap(arrays[i], arrays[j])
+                if 100 * common >= PERCENT * (n[i] + n[j] - common):
+                    found.append((row[i], row[j]))
+                    comp[comp == comp[j]] = comp[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def _tile_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs from the long runs: tiles of one or two neighbouring size bands, compared as bitmaps."""
-    # a run within one component has nothing to add
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-    rows = stored(rows.join(stored(mixed.select("token"), "shingle-mixed"), "token", "left_semi"), "shingle-long-runs")
     if rows.isEmpty():
         return rows.select(F.col("row").alias("a"), F.col("row").alias("b"))
     ids = stored(rows.select("row").distinct(), "shingle-long-rows")
@@ -417,21 +470,37 @@ def _compare_tiles(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _missed_pairs(sets: DataFrame, groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates among rows of different components that share a shingle of their prefixes."""
+def _with_root(rows: DataFrame, roots: DataFrame, row: str, name: str) -> DataFrame:
+    """``rows`` with the component of their column ``row``: its root, or itself."""
+    known = small(roots).select(F.col("row").alias(row), F.col("root").alias("__root"))
+    return rows.join(known, row, "left").withColumn(name, F.coalesce("__root", row)).drop("__root")
+
+
+def _missed_links(sets: DataFrame, groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links among rows of different components that share a shingle of their prefixes."""
     context = sets.sparkSession.sparkContext
     level = context.broadcast(levels(shingle_counts(sets)))
     largest = groups.orderBy(F.desc("copies"), "first").limit(TOP_GROUPS).collect()
     firsts = context.broadcast({(r["n"], r["sig_a"], r["sig_b"]): r["first"] for r in largest})
     heavy = sets.where("n > 0").select("row", "n", "sig_a", "sig_b", "shingles")
-    known = heavy.join(small(roots), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
-    tokens = known.mapInArrow(prefix_rows(level, firsts), "token long, row long, n long, comp long")
+    tokens = _with_root(heavy, roots, "row", "comp").mapInArrow(
+        prefix_rows(level, firsts), "token long, row long, n long, comp long"
+    )
     runs = stored(
         tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_runs, "token long, a long, b long, n long, comp long"),
         "shingle-runs",
     )
-    long = runs.where("b IS NULL").select("token", F.col("a").alias("row"), "n", "comp")
-    return runs.where("b IS NOT NULL").select("a", "b").union(_tile_pairs(long, sets))
+    long = _mixed(runs.where("b IS NULL").select("token", F.col("a").alias("row"), "n", "comp"))
+    near = stored(_spanning_links(long, sets), "shingle-links")
+    roots = stored(components(near.union(_edges(roots))), "shingle-roots")
+    long = _mixed(_with_root(long.drop("comp"), roots, "row", "comp"))
+    pairs = runs.where("b IS NOT NULL").select("a", "b").union(_tile_pairs(long, sets))
+    apart = _with_root(_with_root(pairs, roots, "a", "x"), roots, "b", "y").where("x <> y").select("a", "b")
+    return stored(_linked(apart, sets), "shingle-links").union(_edges(roots))
+
+
+def _edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("row").alias("a"), F.col("root").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -446,9 +515,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = stored(
         stars.union(copies.join(own, "first", "left").select("row", F.coalesce("root", "first").alias("root"))), "shingle-roots"
     )
-    more = stored(_linked(_missed_pairs(sets, groups, roots), sets), "shingle-links")
-    # links between rows, and from every row of a known component to its root
-    final = stored(components(more.union(roots.select(F.col("row").alias("a"), F.col("root").alias("b")))), "shingle-roots")
+    final = stored(components(_missed_links(sets, groups, roots)), "shingle-roots")
     rooted = stored(
         members.join(final, "row", "left").select("row", "doc_id", "n", F.coalesce("root", "row").alias("root")), "shingle-rooted"
     )

@@ -86,14 +86,17 @@ def test_equals_brute_force(spark, rows):
     assert result(near_duplicates(documents(spark, rows))) == brute(rows)
 
 
-def test_long_runs_reach_the_tiles(spark, rows, monkeypatch):
+@pytest.mark.parametrize("spanning", [True, False])
+def test_long_runs(spark, rows, monkeypatch, spanning):
+    """Without stars everything has to be found by prefixes; without spanning links by all pairs of tiles."""
     seen = []
-    tile_pairs = jaccard._tile_pairs
+    tile_pairs, none = jaccard._tile_pairs, lambda rows, *_: rows.selectExpr("row AS a", "row AS b").where("a < 0")
     monkeypatch.setattr(jaccard, "_tile_pairs", lambda r, s: seen.append(r.count()) or tile_pairs(r, s))
-    monkeypatch.setattr(jaccard, "_star_pairs", lambda sets, members: members.selectExpr("row AS a", "row AS b").where("a < 0"))
-    # without stars everything has to be found by prefixes
+    monkeypatch.setattr(jaccard, "_star_pairs", lambda sets, members: none(members))
+    if not spanning:
+        monkeypatch.setattr(jaccard, "_spanning_links", none)
     assert result(near_duplicates(documents(spark, rows))) == brute(rows)
-    assert seen[0] > 100
+    assert spanning or seen[0] > 100
 
 
 def test_one_of_each_group_stays(spark, tmp_path, rows):
