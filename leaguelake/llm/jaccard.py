@@ -115,7 +115,14 @@ def _pack(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
 
 
-def unpack(data: bytes) -> np.ndarray:
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column and where each value begins, without copying them."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), offsets
+
+
+def unpack(data: bytes | np.ndarray) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
     return out.view(np.uint64).ravel()
@@ -246,11 +253,14 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
     """In how many rows the shingles of each cell occur, over all rows."""
 
     def fill(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        joined = b"".join(x for x in batch.column("shingles").to_pylist() if x)
-        step = 6 << 18
-        for lo in range(0, len(joined), step):
-            cells = (unpack(joined[lo : lo + step]) & np.uint64(CELLS - 1)).astype(np.int64)
-            total += np.bincount(cells, minlength=CELLS)
+        if not batch.num_rows:
+            return
+        data, offsets = _binary(batch.column("shingles"))
+        step = 6 << 16
+        for lo in range(int(offsets[0]), int(offsets[-1]), step):
+            part = data[lo : min(lo + step, int(offsets[-1]))]
+            cells = (unpack(part) & np.uint64(CELLS - 1)).astype(np.int64)
+            np.add.at(total, cells, 1)
 
     return summed(sets.select("shingles"), fill, CELLS)
 
@@ -273,15 +283,16 @@ def prefix_rows(level, groups):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_of = groups.value
         for batch in batches:
-            rows, comps, sizes, data = (batch.column(c).to_pylist() for c in ("row", "comp", "n", "shingles"))
+            rows, comps, sizes = (batch.column(c).to_pylist() for c in ("row", "comp", "n"))
+            data, offsets = _binary(batch.column("shingles")) if rows else (None, None)
             signs = zip(sizes, batch.column("sig_a").to_pylist(), batch.column("sig_b").to_pylist(), strict=True)
             own = [i for i, s in enumerate(signs) if sizes[i] and first_of.get(s, rows[i]) == rows[i]]
             for lo in range(0, len(own), 256):
                 part = own[lo : lo + 256]
                 if not part:
                     continue
-                n = np.array([len(data[i]) // 6 for i in part])
-                keys = unpack(b"".join(data[i] for i in part))
+                n = np.array([(offsets[i + 1] - offsets[i]) // 6 for i in part], np.int64)
+                keys = unpack(np.concatenate([data[offsets[i] : offsets[i + 1]] for i in part]))
                 owner = np.repeat(np.arange(len(part)), n)
                 order = np.lexsort((level.value[(keys & np.uint64(CELLS - 1)).astype(np.int64)], owner))
                 begin = np.concatenate(([0], np.cumsum(n)))

@@ -16,7 +16,6 @@ go by words through a bounded memory of words, others through the tokenizer as t
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import zlib
@@ -33,7 +32,7 @@ from leaguelake.scale import stored
 
 LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
-MEMORY = 700_000  # words of which a Python worker keeps the ids, some 150 MB
+MEMORY = 200_000  # words of which a task keeps the ids, some 50 MB
 SEGMENT = 1 << 20  # characters split at a time
 CLOSING = (0).to_bytes(4, "little")
 
@@ -116,12 +115,6 @@ class Encoder:
         return b"".join(out)
 
 
-@functools.cache
-def encoder(path: str) -> Encoder:
-    """One for all tasks of a Python worker."""
-    return Encoder(path)
-
-
 def _segments(text: str) -> Iterator[str]:
     """Parts of a text cut at spaces, which no token crosses."""
     at = 0
@@ -140,7 +133,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "lane", "place"] + ["ids"] * with_ids
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = Encoder(path)
         lane = TaskContext.get().partitionId()
         made = np.zeros(length + 1, np.int64)
         for batch in batches:
