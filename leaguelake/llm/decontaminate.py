@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare word triples as seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word triples as seeds, then Smith-Waterman alignment.
 
 Words are runs of digits, letters and non-ASCII characters with A-Z lowered, so layout and punctuation
-do not matter. How many documents hold each triple of the test items is counted over all documents;
-every item keeps its rarest triples as seeds. Rare is meant among the item's own, so an item that
-leaked a thousand times still has seeds. Documents that hit at least two seeds of an item near each
-other are aligned with it there, word by word; edited copies keep most of the score. A pair counts
-when the best alignment reaches ``score`` of what the whole item would score.
+do not matter. All triples of an item that occur in some document are its seeds: how few of them an
+edited or shortened copy keeps is not known beforehand, so none is left out for being common.
+Documents that hit at least two seeds of an item near each other are aligned with it there, word by
+word, unless the words alone show that no alignment can reach the bar; edited copies keep most of the
+score. A pair counts when the best alignment reaches ``score`` of what the whole item would score.
 
 Items are taken in blocks of bounded size, each broadcast as a sorted array of seeds and answered by
 every whole document, so benchmarks of any size are served, one pass more per block. Nothing about the
@@ -37,7 +37,6 @@ MATCH, MISS, GAP = 2, -1, -1
 
 @dataclass(frozen=True)
 class Settings:
-    seeds: int = 32  # of an item
     hits: int = 2  # near each other, if the item has that many seeds
     score: float = 0.5  # of the item's own
     least_words: int = 8  # what must be found whole of short items
@@ -46,7 +45,8 @@ class Settings:
 
 @dataclass(frozen=True)
 class Items:
-    """Word hashes of the items of a block; seeds ascending, each with the items and places it stands for."""
+    """Word hashes of the items of a block; seeds ascending, each with the items it stands for and with
+    its first and last place there."""
 
     ids: list
     words: list[np.ndarray]
@@ -54,6 +54,7 @@ class Items:
     first: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    last: np.ndarray
     needed: np.ndarray
 
 
@@ -100,7 +101,7 @@ def _find(keys: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prepared(rows: list, docs: DataFrame, s: Settings) -> Items | None:
-    """Seeds of the items (item_id, text), rarest over ``docs`` first."""
+    """Seeds of the items (item_id, text): their triples that occur in ``docs``."""
     texts = [r["text"] or "" for r in rows]
     item_words: list[np.ndarray] = []
     for block in blocks(pa.array(texts, pa.string())):
@@ -118,23 +119,28 @@ def prepared(rows: list, docs: DataFrame, s: Settings) -> Items | None:
             hashes, bounds = hashed(block)
             keys, first = _text_seeds(hashes, bounds, widths)
             hit, seed = _find(keys, shared.value)
-            owner = np.searchsorted(bounds, first[hit], "right") - 1
-            pairs = np.unique(owner * len(shared.value) + seed)
-            total += np.bincount(pairs % len(shared.value), minlength=len(total))
+            total += np.bincount(seed, minlength=len(total))
 
-    frequency = summed(docs.select("text"), fill, len(every))
-    keys, items, places, needed = [], [], [], []
+    occurs = summed(docs.select("text"), fill, len(every)) > 0
+    keys, items, places, lasts, needed = [], [], [], [], []
     for i, (own, at) in enumerate(found):
-        rarity = frequency[np.searchsorted(every, own)]
-        chosen = np.lexsort((at, rarity))[: s.seeds]
-        keys.append(own[chosen])
-        items.append(np.full(len(chosen), i))
-        places.append(at[chosen])
-        needed.append(min(s.hits, len(chosen)))
-    key, item, place = np.concatenate(keys), np.concatenate(items).astype(np.int64), np.concatenate(places).astype(np.int64)
+        distinct, place = np.unique(own, return_index=True)
+        last = len(own) - 1 - np.unique(own[::-1], return_index=True)[1]
+        there = occurs[np.searchsorted(every, distinct)]
+        keys.append(distinct[there])
+        items.append(np.full(there.sum(), i))
+        places.append(at[place[there]])
+        lasts.append(at[last[there]])
+        needed.append(min(s.hits, int(there.sum())))
+    key, item = np.concatenate(keys), np.concatenate(items).astype(np.int64)
+    place, last = np.concatenate(places).astype(np.int64), np.concatenate(lasts).astype(np.int64)
+    if not len(key):
+        return None
     order = np.argsort(key, kind="stable")
     seeds, first = np.unique(key[order], return_index=True)
-    return Items([r["item_id"] for r in rows], item_words, seeds, np.append(first, len(key)), item[order], place[order], np.array(needed))
+    return Items(
+        [r["item_id"] for r in rows], item_words, seeds, np.append(first, len(key)), item[order], place[order], last[order], np.array(needed)
+    )
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -159,6 +165,17 @@ def bar(n: int, s: Settings) -> float:
     return max(s.score * MATCH * n, s.least_score * MATCH * min(n, s.least_words))
 
 
+def may_reach(text: np.ndarray, item: np.ndarray, least: float) -> bool:
+    """Whether an alignment may score ``least``: each word of it gains at most MATCH, if the other side
+    has it too, and else costs at least one; of either side a stretch is aligned."""
+    for one, other in ((text, np.unique(item)), (item, np.unique(text))):
+        at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+        level = np.concatenate(([0], np.cumsum(np.where(other[at] == one, MATCH, max(MISS, GAP)))))
+        if (level - np.minimum.accumulate(level)).max() < least:
+            return False
+    return True
+
+
 def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, float, int, int]]:
     """(text, item, score, first word, word after the last) of every contaminated pair of a block."""
     hashes, bounds = hashed(block)
@@ -172,25 +189,32 @@ def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, flo
     times = items.first[seed + 1] - items.first[seed]
     entry = np.repeat(items.first[seed], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     at = np.repeat(first[hit], times)
-    item, begin = items.item[entry], at - items.place[entry]
+    # a triple that repeats in the item lets the alignment begin anywhere from ``begin`` to ``latest``
+    item, begin, latest = items.item[entry], at - items.last[entry], at - items.place[entry]
     owner = np.searchsorted(bounds, at, "right") - 1
     order = np.lexsort((begin, item, owner))
-    owner, item, begin, at = owner[order], item[order], begin[order], at[order]
+    owner, item, begin, latest = owner[order], item[order], begin[order], latest[order]
     lengths = np.array([len(w) for w in items.words])
     # hits whose alignments would begin within an item's length of each other belong together
     cut = np.ones(len(owner), bool)
-    cut[1:] = (owner[1:] != owner[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > lengths[item[1:]])
+    cut[1:] = (owner[1:] != owner[:-1]) | (item[1:] != item[:-1])
+    apart = np.cumsum(cut) * (len(hashes) + 2 * int(lengths.max()) + 1)
+    reach = np.maximum.accumulate(latest + apart)
+    cut[1:] |= begin[1:] + apart[1:] - reach[:-1] > lengths[item[1:]]
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(owner))
+    # an item has one seed at most at a place, so these are different places
+    enough = ends - starts >= items.needed[item[starts]]
+    starts, ends = starts[enough], ends[enough]
     out: dict[tuple[int, int], tuple[float, int, int]] = {}
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
         i, t = int(item[a]), int(owner[a])
-        if len(np.unique(at[a:b])) < items.needed[i]:
-            continue
         own = items.words[i]
         lo = max(int(bounds[t]), int(begin[a]) - len(own))
-        hi = min(int(bounds[t + 1]), int(begin[b - 1]) + 2 * len(own))
+        hi = min(int(bounds[t + 1]), int(reach[b - 1] - apart[b - 1]) + 2 * len(own))
         part = hashes[lo:hi]
+        if not may_reach(part, own, bar(len(own), s)):
+            continue
         score, end = align(part, own)
         if score < bar(len(own), s):
             continue

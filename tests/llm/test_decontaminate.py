@@ -120,3 +120,23 @@ def test_awkward_rows_and_items(spark, items):
 def test_empty_documents(spark):
     empty = documents(spark, {1: ""}).where("doc_id < 0")
     assert contaminated(empty, table_of(spark, [(1, "a b c d e f g h i")])).count() == 0
+
+
+def test_a_lone_edited_or_shortened_copy_is_found(spark):
+    item = [f"w{i}" for i in range(100)]
+    prose = [f"p{i * 7 % 40}" for i in range(80)]
+    every = lambda n, own: [f"new{i}" if i % n == 0 else w for i, w in enumerate(own)]
+    copies = {1: every(4, item[:50]), 2: every(5, item[:59]), 3: every(9, item), 4: item[:60], 5: item[40:]}
+    items = {1: item[:50], 2: item[:59], 3: item, 4: item, 5: item}
+    for k, copy in copies.items():
+        docs = documents(spark, {k: " ".join(prose + copy + prose), 9: " ".join(prose)})
+        want = plain_alignment(copy, items[k]) / (2 * len(items[k]))
+        got = contaminated(docs, table_of(spark, [(k, " ".join(items[k]))])).collect()
+        assert want >= S.score and [(r.doc_id, r.item_id, r.score) for r in got] == [(k, k, want)]
+
+
+def test_items_that_repeat_their_triples(spark):
+    item = " ".join(["da", "du", "di"] * 20 + [f"x{i}" for i in range(20)])
+    text = " ".join(["before"] * 30 + item.split()[30:] + ["after"] * 30)
+    row = contaminated(documents(spark, {1: text, 2: "da du di " * 3}), table_of(spark, [(7, item)])).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.first_word, r.last_word) for r in row] == [(1, 7, 0.625, 30, 79)]
