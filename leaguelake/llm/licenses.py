@@ -2,7 +2,7 @@
 
 Every license family below gives one rule per form (identifier tag, grant, address, title), a few
 hundred regular expressions in all. A rule is tried only on texts that hold its family's keyword and
-its form's; keywords are looked up once per block of texts. Of overlapping detections, one that lies
+its form's; keywords are looked up once per block of texts, those of two letters as whole words. Of overlapping detections, one that lies
 inside another of higher priority, or of the same priority and greater length, is dropped.
 
 Words are runs of digits, letters and non-ASCII characters after A-Z are lowered; separators between
@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguelake.llm.textbuf import LOWER, NOT_ALNUM, Block, blocks, words
+from leaguelake.llm.textbuf import LOWER, NOT_ALNUM, Block, Words, blocks, words
 
-# Label, keyword every mention holds, name (words of its title), identifier, address.
+# Label, keyword every mention holds (one word, since separators are free), name (words of its title), identifier, address.
 FAMILIES = (
     ("0bsd", "0bsd|zero", "(?:0bsd|zero clause bsd)", "0bsd", "opensource org licenses 0bsd"),
     ("afl-3.0", "academic", "academic free license(?: v(?:ersion)?)? 3 0", "afl 3 0", "opensource org licenses afl 3 0"),
@@ -43,12 +43,12 @@ FAMILIES = (
     ("bsl-1.0", "boost", "boost software license(?: v(?:ersion)?)?(?: 1 0)?", "bsl 1 0", "boost org license 1 0"),
     ("busl-1.1", "business", "business source license(?: 1 1)?", "busl 1 1", "mariadb com bsl11"),
     ("cc0-1.0", "cc0|zero", "(?:cc0(?: 1 0)?|creative commons zero)", "cc0 1 0", "creativecommons org publicdomain zero"),
-    ("cc-by", "cc by|cc-by|cc_by|attribution", "(?:cc by|creative commons attribution)(?: v?[1-4] [0-9])?(?! n| s)", "cc by [1-4] [0-9]", "creativecommons org licenses by [1-4]"),
-    ("cc-by-nc", "by-nc|by nc|commercial", "(?:cc by nc|creative commons attribution non ?commercial)(?: v?[1-4] [0-9])?(?! n| s)", "cc by nc [1-4] [0-9]", "creativecommons org licenses by nc [1-4]"),
-    ("cc-by-nc-nd", "nc-nd|nc nd|noderiv", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv[a-z]+)(?: v?[1-4] [0-9])?", "cc by nc nd [1-4] [0-9]", "creativecommons org licenses by nc nd"),
-    ("cc-by-nc-sa", "nc-sa|nc sa|alike", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: v?[1-4] [0-9])?", "cc by nc sa [1-4] [0-9]", "creativecommons org licenses by nc sa"),
-    ("cc-by-nd", "by-nd|by nd|noderiv", "(?:cc by nd|creative commons attribution no ?deriv[a-z]+)(?: v?[1-4] [0-9])?", "cc by nd [1-4] [0-9]", "creativecommons org licenses by nd"),
-    ("cc-by-sa", "by-sa|by sa|alike", "(?:cc by sa|creative commons attribution share ?alike)(?: v?[1-4] [0-9])?", "cc by sa [1-4] [0-9]", "creativecommons org licenses by sa"),
+    ("cc-by", "cc|attribution", "(?:cc by|creative commons attribution)(?: v?[1-4] [0-9])?(?! n| s)", "cc by [1-4] [0-9]", "creativecommons org licenses by [1-4]"),
+    ("cc-by-nc", "cc|commercial", "(?:cc by nc|creative commons attribution non ?commercial)(?: v?[1-4] [0-9])?(?! n| s)", "cc by nc [1-4] [0-9]", "creativecommons org licenses by nc [1-4]"),
+    ("cc-by-nc-nd", "cc|deriv", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv[a-z]+)(?: v?[1-4] [0-9])?", "cc by nc nd [1-4] [0-9]", "creativecommons org licenses by nc nd"),
+    ("cc-by-nc-sa", "cc|alike", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: v?[1-4] [0-9])?", "cc by nc sa [1-4] [0-9]", "creativecommons org licenses by nc sa"),
+    ("cc-by-nd", "cc|deriv", "(?:cc by nd|creative commons attribution no ?deriv[a-z]+)(?: v?[1-4] [0-9])?", "cc by nd [1-4] [0-9]", "creativecommons org licenses by nd"),
+    ("cc-by-sa", "cc|alike", "(?:cc by sa|creative commons attribution share ?alike)(?: v?[1-4] [0-9])?", "cc by sa [1-4] [0-9]", "creativecommons org licenses by sa"),
     ("cddl-1.0", "cddl|development", "(?:cddl(?: 1 0)?|common development and distribution license(?: v(?:ersion)?)?(?: 1 0)?)", "cddl 1 0", "opensource org licenses cddl"),
     ("cecill-2.1", "cecill", "cecill(?: v(?:ersion)?)?(?: 2(?: 1)?)?", "cecill 2 1", "cecill info licences"),
     ("cpl-1.0", "common", "common public license(?: v(?:ersion)?)?(?: 1 0)?", "cpl 1 0", "opensource org licenses cpl1 0"),
@@ -97,7 +97,7 @@ GRANT = "(?:licen[cs]ed|released|distributed|available|published|provided|used)
 # form: keyword, words before, words after, priority, confidence; the part of the family it uses
 FORMS = (
     ("identifier", "spdx", "spdx license identifier ", "", 4, 0.99),
-    ("name", " under", GRANT, "", 3, 0.95),
+    ("name", "under", GRANT, "", 3, 0.95),
     ("address", "http", "https? (?:www )?", "", 2, 0.9),
     ("name", "", "", "", 1, 0.7),
 )
@@ -146,10 +146,17 @@ def keywords() -> tuple[bytes, ...]:
     return tuple(sorted({b"license"} | {k for rule in rules() for one in rule.keywords for k in one}))
 
 
-def held_keywords(block: Block, lowered: bytes) -> dict[int, set[bytes]]:
+def held_keywords(block: Block, lowered: bytes, found: Words) -> dict[int, set[bytes]]:
     """The keywords each text holds; texts without any are left out."""
     out: dict[int, set[bytes]] = {}
+    pairs = found.starts[found.ends - found.starts == 2]
+    first, second = LOWER[block.data[pairs]], LOWER[block.data[pairs + 1]]
     for keyword in keywords():
+        if len(keyword) == 2:
+            at = pairs[(first == keyword[0]) & (second == keyword[1])]
+            for i in np.unique(np.searchsorted(block.offsets, at, "right") - 1).tolist():
+                out.setdefault(i, set()).add(keyword)
+            continue
         at = lowered.find(keyword)
         while at >= 0:
             i = int(np.searchsorted(block.offsets, at, "right")) - 1
@@ -191,7 +198,7 @@ def with_licenses(docs: DataFrame) -> DataFrame:
             for block in blocks(batch.column("text")):
                 found = words(block, NOT_ALNUM)
                 lowered = LOWER[block.data].tobytes()
-                held = held_keywords(block, lowered)
+                held = held_keywords(block, lowered, found)
                 n = len(block)
                 places, first, last, score = [0] * n, [None] * n, [None] * n, [0.0] * n
                 base, labels, detections = [""] * n, [""] * n, [[] for _ in range(n)]

@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import re
 
-from leaguelake.llm.licenses import BASE, rules, with_licenses
+import pyarrow as pa
+
+from leaguelake.llm.licenses import BASE, FAMILIES, detect, held_keywords, keywords, rules, with_licenses
+from leaguelake.llm.textbuf import LOWER as LOWER_BYTES
+from leaguelake.llm.textbuf import NOT_ALNUM, blocks, words
 from rows import awkward, documents
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -65,3 +69,43 @@ def test_there_are_hundreds_of_rules():
 
 def test_empty_table(spark):
     assert with_licenses(documents(spark, {1: ""}).where("doc_id < 0")).count() == 0
+
+
+def examples(spaced):
+    """Texts a signature of groups, options and classes matches: every alternative, with and without options."""
+    spaced = re.sub(r"\(\?!.*?\)", "", spaced)
+    group = re.search(r"\(\?:([^()]*)\)(\??)", spaced)
+    if group:
+        for choice in [*group[1].split("|"), *([""] if group[2] else [])]:
+            yield from examples(spaced[: group.start()] + choice + spaced[group.end() :])
+        return
+    spaced = re.sub(r"\[([a-z0-9])[^\]]*\]\+?", r"\1", spaced)
+    optional = re.search(r"(.)\?", spaced)
+    if optional:
+        for kept in (optional[1], ""):
+            yield from examples(spaced[: optional.start()] + kept + spaced[optional.end() :])
+        return
+    yield spaced
+
+
+def test_keywords_spare_no_text_with_a_match():
+    phrases = {x for _, _, *parts in FAMILIES for spaced in parts for x in examples(spaced)}
+    grants = ["", "licensed under the ", "released under terms of ", "spdx license identifier ", "https www ", "http "]
+    texts = [(before + x).replace(" ", gap) for x in sorted(phrases) for before in grants for gap in (" ", "\n", "_", "-", "  \n# ")]
+    texts += ["Creative Commons Attribution-No Derivative Works 3.0", "CC BY\nND 4.0", "CC_BY_ND 4.0", "success, cc, \u00e9cc by"]
+    every, labels = set(keywords()), set()
+    for block in blocks(pa.array(texts)):
+        lowered = LOWER_BYTES[block.data].tobytes()
+        held = held_keywords(block, lowered, words(block, NOT_ALNUM))
+        for i in range(len(block)):
+            text = lowered[block.offsets[i] : block.offsets[i + 1]]
+            want = detect(text, every)
+            assert detect(text, held.get(i, set())) == want, text
+            labels |= {x[3] for x in want}
+    assert labels == {f[0] for f in FAMILIES}
+
+
+def test_notices_with_other_separators(spark):
+    texts = {1: "Creative Commons Attribution-No Derivative Works 3.0", 2: "CC BY\nND 4.0", 3: "CC_BY_ND 4.0", 4: "Licensed\nunder the MIT License"}
+    got = {r.doc_id: (r.labels, r.score) for r in with_licenses(documents(spark, texts)).collect()}
+    assert got == {1: ("cc-by-nd", 0.7), 2: ("cc-by-nd", 0.7), 3: ("cc-by-nd", 0.7), 4: ("mit", 0.95)}
