@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from leaguelake.llm.arrays import summed
 from leaguelake.llm.graph import components, small
 from leaguelake.llm.textbuf import LOWER, SPACES, Block, blocks, grams, mix, span_hashes, words
-from leaguelake.scale import stored
+from leaguelake.scale import AT, FILE, placed, stored
 
 WORDS = 5
 PERCENT = 75
@@ -57,7 +57,7 @@ RUN = 64  # rows with one shingle that are paired without tiles
 TILE = 512
 TILE_BYTES = 16 << 20  # of arrays compared exactly in one tile
 PICKS = 3  # long runs a row is compared in before all pairs of tiles are
-ROW_SCHEMA = "row long, doc_id long, n long, sig_a long, sig_b long, keys array<long>, bits binary, shingles binary"
+SET_SCHEMA = "n long, sig_a long, sig_b long, keys array<long>, bits binary, shingles binary"
 
 
 def shingle_sets(block: Block, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +129,9 @@ def unpack(data: bytes | np.ndarray) -> np.ndarray:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["row", "doc_id", "n", "sig_a", "sig_b", "keys", "bits", "shingles"]
+    names = ["n", "sig_a", "sig_b", "keys", "bits", "shingles"]
     for batch in batches:
+        own = [c for c in batch.schema.names if c != "text"]
         for block in blocks(batch.column("text")):
             keys, bounds = shingle_sets(block)
             n = np.diff(bounds)
@@ -145,7 +146,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     least[some, j] = np.minimum.reduceat(mix(keys ^ np.uint64(0x9E3779B97F4A7C15 * (j + 1) % 2**64)), starts)
             packed = _pack(keys).tobytes()
             lists = pa.ListArray.from_arrays(np.arange(len(block) + 1, dtype=np.int32) * KEYS, pa.array(least.ravel().view(np.int64)))
-            ids = [batch.column(c).slice(block.lo, len(block)) for c in ("row", "doc_id")]
+            ids = [batch.column(c).slice(block.lo, len(block)) for c in own]
             yield pa.RecordBatch.from_arrays(
                 [
                     *ids,
@@ -155,17 +156,17 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(parity_bits(keys, bounds), pa.binary()),
                     pa.array([packed[6 * a : 6 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()),
                 ],
-                names,
+                [*own, *names],
             )
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row", F.monotonically_increasing_id())
-
-
-def sets_of(docs: DataFrame) -> DataFrame:
-    rows = _numbered(docs).select("row", F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stored(rows.mapInArrow(_set_rows, ROW_SCHEMA), "shingle-sets")
+def sets_of(docs: DataFrame, *more: str) -> DataFrame:
+    """Every row numbered, with its shingles and its columns ``more``."""
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), *more, F.col("text").cast("string")
+    )
+    kept = ", ".join(f"{name} {kind}" for name, kind in rows.drop("text").dtypes)
+    return stored(rows.mapInArrow(_set_rows, f"{kept}, {SET_SCHEMA}"), "shingle-sets")
 
 
 def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -515,8 +516,11 @@ def _edges(roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``row`` (its number in ``docs``), doc_id, n_shingles, component_id and root of every row."""
-    sets = sets_of(docs)
+    """``row`` (its number in one scan), doc_id, n_shingles, component_id and root of every row."""
+    return _grouped(sets_of(docs))
+
+
+def _grouped(sets: DataFrame) -> DataFrame:
     members, groups = _copies(sets)
     links = stored(_linked(_star_pairs(sets, members), sets), "shingle-links")
     stars = components(links)
@@ -541,12 +545,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without all but one row, that of the smallest id, of each component.
 
-    Rows are found again by their number: ``docs`` must be a table, whose rows have the same numbers
-    each time it is read.
+    Rows are found again by their file and their place in it, which do not depend on how a scan is cut;
+    ``docs`` is a scan of Parquet files, or is stored first.
     """
-    found = stored(near_duplicates(docs), "shingle-result")
+    rows = placed(docs, "shingle-docs")
+    sets = sets_of(rows, FILE, AT)
+    found = stored(_grouped(sets), "shingle-result")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")))
     kept = found.groupBy("root").agg(first.alias("first"), F.count("*").alias("k")).where("k > 1")
     best = stored(kept.select("root", F.col("first.row").alias("best")), "shingle-best")
-    dropped = stored(found.join(best, "root").where("row <> best").select("row"), "shingle-dropped")
-    return _numbered(docs).join(small(dropped), "row", "left_anti").select(*docs.columns)
+    others = found.join(best, "root").where("row <> best").select("row")
+    dropped = stored(sets.select("row", FILE, AT).join(others, "row").select(FILE, AT), "shingle-dropped")
+    return rows.join(small(dropped), [FILE, AT], "left_anti").select(*docs.columns)

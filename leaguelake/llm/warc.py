@@ -15,9 +15,10 @@ hashed where they are read; only those that hold the magic are put together agai
 
 Defined cases: a NULL html is an empty payload; a NULL page id has no header and sorts lowest; repeated
 rows get a record each (of equal rows one is the response); line breaks in an address become spaces;
-an empty table gives no rows; other columns are ignored. Payloads are whole. Rows are numbered to tell
-equal ones apart, and the input is read twice: unless it is ``stable`` (a scan of files, which gives
-the same rows in the same order each time) the numbered rows are stored first.
+an empty table gives no rows; other columns are ignored. Payloads are whole. Rows are told apart by
+their file and their place in it, and the input is read twice: unless it is ``stable`` (a scan of
+Parquet files) it is stored first. Pieces of broken payloads are found again by their content. So no
+number depends on how a scan is cut, which changes when executors come or go.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leaguelake.scale import scratch_path, stored
+from leaguelake.scale import AT, FILE, placed, scratch_path, stored
 
 MAGIC = "WARC/1.1\r\n"
 BREAK = "\r\n"
@@ -40,7 +41,7 @@ LEAST_BYTES = 1000
 def _row_ids(pages: DataFrame) -> DataFrame:
     html = F.coalesce(F.col("html"), F.lit(""))
     return pages.select(
-        F.monotonically_increasing_id().alias("row"),
+        F.concat_ws("-", F.md5(F.col(FILE).cast("binary")), F.col(AT)).alias("row"),
         F.col("page_id").cast("long"),
         F.col("url").cast("string"),
         html.alias("html"),
@@ -60,7 +61,8 @@ def write_archives(
     date: str = "2000-01-01T00:00:00Z",
     stable: bool = False,
 ) -> None:
-    rows = _row_ids(pages) if stable else stored(_row_ids(pages), "warc-rows")
+    pages = pages.select("page_id", "url", "html")
+    rows = _row_ids(placed(pages if stable else stored(pages, "warc-rows"), "warc-rows"))
     copies = (
         rows.where(F.col("bytes") >= least_bytes)
         .groupBy("digest", "bytes")
@@ -96,7 +98,8 @@ def _field(name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The text between one magic and the next, with the file, the cut it was read in and its rank."""
+    """The text between one magic and the next, with its checksum, the file, the cut it was read in and its
+    rank; cut and rank hold within one scan."""
     return (
         spark.read.option("lineSep", MAGIC)
         .text(path)
@@ -104,6 +107,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_block_start").alias("cut"),
             F.monotonically_increasing_id().alias("rank"),
+            F.unhex(F.sha1(F.col("value").cast("binary"))).alias("content"),
             "value",
         )
     )
@@ -116,6 +120,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         "file",
         "cut",
         "rank",
+        "content",
         "value",
         F.octet_length("value").cast("long").alias("length"),
         F.when(empty_line > 0, F.substring_index("value", END, 1)).alias("head"),
@@ -130,6 +135,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
             "file",
             "cut",
             "rank",
+            "content",
             "length",
             "size",
             "head_bytes",
@@ -194,7 +200,7 @@ def _put_together(spark: SparkSession, path: str, found: DataFrame, records: Dat
     if broken.isEmpty():
         return broken.select("file", "offset", F.lit(None).cast("string").alias("joined"))
     # the record a piece belongs to is the last one that begins at or before it
-    tagged = found.select("file", "offset", "rank").join(
+    tagged = found.select("file", "offset", "content", "length").join(
         records.select("file", "offset", (~F.col("whole")).alias("starts")), ["file", "offset"], "left"
     )
     so_far = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
@@ -202,12 +208,19 @@ def _put_together(spark: SparkSession, path: str, found: DataFrame, records: Dat
     needed = stored(
         tagged.withColumn("owner", owner)
         .where("owner.starts")
-        .select("file", "rank", F.col("owner.offset").alias("record"), "offset"),
+        .select("file", "content", "length", F.col("owner.offset").alias("record"), "offset"),
         "warc-needed",
     )
-    texts = pieces(spark, path).select("file", "rank", F.col("value").cast("binary").alias("bytes"))
+    # equal pieces stand for each other, so one of each is enough
+    same = ["content", "length"]
+    texts = (
+        pieces(spark, path)
+        .select("content", F.octet_length("value").cast("long").alias("length"), F.col("value").cast("binary").alias("bytes"))
+        .join(needed.select(*same).distinct(), same, "left_semi")
+        .dropDuplicates(same)
+    )
     whole = (
-        texts.join(needed, ["file", "rank"])
+        texts.join(needed, same)
         .groupBy("file", F.col("record").alias("offset"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("offset").alias("at"), F.col("bytes")))).alias("parts"))
         .withColumn("data", F.expr(f"aggregate(slice(parts, 2, size(parts)), parts[0].bytes, (a, p) -> concat(a, cast('{MAGIC}' as binary), p.bytes))"))

@@ -10,7 +10,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 ALLOW_TMP = "leaguelake.scratch.allowTmp"
@@ -79,6 +81,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FILE, AT = "__file", "__at"
+
+
+def placed(df: DataFrame, label: str) -> DataFrame:
+    """``df``, a scan of Parquet files, with each row's file and number in it; another ``df`` is stored first.
+
+    Rows keep their place however a scan is cut into tasks, so they can be found again by it.
+    """
+    place = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT)]
+    try:
+        return df.select("*", *place)
+    except AnalysisException:
+        return stored(df, label).select("*", *place)
+
+
 def task_rows(spark: SparkSession) -> int:
     """Rows of one group a single window task may be given before the group is split."""
     return int(spark.conf.get(TASK_ROWS, str(DEFAULT_TASK_ROWS)))

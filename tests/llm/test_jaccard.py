@@ -110,6 +110,29 @@ def test_one_of_each_group_stays(spark, tmp_path, rows):
     assert {r.component_id for r in found if r.component_id is not None} <= set(ids)
 
 
+def test_one_of_each_group_stays_however_scans_are_cut(spark, tmp_path, monkeypatch):
+    """As if executors came or went between the jobs."""
+    texts = [(i, " ".join(f"w{(i // 2) * 100 + j}" for j in range(30))) for i in range(40)]
+    documents(spark, texts).repartition(6).write.parquet(str(tmp_path / "docs"))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in names}
+
+    def moved(frame, label, keep=jaccard.stored):
+        out = keep(frame, label)
+        if label == "shingle-dropped":
+            for name, value in zip(names, ("900", "1"), strict=True):
+                spark.conf.set(name, value)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", moved)
+    try:
+        kept = keep_one(spark.read.parquet(str(tmp_path / "docs"))).collect()
+        assert sorted(r.doc_id for r in kept) == list(range(0, 40, 2))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_bitmaps_never_exclude_a_link():
     rng = np.random.default_rng(2)
     for _ in range(300):

@@ -4,6 +4,7 @@ import hashlib
 
 import pytest
 
+from leaguelake.llm import warc
 from leaguelake.llm.warc import END, MAGIC, read_archives, round_trip, write_archives
 
 SCHEMA = "page_id long, url string, html string"
@@ -85,3 +86,25 @@ def test_repeated_rows_have_one_response(spark):
 
 def test_empty_table(spark):
     assert round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_scans_that_are_cut_differently_each_time(spark, tmp_path, monkeypatch):
+    """As if executors came or went between the jobs."""
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(ROWS[:15], SCHEMA).repartition(5).write.parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    kept = {k: spark.conf.get(k) for k in names}
+    cuts = {"warc-copies": ("3000", "1"), "warc-pieces": ("128m", "4m"), "warc-needed": ("3000", "1"), "warc-read": ("128m", "4m")}
+
+    def moved(frame, label, keep=warc.stored):
+        out = keep(frame, label)
+        for name, value in zip(names, cuts.get(label, ()), strict=False):
+            spark.conf.set(name, value)
+        return out
+
+    monkeypatch.setattr(warc, "stored", moved)
+    try:
+        assert result(round_trip(spark.read.parquet(path), stable=True)) == brute(ROWS[:15])
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
