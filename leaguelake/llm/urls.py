@@ -11,8 +11,8 @@ fixed number of cells however many URLs are counted: the tables are the only thi
 driver and is broadcast. All distinct rule-decided URLs are counted, in tasks, and each page is scored
 by its own row.
 
-Defined cases: a NULL URL, or one without ``://``, has empty host and path and no rule; an empty text
-scores 0; if rules decide no URL of one kind, the models say nothing and the verdict is allow; repeated
+Rules see host and path, the models the whole URL with scheme, query and fragment. Defined cases: a
+NULL URL, or one without ``://``, has empty host and path and no rule; a NULL or empty URL scores 0; if rules decide no URL of one kind, the models say nothing and the verdict is allow; repeated
 rows are judged alike; an empty table gives no rows; other columns are ignored.
 """
 
@@ -83,16 +83,17 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 def ruled(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """page_id, host, path, the name and the verdict of the longest rule that fits, and the text models see."""
-    host, path = split_url(F.col("url").cast("string"))
-    split = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
+    url = F.col("url").cast("string")
+    host, path = split_url(url)
+    split = pages.select(
+        F.col("page_id").cast("long"), host.alias("host"), path.alias("path"), F.coalesce(url, F.lit("")).alias("address")
+    )
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule in sorted(rules, key=lambda r: (len(r.name), r.name)):
         fits = (F.concat(F.lit("."), F.col("host")).endswith("." + rule.host)) & F.col("path").startswith(rule.path)
         name = F.when(fits, rule.name).otherwise(name)
         verdict = F.when(fits, rule.verdict).otherwise(verdict)
-    return split.select(
-        "*", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("address")
-    )
+    return split.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), "address")
 
 
 def cells(block: Block) -> tuple[np.ndarray, np.ndarray]:

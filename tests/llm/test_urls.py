@@ -108,3 +108,10 @@ def test_cut_separates():
 def test_one_kind_or_none(spark):
     assert {r.verdict for r in judged(pages(spark, ["http://a.com/x", "http://b.org/"])).collect()} == {"allow"}
     assert judged(pages(spark, ["x"]).where("page_id < 0")).count() == 0
+
+
+def test_models_see_the_whole_url(spark):
+    taught = random_urls(600)
+    more = ["free-pills.example.net/x", "news7.org/de/1", "http://h.org/a?q=xxx-pills", "http://h.org/a?q=garden", "http://h.org/a#shop", None, ""]
+    got = {r.page_id - 600: r.log_ratio for r in judged(pages(spark, taught + more)).collect() if r.page_id >= 600}
+    assert got[0] < 0 and len({got[i] for i in range(5)}) == 5 and got[5] == got[6] == 0
