@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leaguelake.llm.centroids import clustered, clusters_sql
 from leaguelake.llm.decontaminate import contaminated
 from leaguelake.llm.jaccard import near_duplicates
 from leaguelake.llm.licenses import with_licenses
+from leaguelake.llm.manifest import digests, manifest_sql
 from leaguelake.llm.packing import packed
 from leaguelake.llm.quality import scored
 from leaguelake.llm.repetition import with_repetition
@@ -83,3 +85,19 @@ def op9_packing(spark, sf):
 def op10_jaccard(spark, sf):
     found = near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_manifest(spark, sf):
+    return digests(table(spark, sf, "documents"))
+
+
+ORACLE["op12_manifest"] = manifest_sql()
+
+
+@query
+def op13_centroids(spark, sf):
+    return clustered(table(spark, sf, "embeddings"))
+
+
+ORACLE["op13_centroids"] = clusters_sql()

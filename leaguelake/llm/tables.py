@@ -1,4 +1,4 @@
-"""The tables the queries of this folder read."""
+"""The tables the queries of this folder read, and intermediate tables that go when they have served."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leaguelake.scale import scratch_path
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -13,3 +15,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers look for this package where the driver has it, if it is not installed there
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Shelf:
+    """Tables in the shared folder, by name: putting a name again deletes what it stood for before.
+
+    What a returned DataFrame still reads must be kept (``keep``), all else goes with ``clear``.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self._spark, self._label = spark, label
+        self._paths: dict[str, str] = {}
+
+    def put(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
+        path = scratch_path(self._spark, f"{self._label}-{name}")
+        # small row groups: a task holds one in memory while it writes
+        df.write.option("compression", codec).option("parquet.block.size", str(16 << 20)).parquet(path)
+        self.drop(name)
+        self._paths[name] = path
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self._paths.pop(name, None)
+            if path:
+                folder = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def keep(self, *names: str) -> None:
+        for name in names:
+            self._paths.pop(name, None)
+
+    def clear(self) -> None:
+        self.drop(*list(self._paths))
