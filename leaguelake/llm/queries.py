@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from leaguelake.llm.centroids import clustered, clusters_sql
 from leaguelake.llm.decontaminate import contaminated
 from leaguelake.llm.jaccard import near_duplicates
+from leaguelake.llm.langid import predicted
 from leaguelake.llm.licenses import with_licenses
 from leaguelake.llm.manifest import digests, manifest_sql
 from leaguelake.llm.packing import packed
@@ -87,6 +88,11 @@ def op10_jaccard(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_language(spark, sf):
+    return predicted(table(spark, sf, "documents"))
+
+
 @query
 def op12_manifest(spark, sf):
     return digests(table(spark, sf, "documents"))
