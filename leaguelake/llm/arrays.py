@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from leaguelake.llm.tables import tidy
+
 PIECE = 1 << 16  # entries of one piece
 BRANCHES = 16  # partial sums each piece is first gathered into
 _ENTRY = np.dtype([("at", "<u2"), ("n", "<i8")])
@@ -54,7 +56,7 @@ def summed(docs: DataFrame, fill: Callable[[pa.RecordBatch, np.ndarray], None],
         yield pd.DataFrame({"piece": [key[0]], "branch": [0], "counts": [_pack(total)]})
 
     schema = "piece long, branch int, counts binary"
-    once = docs.mapInArrow(task, schema).groupBy("piece", "branch").applyInPandas(add, schema)
+    once = docs.mapInArrow(tidy(task), schema).groupBy("piece", "branch").applyInPandas(add, schema)
     out = np.zeros(-(-entries // PIECE) * PIECE, np.int64)
     for row in once.groupBy("piece").applyInPandas(add, schema).toLocalIterator():
         _add(row["counts"], out[row["piece"] : row["piece"] + PIECE])

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.llm.arrays import summed
+from leaguelake.llm.tables import tidy
 from leaguelake.llm.textbuf import LOWER, NOT_ALNUM, Block, blocks, grams, mix, span_hashes, words
 from leaguelake.scale import stored
 
@@ -256,7 +257,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
                     kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, k) for x, k in zip(rest, kinds, strict=True))], names)
 
-        out = out.unionByName(rows.mapInArrow(task, schema))
+        out = out.unionByName(rows.mapInArrow(tidy(task), schema))
     return out
 
 
@@ -278,5 +279,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Se
                     keep[[block.lo + m[0] for m in matches(block, shared.value, s)]] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(task, docs.schema)
+        out = out.mapInArrow(tidy(task), docs.schema)
     return out

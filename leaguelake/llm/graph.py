@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from leaguelake.scale import stored
 
-BROADCAST_ROWS = 1 << 20  # of a few numbers each: some tens of megabytes
+BROADCAST_BYTES = 32 << 20
 
 
-def small(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table, to be broadcast if it has at most ``limit`` rows, and else joined by a shuffle."""
-    return F.broadcast(frame) if frame.count() <= limit else frame
+def small(frame: DataFrame, width: int = 32) -> DataFrame:
+    """A stored table with rows of at most ``width`` bytes, to be broadcast if it is small enough, and else
+    joined by a shuffle."""
+    return F.broadcast(frame) if frame.count() * width <= BROADCAST_BYTES else frame
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -20,8 +20,10 @@ ends are already known to be connected are not computed.
    room for the overlap go on.
 5. All pairs from 3 and 4 pass the bitmap bound, then the sorted arrays are intersected.
 
-How frequent a shingle is, is counted over all documents into a fixed number of cells; an overestimate
-only moves a shingle back. Hot keys: a group of copies is one row before anything is dealt by
+Frequent shingles are those that recur among the texts of one Arrow batch; every task counts them over
+all its texts (copies once), and the counts are added up in cells whose number follows the input. Most
+shingles are in one text only and never counted, so the cells stay sparse; an overestimate only moves
+a shingle back, and whatever the counts are, the result is the same. Hot keys: a group of copies is one row before anything is dealt by
 shingles; frequent shingles come last, so few runs are long; centres of stars are joined as plain
 tables, which adaptive execution splits. Nothing but counters and the largest groups' signatures (a
 fixed number, to spare work) is collected.
@@ -44,13 +46,16 @@ from pyspark.sql import functions as F
 
 from leaguelake.llm.arrays import summed
 from leaguelake.llm.graph import components, small
+from leaguelake.llm.tables import alone, tidy
 from leaguelake.llm.textbuf import LOWER, SPACES, Block, blocks, grams, mix, span_hashes, words
 from leaguelake.scale import AT, FILE, placed, stored
 
 WORDS = 5
 PERCENT = 75
 KEYS = 8
-CELLS = 1 << 20
+LEAST_CELLS, MOST_CELLS = 1 << 18, 1 << 22
+SHINGLES_PER_CELL = 64  # of all shingles, of which few are counted
+AT_ONCE = 24 << 20  # bytes of shingles in which recurring ones are looked for
 MOST_BITS = 1 << 16
 TOP_GROUPS = 100_000
 RUN = 64  # rows with one shingle that are paired without tiles
@@ -166,7 +171,7 @@ def sets_of(docs: DataFrame, *more: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), *more, F.col("text").cast("string")
     )
     kept = ", ".join(f"{name} {kind}" for name, kind in rows.drop("text").dtypes)
-    return stored(rows.mapInArrow(_set_rows, f"{kept}, {SET_SCHEMA}"), "shingle-sets")
+    return stored(rows.mapInArrow(tidy(_set_rows), f"{kept}, {SET_SCHEMA}"), "shingle-sets")
 
 
 def _copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -187,10 +192,10 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ids = stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "shingle-paired")
     sides = sets.join(small(ids), "row", "left_semi")
     bits = stored(sides.select("row", "n", "bits"), "shingle-bits")
-    near = stored(_joined(pairs, bits, ["n", "bits"]).mapInArrow(_bounded, "a long, b long"), "shingle-near")
+    near = stored(_joined(pairs, bits, ["n", "bits"]).mapInArrow(tidy(_bounded), "a long, b long"), "shingle-near")
     ids = stored(near.select(F.col("a").alias("row")).union(near.select("b")).distinct(), "shingle-paired")
     arrays = stored(sets.join(small(ids), "row", "left_semi").select("row", "n", "shingles"), "shingle-arrays")
-    return _joined(near, arrays, ["n", "shingles"]).mapInArrow(_intersected, "a long, b long")
+    return _joined(near, arrays, ["n", "shingles"]).mapInArrow(tidy(_intersected), "a long, b long")
 
 
 def _joined(pairs: DataFrame, sides: DataFrame, columns: list[str]) -> DataFrame:
@@ -250,26 +255,39 @@ def _star_pairs(sets: DataFrame, members: DataFrame) -> DataFrame:
     return keys.join(centres, ["which", "key"]).where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b"))
 
 
-def shingle_counts(sets: DataFrame) -> np.ndarray:
-    """In how many rows the shingles of each cell occur, over all rows."""
+def recurring(shingles: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of the sets have, and how many."""
+    keys = unpack(np.concatenate(shingles))
+    keys.sort()
+    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    times = np.diff(np.append(start, len(keys)))
+    again = times > 1
+    return keys[start[again]], times[again]
 
-    def fill(batch: pa.RecordBatch, total: np.ndarray) -> None:
+
+def shingle_levels(sets: DataFrame) -> np.ndarray:
+    """For each cell of shingles, a few bits of the logarithm of how often those of it recur; a power of
+    two of cells."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    cells = 1 << int(np.ceil(np.log2(np.clip(total / SHINGLES_PER_CELL, LEAST_CELLS, MOST_CELLS))))
+
+    def fill(batch: pa.RecordBatch, counts: np.ndarray) -> None:
         if not batch.num_rows:
             return
         data, offsets = _binary(batch.column("shingles"))
-        step = 6 << 16
-        for lo in range(int(offsets[0]), int(offsets[-1]), step):
-            part = data[lo : min(lo + step, int(offsets[-1]))]
-            cells = (unpack(part) & np.uint64(CELLS - 1)).astype(np.int64)
-            np.add.at(total, cells, 1)
-
-    return summed(sets.select("shingles"), fill, CELLS)
-
+        _, once = np.unique(batch.column("sig_a").to_numpy(), return_index=True)
+        held, size = [], 0
+        for i in [*np.sort(once).tolist(), None]:
+            if held and (i is None or size + int(offsets[i + 1] - offsets[i]) > AT_ONCE):
+                keys, times = recurring(held)
+                np.add.at(counts, (keys & np.uint64(cells - 1)).astype(np.int64), times)
+                held, size = [], 0
+            if i is not None:
+                held.append(data[offsets[i] : offsets[i + 1]])
+                size += len(held[-1])
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """0 for cells no fuller than chance explains, else the count: frequent shingles come last."""
-    mean = counts.mean()
-    return np.where(counts > mean + 8 * np.sqrt(mean) + 16, counts, 0)
+    counts = summed(sets.select("sig_a", "shingles"), fill, cells)
+    return np.minimum(np.ceil(4 * np.log2(1 + counts)), 255).astype(np.uint8)
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -281,21 +299,29 @@ def prefix_rows(level, groups):
     """A task from rows (row, comp, n, sig_a, sig_b, shingles) to (token, row, n, comp), without the
     copies in ``groups``; both arguments are broadcast."""
 
+    def copies(batch: pa.RecordBatch) -> np.ndarray:
+        """Which rows are in one of ``groups`` and not its first one."""
+        known = groups.value
+        row, n, a, b = (batch.column(c).to_numpy() for c in ("row", "n", "sig_a", "sig_b"))
+        if not len(known["sig_a"]):
+            return np.zeros(len(row), bool)
+        at = np.minimum(np.searchsorted(known["sig_a"], a), len(known["sig_a"]) - 1)
+        return (known["sig_a"][at] == a) & (known["sig_b"][at] == b) & (known["n"][at] == n) & (known["first"][at] != row)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first_of = groups.value
+        cells = np.uint64(len(level.value) - 1)
         for batch in batches:
-            rows, comps, sizes = (batch.column(c).to_pylist() for c in ("row", "comp", "n"))
-            data, offsets = _binary(batch.column("shingles")) if rows else (None, None)
-            signs = zip(sizes, batch.column("sig_a").to_pylist(), batch.column("sig_b").to_pylist(), strict=True)
-            own = [i for i, s in enumerate(signs) if sizes[i] and first_of.get(s, rows[i]) == rows[i]]
+            if not batch.num_rows:
+                continue
+            rows, comps, sizes = (batch.column(c).to_numpy() for c in ("row", "comp", "n"))
+            data, offsets = _binary(batch.column("shingles"))
+            own = np.flatnonzero((sizes > 0) & ~copies(batch))
             for lo in range(0, len(own), 256):
                 part = own[lo : lo + 256]
-                if not part:
-                    continue
-                n = np.array([(offsets[i + 1] - offsets[i]) // 6 for i in part], np.int64)
+                n = (offsets[part + 1] - offsets[part]).astype(np.int64) // 6
                 keys = unpack(np.concatenate([data[offsets[i] : offsets[i + 1]] for i in part]))
                 owner = np.repeat(np.arange(len(part)), n)
-                order = np.lexsort((level.value[(keys & np.uint64(CELLS - 1)).astype(np.int64)], owner))
+                order = np.lexsort((level.value[(keys & cells).astype(np.int64)], owner))
                 begin = np.concatenate(([0], np.cumsum(n)))
                 place = np.arange(len(keys)) - begin[owner]
                 taken = place < prefix_length(n)[owner]
@@ -303,14 +329,14 @@ def prefix_rows(level, groups):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[order][taken].view(np.int64)),
-                        pa.array(np.array([rows[i] for i in part], np.int64)[whose]),
-                        pa.array(np.array([sizes[i] for i in part], np.int64)[whose]),
-                        pa.array(np.array([comps[i] for i in part], np.int64)[whose]),
+                        pa.array(rows[part][whose]),
+                        pa.array(sizes[part][whose]),
+                        pa.array(comps[part][whose]),
                     ],
                     ["token", "row", "n", "comp"],
                 )
 
-    return task
+    return tidy(task)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -491,17 +517,19 @@ def _with_root(rows: DataFrame, roots: DataFrame, row: str, name: str) -> DataFr
 def _missed_links(sets: DataFrame, groups: DataFrame, roots: DataFrame) -> DataFrame:
     """Links among rows of different components that share a shingle of their prefixes."""
     context = sets.sparkSession.sparkContext
-    level = context.broadcast(levels(shingle_counts(sets)))
-    largest = groups.orderBy(F.desc("copies"), "first").limit(TOP_GROUPS).collect()
-    firsts = context.broadcast({(r["n"], r["sig_a"], r["sig_b"]): r["first"] for r in largest})
+    level = context.broadcast(shingle_levels(sets))
+    largest = groups.orderBy(F.desc("copies"), "first").limit(TOP_GROUPS).toArrow().sort_by("sig_a")
+    firsts = context.broadcast({c: largest.column(c).to_numpy() for c in ("n", "sig_a", "sig_b", "first")})
     heavy = sets.where("n > 0").select("row", "n", "sig_a", "sig_b", "shingles")
     tokens = _with_root(heavy, roots, "row", "comp").mapInArrow(
         prefix_rows(level, firsts), "token long, row long, n long, comp long"
     )
     runs = stored(
-        tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_runs, "token long, a long, b long, n long, comp long"),
+        tokens.repartition("token").sortWithinPartitions("token").mapInArrow(tidy(_runs), "token long, a long, b long, n long, comp long"),
         "shingle-runs",
     )
+    level.destroy()
+    firsts.destroy()
     long = _mixed(runs.where("b IS NULL").select("token", F.col("a").alias("row"), "n", "comp"))
     near = stored(_spanning_links(long, sets), "shingle-links")
     roots = stored(components(near.union(_edges(roots))), "shingle-roots")
@@ -517,7 +545,7 @@ def _edges(roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``row`` (its number in one scan), doc_id, n_shingles, component_id and root of every row."""
-    return _grouped(sets_of(docs))
+    return alone(docs.sparkSession, "near-duplicates", lambda: _grouped(sets_of(docs)))
 
 
 def _grouped(sets: DataFrame) -> DataFrame:
@@ -549,11 +577,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ``docs`` is a scan of Parquet files, or is stored first.
     """
     rows = placed(docs, "shingle-docs")
-    sets = sets_of(rows, FILE, AT)
-    found = stored(_grouped(sets), "shingle-result")
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")))
-    kept = found.groupBy("root").agg(first.alias("first"), F.count("*").alias("k")).where("k > 1")
-    best = stored(kept.select("root", F.col("first.row").alias("best")), "shingle-best")
-    others = found.join(best, "root").where("row <> best").select("row")
-    dropped = stored(sets.select("row", FILE, AT).join(others, "row").select(FILE, AT), "shingle-dropped")
-    return rows.join(small(dropped), [FILE, AT], "left_anti").select(*docs.columns)
+
+    def others() -> DataFrame:
+        sets = sets_of(rows, FILE, AT)
+        found = stored(_grouped(sets), "shingle-result")
+        first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")))
+        kept = found.groupBy("root").agg(first.alias("first"), F.count("*").alias("k")).where("k > 1")
+        best = stored(kept.select("root", F.col("first.row").alias("best")), "shingle-best")
+        others = found.join(best, "root").where("row <> best").select("row")
+        return stored(sets.select("row", FILE, AT).join(others, "row").select(FILE, AT), "shingle-dropped")
+
+    dropped = alone(docs.sparkSession, "near-copies", others)
+    return rows.join(small(dropped, width=256), [FILE, AT], "left_anti").select(*docs.columns)

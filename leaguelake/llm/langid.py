@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.llm.arrays import summed
-from leaguelake.llm.tables import Shelf
+from leaguelake.llm.tables import Shelf, tidy
 from leaguelake.llm.textbuf import mix
 
 NONE = "und"
@@ -303,7 +303,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("lettered", lettered).mapInArrow(task, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.withColumn("lettered", lettered).mapInArrow(tidy(task), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def predicted(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leaguelake.llm.tables import tidy
 from leaguelake.llm.textbuf import blocks
 from leaguelake.scale import stored
 
@@ -153,7 +154,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
     whole, small = pa.int64(), pa.int32()
     kinds = [whole, small, whole, whole, whole, small, whole] + [pa.binary()] * with_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, lane int, place long" + ", ids binary" * with_ids
-    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, schema), "pack-pieces")
+    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(task), schema), "pack-pieces")
 
 
 Step = tuple[tuple[int, ...], int]
@@ -273,7 +274,7 @@ def packed(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
 
     columns = ", ".join(f"{c} {t}" for c, t in ranked.dtypes if c != "rank")
     order = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * with_ids
-    return ranked.mapInArrow(task, f"{columns}, sequence_id long, offset long").select(*order)
+    return ranked.mapInArrow(tidy(task), f"{columns}, sequence_id long, offset long").select(*order)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leaguelake.llm.arrays import summed
+from leaguelake.llm.tables import tidy
 from leaguelake.llm.textbuf import Block, blocks, mix, span_hashes
 
 KEEP_FROM = 0.3  # scores from here on count as good
@@ -227,7 +228,7 @@ def _lessons(docs: DataFrame, labels: DataFrame, table, s: Settings) -> tuple[np
     taught = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
     # an id may repeat in docs without bound, the lessons may not
     rows = (
-        taught.select("quality", "text").mapInArrow(task, "quality int, features binary")
+        taught.select("quality", "text").mapInArrow(tidy(task), "quality int, features binary")
         .orderBy(F.xxhash64("features"), "features", "quality").limit(2 * s.lessons).collect()
     )
     features = [np.frombuffer(r["features"], np.float64) for r in rows]
@@ -255,7 +256,7 @@ def with_quality(
 
     rest = docs.drop(name)
     text_at = rest.columns.index("text")
-    return rest.mapInArrow(task, T.StructType([*rest.schema.fields, T.StructField(name, T.DoubleType())]))
+    return rest.mapInArrow(tidy(task), T.StructType([*rest.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

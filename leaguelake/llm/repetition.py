@@ -74,7 +74,9 @@ def _repeated_lines(block: Block, inside: np.ndarray) -> np.ndarray:
     keys = span_hashes(block.data, starts, ends) ^ mix(owner.astype(np.uint64))
     order = np.argsort(keys, kind="stable")
     later = np.zeros(len(keys), bool)
-    later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    for i, j in zip(order[:-1][alike := keys[order[1:]] == keys[order[:-1]]], order[1:][alike], strict=True):
+        # equal hashes are a reason to compare the bytes
+        later[j] = np.array_equal(block.data[starts[i] : ends[i]], block.data[starts[j] : ends[j]])
     return np.bincount(owner[later], minlength=len(block))
 
 
@@ -140,19 +142,13 @@ def measure(block: Block, limits: Limits) -> dict[str, np.ndarray]:
     twice = first[_duplicated(keys ^ mix(owner[first].astype(np.uint64)))]
     in_windows = _covered(twice, np.full(len(twice), limits.window), total)
 
-    suspects = np.unique(owner[twice])
     covered, longest = np.zeros(texts, np.int64), np.zeros(texts, np.int64)
-    if len(suspects):
-        mine = np.zeros(texts, bool)
-        mine[suspects] = True
-        chosen = mine[owner]
-        bounds = np.concatenate(([0], np.cumsum(counts[suspects])))
-        whose = owner[chosen]
-        repeats = longest_repeats(mix(hashes[chosen]) ^ mix(whose.astype(np.uint64) + np.uint64(1)), bounds)
-        np.maximum.at(longest, whose, repeats)
+    if total:
+        repeats = longest_repeats(mix(hashes) ^ mix(owner.astype(np.uint64) + np.uint64(1)), found.bounds)
+        np.maximum.at(longest, owner, repeats)
         long = np.flatnonzero(repeats >= limits.min_words)
         spans = _covered(long, repeats[long], len(repeats))
-        covered += np.bincount(whose[spans], minlength=texts)
+        covered += np.bincount(owner[spans], minlength=texts)
     return {
         "n_words": counts,
         "word_chars": block.per_text(inside & ~CONTINUES[block.data]),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from leaguelake.scale import scratch_path
+from leaguelake.scale import scratch, scratch_path
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -17,6 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; all else that it stores on the way is deleted."""
+    path = scratch_path(spark, label)
+    with scratch(spark, label):
+        made = build()
+        schema = made.schema
+        made.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def tidy(task: Callable) -> Callable:
+    """The same Arrow task, after which a worker returns freed memory to the system: workers live on
+    and serve later stages, beside others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)
+
+    return run
+
+
 class Shelf:
     """Tables in the shared folder, by name: putting a name again deletes what it stood for before.
 

@@ -1,13 +1,14 @@
 """Words of whole Arrow batches as numpy arrays.
 
 A task sees the UTF-8 bytes of many texts as one buffer. Words are found by a byte table and hashed
-with a polynomial prefix hash, so no Python object is made per word. All separators are ASCII, which
-makes byte tables exact for UTF-8. Buffers are taken in blocks of a few megabytes; only a single
+eight bytes at a time, all words together, so no Python object is made per word. All separators are
+ASCII, which makes byte tables exact for UTF-8. Buffers are taken in blocks of a few megabytes; only a single
 longer text makes a longer block.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,11 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 4 << 20
-CHUNK = 1 << 18  # bytes hashed at a time
+LONG = 512  # bytes of a span that is hashed by itself
 _U = np.uint64
-_MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 #: space and \t \n \v \f \r separate words
 SPACES = np.zeros(256, bool)
@@ -35,15 +34,6 @@ LOWER[65:91] += 32
 _SAME = np.arange(256, dtype=np.uint8)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, _U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWERS, _INVERSES = _powers(_BASE, CHUNK), _powers(_INVERSE, CHUNK)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a bijection)."""
     x = x ^ (x >> _U(30))
@@ -121,26 +111,27 @@ def words(block: Block, separators: np.ndarray) -> Words:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _SAME) -> np.ndarray:
-    """Hash of each byte span after mapping bytes by ``table``; both position arrays ascend."""
-    at_start, at_end = _prefix(data, starts, table), _prefix(data, ends, table)
-    chunk = np.array([pow(_INVERSE, CHUNK * i, 1 << 64) for i in range(len(data) // CHUNK + 1)], _U)
-    unshift = chunk[starts // CHUNK] * _INVERSES[starts % CHUNK]
-    return mix((at_end - at_start) * unshift + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
-
-
-def _prefix(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(at), _U)
-    carry = 0
-    for i, c0 in enumerate(range(0, len(data), CHUNK)):
-        part = table[data[c0 : c0 + CHUNK]].astype(_U)
-        part += _U(1)
-        part *= _POWERS[: len(part)]
-        np.cumsum(part, out=part)
-        part *= _U(pow(_BASE, CHUNK * i, 1 << 64))
-        part += _U(carry)
-        a, b = np.searchsorted(at, (c0, c0 + len(part)), "right")
-        out[a:b] = part[at[a:b] - c0 - 1]
-        carry = int(part[-1]) & _MASK
+    """Hash of each byte span after mapping bytes by ``table``.
+
+    Eight bytes after the other are mixed in; mixing is not linear, so spans of a regular structure are
+    told apart like any others. Few spans are long, they are hashed each by a cryptographic hash.
+    """
+    mapped = np.zeros(len(data) + 8, np.uint8)
+    mapped[: len(data)] = data if table is _SAME else table[data]
+    eights = np.ndarray(len(data) + 1, "<u8", mapped, strides=(1,))  # from every byte on
+    length = ends - starts
+    out = mix(length.astype(_U) + _U(_BASE))
+    left = np.flatnonzero((length > 0) & (length <= LONG))
+    at, rest = starts[left], length[left]
+    while len(left):
+        part = eights[at]
+        short = np.flatnonzero(rest < 8)
+        part[short] &= (_U(1) << (rest[short] * 8).astype(_U)) - _U(1)
+        out[left] = mix((out[left] ^ part) + _U(_BASE))
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for i in np.flatnonzero(length > LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(mapped[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 

@@ -150,6 +150,21 @@ def test_bitmaps_never_exclude_a_link():
             assert may_overlap(len(x), len(y), differ)
 
 
+def test_words_of_a_regular_structure_are_told_apart(spark):
+    odd = [i.bit_count() & 1 for i in range(1024)]
+    texts = ["".join("ab"[x] for x in odd), "".join("ba"[x] for x in odd)]
+    rows = [(1, texts[0]), (2, texts[1]), (3, texts[0]), (4, f"w x y {texts[0]} z"), (5, f"w x y {texts[1]} z")]
+    assert result(near_duplicates(documents(spark, rows))) == brute(rows)
+
+
+def test_recurring_shingles():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 40, 12)).astype(np.uint64) << np.uint64(16) for _ in range(9)]
+    keys, times = jaccard.recurring([jaccard._pack(x).ravel() for x in sets])
+    every, n = np.unique(np.concatenate(sets) >> np.uint64(16), return_counts=True)
+    assert keys.tolist() == every[n > 1].tolist() and times.tolist() == n[n > 1].tolist()
+
+
 def test_shingle_sets_do_not_depend_on_blocks():
     texts = [t for _, t in awkward()]
     seen = []

@@ -26,13 +26,12 @@ def brute(text: str | None, limits: Limits = Limits()) -> dict:
 
     lines = [x for x in text.split("\n") if WORD.search(x)]
     longest = 0
-    if repeated(limits.window):
-        for i in range(n):
-            for j in range(i):
-                k = 0
-                while i + k < n and found[i + k] == found[j + k]:
-                    k += 1
-                longest = max(longest, k)
+    for i in range(n):
+        for j in range(i):
+            k = 0
+            while i + k < n and found[i + k] == found[j + k]:
+                k += 1
+            longest = max(longest, k)
     out = {
         "n_words": n,
         "word_chars": sum(map(len, found)),
@@ -71,6 +70,22 @@ def brute_row(row) -> dict:
     return {k: v for k, v in row.asDict().items() if k != "doc_id"}
 
 
+def test_short_repeats_are_measured_too(spark):
+    row = with_repetition(documents(spark, {1: "one two three x one two three y one two three"})).first()
+    assert (row.longest_repeat, row.n_repeat_words, row.covered_words) == (3, 0, 0)
+
+
+def test_lines_of_a_regular_structure_are_told_apart(spark):
+    """Two lines that differ everywhere, in a pattern on which polynomials modulo 2^64 collide."""
+    lines = ["", ""]
+    for i in range(2048):
+        odd = i.bit_count() & 1
+        lines = [lines[0] + "ab"[odd], lines[1] + "ba"[odd]]
+    texts = {1: "\n".join(lines), 2: "\n".join([*lines, lines[0]])}
+    found = {r.doc_id: r.n_dup_lines for r in with_repetition(documents(spark, texts)).collect()}
+    assert found == {1: 0, 2: 1}
+
+
 def test_a_long_cycle_is_one_long_repeat(spark):
     row = with_repetition(documents(spark, {1: "a b c d e " * 2000})).first()
     assert (row.n_words, row.longest_repeat, row.covered_words, row.kept) == (10000, 9995, 10000, False)
