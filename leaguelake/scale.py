@@ -77,7 +77,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    # small row groups: a task holds one in memory while it writes
+    df.write.option("parquet.block.size", str(16 << 20)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
