@@ -1,15 +1,18 @@
 """Benchmark decontamination: word triples as seeds, then Smith-Waterman alignment.
 
 Words are runs of digits, letters and non-ASCII characters with A-Z lowered, so layout and punctuation
-do not matter. All triples of an item that occur in some document are its seeds: how few of them an
-edited or shortened copy keeps is not known beforehand, so none is left out for being common.
-Documents that hit at least two seeds of an item near each other are aligned with it there, word by
-word, unless the words alone show that no alignment can reach the bar; edited copies keep most of the
-score. A pair counts when the best alignment reaches ``score`` of what the whole item would score.
+do not matter. The triples of an item that occur in some document are its seeds, counted over all
+documents. A seed is rare if it occurs at most ``rare`` times, or is the rarest of the item within a
+stretch of four words, so long items have many rare seeds. A document that hits a rare seed, or any two seeds of
+an item near each other, is aligned with the item there, word by word, unless the words alone show that
+no alignment can reach the bar; edited copies keep most of the score. A pair counts when the best
+alignment reaches ``score`` of what the whole item would score. What may be missed by this are copies
+that share no triple with the item, or a single one that is frequent and the rarest of no stretch.
 
 Items are taken in blocks of bounded size, each broadcast as a sorted array of seeds and answered by
-every whole document, so benchmarks of any size are served, one pass more per block. Nothing about the
-documents is collected or shuffled; a document is judged in its own row.
+every whole document, so benchmarks of any size are served, one pass more per block; of a block's
+items, as many are looked at together as have some hundred thousand hits. Nothing about the documents
+is collected or shuffled but the counts of the seeds; a document is judged in its own row.
 
 Defined cases: NULL texts and items count as empty and match nothing; items of fewer than three words
 are one seed of all their words; items and documents may repeat, each row is judged; NULL ids stay;
@@ -33,12 +36,15 @@ from leaguelake.scale import stored
 
 WIDTH = 3
 BLOCK_CHARS = 16_000_000  # of items at a time
+PORTION = 1 << 18  # hits looked at together
+STRETCH = 4  # words of which the rarest seed is rare
 MATCH, MISS, GAP = 2, -1, -1
 
 
 @dataclass(frozen=True)
 class Settings:
-    hits: int = 2  # near each other, if the item has that many seeds
+    hits: int = 2  # near each other, if none of them is rare
+    rare: int = 64  # occurrences in all documents
     score: float = 0.5  # of the item's own
     least_words: int = 8  # what must be found whole of short items
     least_score: float = 0.9
@@ -46,8 +52,8 @@ class Settings:
 
 @dataclass(frozen=True)
 class Items:
-    """Word hashes of the items of a block; seeds ascending, each with the items it stands for and with
-    its first and last place there."""
+    """Word hashes of the items of a block; seeds ascending, each with the items it stands for (ascending),
+    with its first and last place there, and whether it is rare."""
 
     ids: list
     words: list[np.ndarray]
@@ -56,7 +62,13 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     last: np.ndarray
-    needed: np.ndarray
+    rare: np.ndarray
+
+    def entries(self, seeds: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the entries of items lo to hi begin and end, for each of the seeds."""
+        n = len(self.words)
+        code = np.repeat(np.arange(len(self.seeds)), np.diff(self.first)) * n + self.item
+        return np.searchsorted(code, seeds * n + lo), np.searchsorted(code, seeds * n + hi)
 
 
 def hashed(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -122,25 +134,31 @@ def prepared(rows: list, docs: DataFrame, s: Settings) -> Items | None:
             hit, seed = _find(keys, shared.value)
             total += np.bincount(seed, minlength=len(total))
 
-    occurs = summed(docs.select("text"), fill, len(every)) > 0
-    keys, items, places, lasts, needed = [], [], [], [], []
+    counts = summed(docs.select("text"), fill, len(every))
+    keys, items, places, lasts, rare = [], [], [], [], []
     for i, (own, at) in enumerate(found):
         distinct, place = np.unique(own, return_index=True)
         last = len(own) - 1 - np.unique(own[::-1], return_index=True)[1]
-        there = occurs[np.searchsorted(every, distinct)]
-        keys.append(distinct[there])
-        items.append(np.full(there.sum(), i))
-        places.append(at[place[there]])
+        times = counts[np.searchsorted(every, distinct)]
+        there = times > 0
+        key, begin, times = distinct[there], at[place[there]], times[there]
+        # the first one of each stretch, by number of occurrences
+        order = np.lexsort((begin, times, begin // STRETCH))
+        rarest = np.zeros(len(key), bool)
+        rarest[order[np.unique(begin[order] // STRETCH, return_index=True)[1]]] = True
+        keys.append(key)
+        items.append(np.full(len(key), i))
+        places.append(begin)
         lasts.append(at[last[there]])
-        needed.append(min(s.hits, int(there.sum())))
+        rare.append(rarest | (times <= s.rare))
     key, item = np.concatenate(keys), np.concatenate(items).astype(np.int64)
-    place, last = np.concatenate(places).astype(np.int64), np.concatenate(lasts).astype(np.int64)
+    place, last, few = np.concatenate(places).astype(np.int64), np.concatenate(lasts).astype(np.int64), np.concatenate(rare).astype(bool)
     if not len(key):
         return None
     order = np.argsort(key, kind="stable")
     seeds, first = np.unique(key[order], return_index=True)
     return Items(
-        [r["item_id"] for r in rows], item_words, seeds, np.append(first, len(key)), item[order], place[order], last[order], np.array(needed)
+        [r["item_id"] for r in rows], item_words, seeds, np.append(first, len(key)), item[order], place[order], last[order], few[order]
     )
 
 
@@ -188,13 +206,31 @@ def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, flo
     if not len(hit):
         return []
     times = items.first[seed + 1] - items.first[seed]
-    entry = np.repeat(items.first[seed], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    at = np.repeat(first[hit], times)
+    n = len(items.words)
+    portions = min(n, max(1, -(-int(times.sum()) // PORTION)))
+    if portions == 1:
+        return _aligned(hashes, bounds, items, s, first[hit], items.first[seed], items.first[seed + 1])
+    found = []
+    for k in range(portions):
+        begin, end = items.entries(seed, k * n // portions, (k + 1) * n // portions)
+        some = end > begin
+        if some.any():
+            found += _aligned(hashes, bounds, items, s, first[hit][some], begin[some], end[some])
+    return found
+
+
+def _aligned(
+    hashes: np.ndarray, bounds: np.ndarray, items: Items, s: Settings, at: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> list[tuple[int, int, float, int, int]]:
+    """The matches that hits at words ``at`` lead to; a hit's entries of ``items`` go from ``begin`` to ``end``."""
+    times = end - begin
+    entry = np.repeat(begin, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    at = np.repeat(at, times)
     # a triple that repeats in the item lets the alignment begin anywhere from ``begin`` to ``latest``
-    item, begin, latest = items.item[entry], at - items.last[entry], at - items.place[entry]
+    item, begin, latest, rare = items.item[entry], at - items.last[entry], at - items.place[entry], items.rare[entry]
     owner = np.searchsorted(bounds, at, "right") - 1
     order = np.lexsort((begin, item, owner))
-    owner, item, begin, latest = owner[order], item[order], begin[order], latest[order]
+    owner, item, begin, latest, rare = owner[order], item[order], begin[order], latest[order], rare[order]
     lengths = np.array([len(w) for w in items.words])
     # hits whose alignments would begin within an item's length of each other belong together
     cut = np.ones(len(owner), bool)
@@ -205,7 +241,7 @@ def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, flo
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(owner))
     # an item has one seed at most at a place, so these are different places
-    enough = ends - starts >= items.needed[item[starts]]
+    enough = (ends - starts >= s.hits) | np.logical_or.reduceat(rare, starts)
     starts, ends = starts[enough], ends[enough]
     out: dict[tuple[int, int], tuple[float, int, int]] = {}
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
@@ -227,12 +263,13 @@ def matches(block: Block, items: Items, s: Settings) -> list[tuple[int, int, flo
 
 
 def _item_blocks(benchmark: DataFrame) -> Iterator[list]:
-    """The items, a bounded number of characters at a time."""
-    items = stored(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")), "benchmark-items")
+    """The items, a bounded number of characters at a time; equal ones are dealt by their row number."""
+    own = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    items = stored(own.withColumn("row", F.monotonically_increasing_id()), "benchmark-items")
     size = items.agg(F.sum(F.coalesce(F.char_length("text"), F.lit(0)) + 8)).first()[0] or 0
     parts = -(-size // BLOCK_CHARS)
     for part in range(parts):
-        yield items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
+        yield items.where(F.pmod(F.xxhash64("row"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:

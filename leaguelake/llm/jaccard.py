@@ -4,13 +4,14 @@ A text's set are its distinct runs of five words (A-Z lowered). Two texts are li
 intersection has at least 75 % of the size of their union. The result is complete; only links whose
 ends are already known to be connected are not computed.
 
-1. One pass turns every text into a row: size of the set, a signature of the whole set, eight minimum
+1. One pass turns every text into a row: size of the set, a signature of the whole set, four minimum
    hashes, a bitmap of the parity of the hashes, and the sorted hashes (six bytes each).
 2. Equal sets are one from here on: copies follow their first row.
 3. Rows with an equal minimum hash are compared with the first of them, not with each other. This finds
    most links at the price of a few pairs per row, and families of near copies become components.
 4. What that missed is found by prefixes. In one order of all shingles, rare before frequent, linked
-   sets share a shingle among their first quarter. Rows are dealt by these shingles. A short run of
+   sets share a shingle among their first quarter, and the first one they share is among the first
+   seventh of the smaller set. Rows are dealt by these shingles. A short run of
    rows with one shingle gives its pairs of matching size from different components. The rows of long
    runs are first compared exactly within tiles of bounded size, which gives links that span the
    tile and not all pairs; so families whose members are barely alike become components, too. Runs
@@ -52,7 +53,7 @@ from leaguelake.scale import AT, FILE, placed, stored
 
 WORDS = 5
 PERCENT = 75
-KEYS = 8
+KEYS = 4
 LEAST_CELLS, MOST_CELLS = 1 << 18, 1 << 22
 SHINGLES_PER_CELL = 64  # of all shingles, of which few are counted
 AT_ONCE = 24 << 20  # bytes of shingles in which recurring ones are looked for
@@ -295,9 +296,16 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - (PERCENT * n + 99) // 100 + 1
 
 
+def early_length(n: np.ndarray) -> np.ndarray:
+    """The first element that a set shares with a linked set not smaller than itself is among so many:
+    their intersection has at least 2 PERCENT / (100 + PERCENT) of the smaller one's size."""
+    return n + (-2 * PERCENT * n) // (100 + PERCENT) + 1
+
+
 def prefix_rows(level, groups):
     """A task from rows (row, comp, n, sig_a, sig_b, shingles) to (token, row, n, comp), without the
-    copies in ``groups``; both arguments are broadcast."""
+    copies in ``groups``; both arguments are broadcast. To travel in fewer bytes, ``comp`` is the
+    difference to the row, and n is negative where the token is not an early one of its set."""
 
     def copies(batch: pa.RecordBatch) -> np.ndarray:
         """Which rows are in one of ``groups`` and not its first one."""
@@ -326,12 +334,14 @@ def prefix_rows(level, groups):
                 place = np.arange(len(keys)) - begin[owner]
                 taken = place < prefix_length(n)[owner]
                 whose = owner[taken]
+                early = place[taken] < early_length(n)[whose]
+                size = sizes[part][whose]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[order][taken].view(np.int64)),
                         pa.array(rows[part][whose]),
-                        pa.array(sizes[part][whose]),
-                        pa.array(comps[part][whose]),
+                        pa.array(np.where(early, size, -size)),
+                        pa.array((comps - rows)[part][whose]),
                     ],
                     ["token", "row", "n", "comp"],
                 )
@@ -357,7 +367,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def handle(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole runs."""
-        token, row, n, comp = rows
+        token, row, marked, comp = rows
+        n, early = np.abs(marked), marked > 0
         start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         size = np.diff(np.append(start, len(token)))
         left, right = [], []
@@ -370,6 +381,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lesser, larger = np.minimum(n[same], n[other]), np.maximum(n[same], n[other])
             fits = (comp[same] != comp[other]) & (100 * lesser >= PERCENT * larger)
             fits &= np.repeat(size, size)[same] <= RUN
+            # the first token that two linked sets share is an early one of the smaller set
+            fits &= (early[same] | (n[same] > n[other])) & (early[other] | (n[other] > n[same]))
             left.append(row[same[fits]])
             right.append(row[other[fits]])
         if left:
@@ -386,10 +399,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         rows = np.stack([batch.column(c).to_numpy() for c in ("token", "row", "n", "comp")])
+        rows[3] += rows[1]
         if passing is not None:
             more = int(np.searchsorted(rows[0] != passing, True))
             if more:
-                yield emit(rows[0, :more], rows[1, :more], nulls(more), rows[2, :more], rows[3, :more])
+                yield emit(rows[0, :more], rows[1, :more], nulls(more), np.abs(rows[2, :more]), rows[3, :more])
             rows = rows[:, more:]
             if not rows.shape[1]:
                 continue
@@ -400,7 +414,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from handle(rows[:, :last])
         carry = rows[:, last:]
         if carry.shape[1] > RUN:
-            yield emit(carry[0], carry[1], nulls(carry.shape[1]), carry[2], carry[3])
+            yield emit(carry[0], carry[1], nulls(carry.shape[1]), np.abs(carry[2]), carry[3])
             passing, carry = int(carry[0, 0]), carry[:, :0]
     if carry.shape[1]:
         yield from handle(carry)

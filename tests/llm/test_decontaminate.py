@@ -135,6 +135,55 @@ def test_a_lone_edited_or_shortened_copy_is_found(spark):
         assert want >= S.score and [(r.doc_id, r.item_id, r.score) for r in got] == [(k, k, want)]
 
 
+def test_another_copy_does_not_hide_one_that_keeps_a_single_triple(spark):
+    """Whether a row is found must not depend on other rows of the table."""
+    item = [f"w{i}" for i in range(30)]
+    edited = [f"new{i}" if i < 27 and i % 3 == 2 else w for i, w in enumerate(item)]
+    want = plain_alignment(edited, item) / (2 * len(item))
+    docs = documents(spark, {1: " ".join(edited), 2: " ".join(item)})
+    got = contaminated(docs, table_of(spark, [(7, " ".join(item))])).collect()
+    assert want >= S.score and sorted((r.doc_id, r.score) for r in got) == [(1, want), (2, 1.0)]
+
+
+def test_edits_of_every_kind_equal_aligning_everything(spark):
+    rng = random.Random(12)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(rng.choice([9, 20, 45, 90])))) for i in range(30)]
+    docs = []
+    for k in range(240):
+        own = tokens(items[k % 30][1])
+        share = rng.choice([0.1, 0.2, 0.3, 0.4])
+        kind = rng.randrange(4)
+        if kind == 3:
+            cut = int(len(own) * share)
+            edited = own[cut:] if k % 2 else own[: len(own) - cut]
+        else:
+            edited = [x for w in own for x in ((w,) if rng.random() > share else ((), ("new",), (w, "more"))[kind])]
+        docs.append((k, " ".join([f"p{rng.randrange(30)}" for _ in range(20)] + edited + ["end"])))
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents(spark, docs), table_of(spark, items)).collect()}
+    want = {(d, i) for d, text in docs for i, item in items[d % 30 : d % 30 + 1] if plain_alignment(tokens(text), tokens(item)) >= bar(len(tokens(item)), S)}
+    assert got == want and len(want) > 150
+
+
+def test_memory_of_an_opening_that_all_items_share(spark):
+    """Hits times items is not held at once, and the one item that is there is found."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from leaguelake.llm.textbuf import blocks
+
+    opening = "which of the following is"
+    texts = [(i, f"{opening} " + " ".join(f"i{i}w{k}" for k in range(12))) for i in range(2000)]
+    docs = documents(spark, {1: f"{opening} " * 3})
+    items = decontaminate.prepared(table_of(spark, texts).collect(), docs, S)
+    (block,) = blocks(pa.array([f"{opening} x " * 1000 + texts[77][1]]))
+    tracemalloc.start()
+    found = decontaminate.matches(block, items, S)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[1] for f in found] == [77] and most < 50 << 20
+
+
 def test_items_that_repeat_their_triples(spark):
     item = " ".join(["da", "du", "di"] * 20 + [f"x{i}" for i in range(20)])
     text = " ".join(["before"] * 30 + item.split()[30:] + ["after"] * 30)

@@ -9,7 +9,17 @@ import pytest
 
 from leaguelake.llm import jaccard
 from leaguelake.llm.graph import components
-from leaguelake.llm.jaccard import folded, keep_one, may_overlap, near_duplicates, overlap, parity_bits, prefix_length, shingle_sets
+from leaguelake.llm.jaccard import (
+    early_length,
+    folded,
+    keep_one,
+    may_overlap,
+    near_duplicates,
+    overlap,
+    parity_bits,
+    prefix_length,
+    shingle_sets,
+)
 from leaguelake.llm.textbuf import blocks
 from rows import awkward, documents
 
@@ -182,6 +192,9 @@ def test_prefix_length_is_what_a_link_needs():
     for n in range(1, 200):
         least = min(k for k in range(n + 1) if 100 * k >= 75 * n)
         assert prefix_length(np.array([n]))[0] == n - least + 1
+        # with a set of the same or a larger size
+        least = min(k for m in range(n, 2 * n) for k in range(n + 1) if 100 * k >= 75 * (n + m - k))
+        assert early_length(np.array([n]))[0] == n - least + 1
 
 
 def test_components(spark):
