@@ -231,6 +231,61 @@ def raw_quarantine(spark, sf):
     )
 
 
+def _land_dirty(records: DataFrame, path: str, wrapper: str, rows: int, faults: dict) -> None:
+    """Pages of the records as JSON, changed by ``faults`` (pattern: (condition, replacement)); every fourth
+    page breaks off in its last record. ``records`` needs a unique ``key``."""
+    text = F.to_json(F.struct(*[c for c in records.columns if c != "key"]))
+    for pattern, (condition, replacement) in faults.items():
+        text = F.when(condition, F.regexp_replace(text, pattern, replacement)).otherwise(text)
+    lines = records.select(F.floor(F.col("key") / rows).alias("block"), "key", text.alias("text"))
+    pages = lines.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("own"))
+    page = F.concat(F.lit(f'{{"{wrapper}":['), F.array_join(F.transform("own", lambda r: r["text"]), ","), F.lit("]}"))
+    broken = F.when(F.col("block") % 4 == 1, F.substring(page, F.lit(1), F.length(page) - 9))
+    pages.select(F.coalesce(broken, page)).write.text(path)
+
+
+def _outcomes(rows: DataFrame, number: str) -> DataFrame:
+    """Records loaded and set aside, by reason; what was set aside has its text."""
+    good = F.col(raw.REASON).isNull()
+    return rows.groupBy(F.coalesce(raw.REASON, F.lit("good")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(good, F.col(number).cast("long"))).alias("id_sum"),
+        F.count(F.when(good == (F.col(raw.RAW_TEXT).isNull()), True)).alias("n_consistent"),
+    )
+
+
+@query
+def raw_quarantine_teams(spark, sf):
+    path = scratch_path(spark, "dirty-teams")
+    teams = fixtures.raw_teams(spark, sf).withColumn("key", F.col("id"))
+    faults = {r'"id":\d+': (F.col("key") % 7 == 3, '"id":"none"')}
+    _land_dirty(teams, path, "data", 5, faults)
+    return _outcomes(raw.format_teams(raw.read_teams_checked(spark, path)), "team_id")
+
+
+@query
+def raw_quarantine_venues(spark, sf):
+    path = scratch_path(spark, "dirty-venues")
+    venues = fixtures.raw_venues(spark, sf).withColumn("key", F.col("idTeam").cast("long"))
+    faults = {r'"idTeam":"\d+",': (F.col("key") % 6 == 2, "")}
+    _land_dirty(venues, path, "teams", 4, faults)
+    return _outcomes(raw.format_venues(raw.read_venues_checked(spark, path)), "thesportsdb_team_id")
+
+
+@query
+def raw_mistyped_games(spark, sf):
+    """A home team that is a number, and a visitor whose id is a word: the record goes aside with its text."""
+    path = scratch_path(spark, "mistyped")
+    games = fixtures.raw_games(spark, sf).withColumn("key", F.col("id"))
+    faults = {
+        r'"home_team":\{[^}]*\}': (F.col("key") % 40 == 3, '"home_team":7'),
+        r'"visitor_team":\{"id":\d+': (F.col("key") % 40 == 9, '"visitor_team":{"id":"x"'),
+        r'"home_team_score":': (F.col("key") % 40 == 11, '"score":'),
+    }
+    _land_dirty(games, path, "data", 100, faults)
+    return _outcomes(raw.format_games(raw.read_games_checked(spark, path)), "game_id")
+
+
 @query
 def dims_of_run(spark, sf):
     """Two runs of the teams; a job of the first day must not see the second."""

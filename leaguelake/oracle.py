@@ -318,6 +318,16 @@ _STRENGTH_COLUMNS = """game_id, team_id,
        ROUND(schedule_difficulty_next{n}, 6) AS schedule_difficulty_next{n},
        home_games_next{n}, away_games_next{n}, b2b_games_next{n}"""
 
+
+def _outcomes_sql(source: str, number: str, rows: int, faults: str) -> str:
+    """What becomes of the records of dirty pages, of which every fourth breaks off."""
+    return f"""SELECT outcome, CAST(COUNT(DISTINCT CASE WHEN outcome = 'unreadable payload' THEN id // {rows} ELSE -1 - id END) AS BIGINT) AS n,
+        CAST(SUM(CASE WHEN outcome = 'good' THEN id END) AS BIGINT) AS id_sum,
+        CAST(COUNT(DISTINCT CASE WHEN outcome = 'unreadable payload' THEN id // {rows} ELSE -1 - id END) AS BIGINT) AS n_consistent
+        FROM (SELECT {number} AS id, CASE WHEN {number} // {rows} % 4 = 1 THEN 'unreadable payload' {faults} ELSE 'good' END AS outcome
+              FROM {source}) GROUP BY outcome"""
+
+
 ORACLE: dict[str, str] = {
     # sources
     "src_json_games": _sql("raw_games", select="SELECT * FROM raw_games"),
@@ -368,6 +378,19 @@ ORACLE: dict[str, str] = {
                              THEN game_id END) AS BIGINT) AS id_sum
         FROM games GROUP BY 1""",
     ),
+    "raw_quarantine_teams": _sql("teams", select=_outcomes_sql("teams", "team_id", 5, "WHEN team_id % 7 = 3 THEN 'no id'")),
+    "raw_quarantine_venues": _sql(
+        "venues", select=_outcomes_sql("venues", "CAST(thesportsdb_team_id AS BIGINT)", 4, "WHEN CAST(thesportsdb_team_id AS BIGINT) % 6 = 2 THEN 'no id'")
+    ),
+    "raw_mistyped_games": _sql(
+        "games",
+        select=_outcomes_sql(
+            "games",
+            "game_id",
+            100,
+            "WHEN game_id % 40 = 3 THEN 'unreadable field: home_team' WHEN game_id % 40 = 9 THEN 'unreadable field: visitor_team'",
+        ),
+    ),
     "high_water_mark_dirty": _sql(
         "games",
         select="""SELECT strftime(MAX(game_date) FILTER (WHERE game_id % 11 <> 0), '%Y-%m-%d')

@@ -93,11 +93,11 @@ def format_dimensions(
 ) -> None:
     """Raw teams and venues to formatted tables, one row per key.
 
-    Where they are not ``required`` a missing run leaves the newest earlier one in use.
+    Payloads that cannot be read and records without an id go to the run's quarantine. Where they are not ``required`` a missing run leaves the newest earlier one in use.
     """
     for source, key, read, shape in (
-        (GAMES, "team_id", raw.read_teams, raw.format_teams),
-        (VENUES, "team_name_norm", raw.read_venues, raw.format_venues),
+        (GAMES, "team_id", raw.read_teams_checked, raw.format_teams),
+        (VENUES, "team_name_norm", raw.read_venues_checked, raw.format_venues),
     ):
         path = layout.run("raw", source, "teams", run_date)
         records = lake.if_present(functools.partial(read, spark, path, multi_line))
@@ -105,7 +105,10 @@ def format_dimensions(
             continue
         if records is None:
             raise RuntimeError(f"no raw teams at {path}")
-        rows = latest_run(shape(records).withColumn(RUN, F.lit(run_date)), [key]).drop(RUN)
+        rows = stored(shape(records), "parsed-teams")
+        lake.write_run(raw.quarantined(rows), layout.table("quarantine", source, "teams"), run_date)
+        good = rows.where(F.col(raw.REASON).isNull()).drop(raw.REASON, raw.RAW_TEXT, raw.FILE)
+        rows = latest_run(good.withColumn(RUN, F.lit(run_date)), [key]).drop(RUN)
         lake.write_run(guard_nonempty(rows, "teams"), layout.table("formatted", source, "teams"), run_date)
 
 

@@ -13,12 +13,10 @@ from leaguelake.layout import RUN
 from leaguelake.operators.dedup import latest, latest_run
 from leaguelake.schemas import RAW_GAME
 from leaguelake.sources.raw import (
-    CORRUPT,
     FILE,
     GAMES_WRAPPER,
     RAW_TEXT,
     REASON,
-    checked_schema,
     format_games,
     quarantined,
     unwrap_checked,
@@ -44,11 +42,8 @@ def load_new_games(
     that is repeated after a failure leaves the same rows.
     """
     files = (
-        spark.readStream.schema(checked_schema(RAW_GAME, GAMES_WRAPPER))
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(raw_root)
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        .text(raw_root, wholetext=multi_line)
         .withColumn(FILE, F.col("_metadata.file_path"))
     )
     aside = quarantine or f"{table.rstrip('/')}-quarantine"

@@ -158,3 +158,59 @@ def test_layout_and_settings():
     store = object_store("http://store:9000", "key", "secret")
     assert store["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert store["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def _checked(spark, folder, payloads, read, multi_line=False):
+    folder.mkdir(parents=True)
+    for i, text in enumerate(payloads):
+        (folder / f"p{i}.json").write_text(text)
+    return read(spark, str(folder), multi_line).collect()
+
+
+def test_no_payload_of_any_kind_is_lost(spark, tmp_path):
+    """Whole, cut off, mistyped and empty pages of games, teams and venues: rows in = rows out + set aside."""
+    kinds = {
+        "games": (raw.read_games_checked, "data", lambda i: {"id": i, "date": "2024-01-01", "home_team": {"id": 1}, "visitor_team": {"id": 2}}),
+        "teams": (raw.read_teams_checked, "data", lambda i: {"id": i, "full_name": f"Team {i}"}),
+        "venues": (raw.read_venues_checked, "teams", lambda i: {"idTeam": str(i), "strTeam": f"Venue {i}"}),
+    }
+    for name, (read, wrapper, one) in kinds.items():
+        key = "idTeam" if name == "venues" else "id"
+        page = json.dumps({wrapper: [one(1), one(2)]})
+        nameless = {k: v for k, v in one(9).items() if k != key}
+        payloads = [page, page[:-5], json.dumps([one(3), nameless, one(4) | {key: None}]), json.dumps(one(5)), '{"error": 1}', "[]", "7", "", "null"]
+        for multi_line in (False, True):
+            rows = _checked(spark, tmp_path / f"{name}{multi_line}", payloads, read, multi_line)
+            good = sorted(int(r[key]) for r in rows if r.reason is None)
+            aside = sorted((r.reason, r.raw_text) for r in rows if r.reason is not None)
+            assert good == [1, 2, 3, 5]
+            assert [r for r, _ in aside] == ["no id"] * 2 + ["no records"] * 3 + ["unreadable payload"]
+            assert aside[-1][1] == page[:-5] and {t for _, t in aside[2:5]} == {'{"error": 1}', "7", "null"}
+            assert json.loads(aside[0][1]) in (nameless, one(4) | {key: None})
+            assert all(r.raw_text is None for r in rows if r.reason is None)
+
+
+def test_one_wrong_field_costs_no_other(spark, tmp_path):
+    given = [
+        {"id": 5, "status": "Final", "home_team": 7, "visitor_team": {"id": 2}},
+        {"id": 6, "home_team": {"id": "x"}, "visitor_team": {"id": 3}},
+        {"id": 7, "home_team": None, "visitor_team": {"id": "4", "name": "n"}, "season": 2024, "home_team_score": "12"},
+        {"id": 8, "home_team": [1]},
+        {"id": "9", "home_team": {}},
+    ]
+    rows = {r.id: r for r in _checked(spark, tmp_path / "g", [json.dumps(given)], raw.read_games_checked)}
+    assert {i: r.reason for i, r in rows.items()} == {5: "unreadable field: home_team", 6: "unreadable field: home_team", 7: None, 8: "unreadable field: home_team", 9: None}
+    assert rows[5].status == "Final" and rows[5].visitor_team.id == 2 and json.loads(rows[5].raw_text) == given[0]
+    assert rows[7].visitor_team.id == 4 and (rows[7].season, rows[7].home_team_score) == ("2024", "12")
+
+
+def test_documents_beyond_sixteen_megabytes(spark, tmp_path):
+    many = [{"id": i, "status": "x" * 1000, "home_team": {"id": 1}} for i in range(20_000)]
+    rows = raw.read_games_checked(spark, _put(tmp_path / "big", json.dumps({"data": many})), multi_line=True)
+    assert rows.groupBy("reason").count().collect() == [(None, 20_000)]
+
+
+def _put(folder, text):
+    folder.mkdir(parents=True)
+    (folder / "big.json").write_text(text)
+    return str(folder)
