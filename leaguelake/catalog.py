@@ -835,10 +835,25 @@ def confusion(spark, sf):
     return model.confusion(_called(spark, sf), "home_win", "prediction")
 
 
+def _trained(spark: SparkSession, sf: str) -> model.Trained:
+    return model.train(_matches(spark, sf), fixtures.CUTOFF)
+
+
 @query
 def rf_predictions(spark, sf):
+    """The prediction table."""
+    return model.predictions(_trained(spark, sf))
+
+
+@query
+def rf_importance(spark, sf):
+    return model.importances(_trained(spark, sf))
+
+
+@query
+def rf_predictions_valid(spark, sf):
     """The prediction table; of the forest's own columns, what must hold for any forest."""
-    rows = model.predictions(model.train(_matches(spark, sf), fixtures.CUTOFF))
+    rows = model.predictions(_trained(spark, sf))
     p = F.col("win_probability_home")
     return rows.select(
         *[c for c in rows.columns if c not in ("win_probability_home", "prediction")],
@@ -848,8 +863,8 @@ def rf_predictions(spark, sf):
 
 
 @query
-def rf_importance(spark, sf):
-    rows = model.importances(model.train(_matches(spark, sf), fixtures.CUTOFF))
+def rf_importance_valid(spark, sf):
+    rows = model.importances(_trained(spark, sf))
     total = F.sum("importance").over(Window.partitionBy())  # one row per feature
     return rows.select(
         "feature",
@@ -858,6 +873,22 @@ def rf_importance(spark, sf):
     )
 
 
+@query
+def rf_nodes(spark, sf):
+    """The forest as a table of nodes."""
+    return model.forest_nodes(_trained(spark, sf))
+
+
+@query
+def rf_score_by_nodes(spark, sf):
+    """Every match from the cutoff on, scored by the forest and by joins down its node table."""
+    trained = _trained(spark, sf)
+    own = model.score_by_nodes(trained.test, model.forest_nodes(trained)).withColumnRenamed("win_probability_home", "by_nodes")
+    both = model.predictions(trained).join(own, "game_id", "left")
+    agrees = F.abs(F.col("win_probability_home") - F.col("by_nodes")) < 1e-9
+    return both.select("game_id", F.coalesce(agrees, F.lit(False)).alias("agrees"))
+
+
 @query
 def rf_evaluation(spark, sf):
     """The evaluators' measures against the rank formula and the share of hits on the same scores."""

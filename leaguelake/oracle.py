@@ -775,13 +775,14 @@ ORACLE: dict[str, str] = {
 ORACLE["user_events_last5_split"] = ORACLE["user_events_last5"]
 ORACLE["sos_rank_split"] = ORACLE["sos_rank"]
 # what is certain about a forest: inputs, ranges, and measures computed in two ways
-ORACLE["rf_predictions"] = _sql(
+ORACLE["rf_predictions_valid"] = _sql(
     "features",
     select=f"""SELECT game_id, game_date, home_team_id, visitor_team_id, home_team_score,
     visitor_team_score, home_win, home_team_name, away_team_name,
     {", ".join(_filled(c) for c in _INPUTS)}, TRUE AS probability_valid, TRUE AS prediction_agrees
     FROM features WHERE game_date >= DATE '2000-01-01'""",
 )
-ORACLE["rf_importance"] = f"""SELECT feature, TRUE AS valid, TRUE AS sum_is_one
+ORACLE["rf_importance_valid"] = f"""SELECT feature, TRUE AS valid, TRUE AS sum_is_one
     FROM (SELECT unnest([{", ".join(repr(c) for c in _INPUTS)}]) AS feature)"""
 ORACLE["rf_evaluation"] = """SELECT unnest(['test_auc', 'test_accuracy']) AS measure, TRUE AS agrees"""
+ORACLE["rf_score_by_nodes"] = _sql("games", select="SELECT game_id, TRUE AS agrees FROM games WHERE game_date >= DATE '2000-01-01'")

@@ -12,13 +12,15 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions import difference_or_zero
-from leaguelake.scale import stored
+from leaguelake.scale import scratch_path, stored
 
 LABEL = "home_label"
+TRAIN_ROWS = 500_000  # rows of one partition the forest is grown from
+LEAST_PARTITIONS = 8
 
 # Fixed list and order of the model inputs.
 FEATURES = [
@@ -119,11 +121,12 @@ class Trained:
 def train(matches: DataFrame, cutoff: str, trees: int = 10, depth: int = 3, seed: int = 42) -> Trained:
     """Fit the forest on the matches before ``cutoff``.
 
-    The inputs are written once, because tree growth reads them once per level, and in a fixed order,
-    because the forest's samples are drawn by position: the same seed gives the same forest.
+    The inputs are written once, because they are read for training and for scoring. The forest's samples
+    are drawn by partition and position, so training rows are dealt by a hash of the game into a number
+    of partitions that follows from their count, and sorted there: the same matches and seed give the same
+    forest, however many cores there are and however files are cut.
     """
-    inputs = imputed(match_features(matches)).sortWithinPartitions("game_id")
-    rows = stored(inputs, "features")
+    rows = stored(imputed(match_features(matches)), "features")
     before, after = temporal_split(rows, cutoff)
     if before.isEmpty():
         raise RuntimeError(f"no training rows before {cutoff}")
@@ -134,7 +137,8 @@ def train(matches: DataFrame, cutoff: str, trees: int = 10, depth: int = 3, seed
             featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
         ),
     ]
-    model = Pipeline(stages=stages).fit(before)
+    parts = max(LEAST_PARTITIONS, -(-before.count() // TRAIN_ROWS))
+    model = Pipeline(stages=stages).fit(before.repartition(parts, "game_id").sortWithinPartitions("game_id"))
     return Trained(model, before, before if eval_on == "train" else after, eval_on)
 
 
@@ -175,6 +179,62 @@ def importances(trained: Trained) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def forest_nodes(trained: Trained) -> DataFrame:
+    """The trained trees as a table, one row per node: a row of matches goes ``left`` where its ``feature`` is at
+    most ``threshold``, else ``right``; leaves have no feature. ``n`` and ``home_share`` are of the training
+    rows that came here, ``gain`` is what the split gains."""
+    spark = trained.train.sparkSession
+    path = scratch_path(spark, "forest")
+    trained.model.stages[-1].write().save(path)
+    saved = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    names = F.array(*[F.lit(c) for c in FEATURES])
+    stats = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    return stored(
+        saved.select(
+            F.col("treeID").alias("tree"),
+            F.col("id").alias("node"),
+            F.when(inner, F.get(names, F.col("split.featureIndex"))).alias("feature"),
+            F.when(inner, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+            F.when(inner, F.col("leftChild")).alias("left"),
+            F.when(inner, F.col("rightChild")).alias("right"),
+            F.when(inner, F.col("gain")).alias("gain"),
+            stats.alias("n"),
+            (F.get("impurityStats", F.lit(1)) / stats).alias("home_share"),
+        ),
+        "forest-nodes",
+    )
+
+
+def score_by_nodes(rows: DataFrame, nodes: DataFrame, key: str = "game_id", depth: int = 3) -> DataFrame:
+    """``key`` and ``win_probability_home`` from the node table: every row goes down all trees, one join a level.
+
+    ``nodes`` has at most 2 ** (depth + 1) rows a tree; a row of ``rows`` is as many rows as there are trees
+    until their shares are averaged.
+    """
+    trees = [r["tree"] for r in nodes.select("tree").distinct().collect()]
+    table = F.broadcast(nodes.select("tree", "node", "feature", "threshold", "left", "right", "home_share"))
+    values = F.create_map(*[x for c in FEATURES for x in (F.lit(c), F.col(c))])
+    at = rows.select(key, values.alias("values"), F.explode(F.array(*map(F.lit, trees))).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(depth):
+        below = F.when(F.col("values")[F.col("feature")] <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = at.join(table, ["tree", "node"]).select(
+            key, "values", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(below).alias("node")
+        )
+    leaves = at.join(table, ["tree", "node"]).select(key, "home_share")
+    return leaves.groupBy(key).agg(F.avg("home_share").alias("win_probability_home"))
+
+
+def importances_by_nodes(nodes: DataFrame) -> DataFrame:
+    """Importance of every feature from the node table: what its splits gain, per tree and then together."""
+    gains = nodes.where("feature IS NOT NULL").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("n")).alias("gain"))
+    # a row per feature and tree
+    of_tree = gains.withColumn("share", F.col("gain") / F.sum("gain").over(Window.partitionBy("tree")))
+    shares = of_tree.groupBy("feature").agg(F.sum("share").alias("share"))
+    total = F.sum("share").over(Window.partitionBy())
+    return shares.select("feature", (F.col("share") / total).alias("importance"))
+
+
 def confusion(scored: DataFrame, label: str, prediction: str) -> DataFrame:
     return scored.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
 

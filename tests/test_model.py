@@ -91,3 +91,71 @@ def test_rank_auc_equals_the_evaluator(matches):
     ).withColumn("raw", array_to_vector(F.array(1 - F.col("p"), "p")))
     evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="raw", numBins=0)
     assert rank_auc(scored, "p", "label").first()[0] == pytest.approx(evaluator.evaluate(scored))
+
+
+NODES_SQL = """
+WITH RECURSIVE walk AS (
+    SELECT game_id, v, tree, 0 AS node FROM given, (SELECT DISTINCT tree FROM nodes)
+    UNION ALL
+    SELECT game_id, v, walk.tree, CASE WHEN v[nodes.feature] <= nodes.threshold THEN nodes."left" ELSE nodes."right" END
+    FROM walk JOIN nodes ON nodes.tree = walk.tree AND nodes.node = walk.node WHERE nodes.feature IS NOT NULL),
+scored AS (
+    SELECT game_id, avg(home_share) AS p FROM walk JOIN nodes USING (tree, node) WHERE nodes.feature IS NULL GROUP BY game_id)
+SELECT game_id, p, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END FROM scored ORDER BY game_id"""
+
+GAINS_SQL = """
+SELECT feature, sum(share) / sum(sum(share)) OVER () FROM (
+    SELECT feature, sum(gain * n) / sum(sum(gain * n)) OVER (PARTITION BY tree) AS share
+    FROM nodes WHERE feature IS NOT NULL GROUP BY tree, feature) GROUP BY feature ORDER BY feature"""
+
+
+def test_forest_equals_sql_over_its_node_table(spark, matches):
+    """Probabilities, predictions and importances, by a second engine that walks down the trees."""
+    import duckdb
+
+    trained = model.train(matches, CUTOFF)
+    nodes_frame = model.forest_nodes(trained)
+    names = "[" + ", ".join(f"'{c}'" for c in model.FEATURES) + "]"
+    con = duckdb.connect()
+    con.register("nodes", nodes_frame.toPandas().astype({"left": "Int64", "right": "Int64"}))
+    con.register("wide", trained.test.select("game_id", *model.FEATURES).toPandas())
+    con.execute(f"CREATE VIEW given AS SELECT game_id, map({names}, [{', '.join(model.FEATURES)}]) AS v FROM wide")
+    expected = con.execute(NODES_SQL).fetchall()
+    found = model.predictions(trained)
+    assert found.columns == [*model.PREDICTION_HEAD, *model.FEATURES] and len(found.columns) == 29
+    rows = {r.game_id: r for r in found.collect()}
+    assert len(expected) == len(rows) > 50 and len({round(p, 9) for _, p, _ in expected}) > 10
+    for game, p, called in expected:
+        assert rows[game].win_probability_home == pytest.approx(p, abs=1e-12)
+        assert rows[game].prediction == called or p == pytest.approx(0.5)
+    own = {r.feature: r.importance for r in model.importances(trained).collect()}
+    gains = dict(con.execute(GAINS_SQL).fetchall())
+    assert {f for f, x in own.items() if x > 0} == set(gains)
+    assert all(own[f] == pytest.approx(gains[f], abs=1e-9) for f in gains)
+    ours = {r.feature: r.importance for r in model.importances_by_nodes(nodes_frame).collect()}
+    assert ours == pytest.approx(gains)
+
+
+def test_joins_down_the_trees_equal_the_model(spark, matches):
+    trained = model.train(matches, CUTOFF)
+    nodes = model.forest_nodes(trained)
+    assert nodes.groupBy("tree").count().count() == 10 and nodes.agg(F.max("node")).first()[0] <= 14
+    joined = {r.game_id: r.win_probability_home for r in model.score_by_nodes(trained.test, nodes).collect()}
+    assert joined == pytest.approx({r.game_id: r.win_probability_home for r in model.predictions(trained).collect()})
+
+
+def test_the_forest_does_not_depend_on_how_files_are_cut(spark, matches):
+    def forest():
+        rows = model.forest_nodes(model.train(matches, CUTOFF)).collect()
+        return sorted((r.tree, r.node, str(r.feature), r.threshold or 0.0, r.n, r.home_share) for r in rows)
+
+    first = forest()
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.shuffle.partitions")
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for name, value in zip(names, ("9000", "1", "3"), strict=True):
+            spark.conf.set(name, value)
+        assert forest() == first
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

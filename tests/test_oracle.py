@@ -27,5 +27,9 @@ def test_query_equals_sql(spark, con, name):
     assert differences(frame, con, contract.oracle_sql()[name]) == []
 
 
+# a trained forest's own values: tests/test_model.py holds them against SQL over the forest's node table
+FOREST = {"rf_predictions", "rf_importance", "rf_nodes"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - FOREST == set(ORACLE)
