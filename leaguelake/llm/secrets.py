@@ -1,10 +1,11 @@
 """Secrets in texts, and multipart credentials linked within scopes. Native.
 
 Patterns find parts: assignments, access identifiers, hexadecimal runs (the base, always reported),
-and weak ones: names of accounts, short or opaque values, endpoints. A part's scope is ``SCOPE`` code
-points before and after its start. An interval join of the parts with the scopes of their own text,
-written as one window with a value range, says which roles stand near each part; weak ones are
-reported only beside what completes them: a secret beside an identifier, an identifier beside a
+and weak ones: names of accounts, short or opaque values, endpoints. A part's scope reaches
+from ``SCOPE`` code points before its start to as many after its end, however long it is. An interval join
+of the parts with the scopes of their own text says which roles stand in each: of the parts that begin
+no later, the one that ends last decides, and of those that begin no earlier, the one that begins first,
+which are two running windows over sorted starts. Weak parts are reported only beside what completes them: a secret beside an identifier, an identifier beside a
 secret, an endpoint beside both.
 
 Regular expressions run once over every text, in the scan; from there on only lengths travel, so the
@@ -71,7 +72,7 @@ PARTS = (
     Part("access", "identifier", "AKIA[A-Z0-9]{14,}", 0, 18, LONG, True, "AKIA[A-Z0-9]{14}", ("akia",)),
     Part("hex", "secret", "[0-9a-f]{16,}", 0, 16, LONG, True, "[0-9a-f]{16}"),
     Part("weak", "secret", _ASSIGN, 2, 6, 11, False, f"({_SECRET_NAMES}){_SET}[A-Za-z0-9+/_.=-]{{6}}", _SECRET_HINTS),
-    Part("opaque", "secret", "[A-Za-z0-9+/]{32,}", 0, 32, 88, False, "[A-Za-z0-9+/]{32}"),
+    Part("opaque", "secret", "[A-Za-z0-9+/]{32,}", 0, 32, LONG, False, "[A-Za-z0-9+/]{32}"),
     Part("account", "identifier", f"({_ACCOUNT_NAMES}){_SET}([A-Za-z0-9_.@-]+)", 2, 3, LONG, False, f"({_ACCOUNT_NAMES}){_SET}[A-Za-z0-9_.@-]{{3}}", _ACCOUNT_HINTS),
     Part("address", "endpoint", "[a-z][a-z0-9+]*://[^\\x00-\\x20\"'<>]+", 0, 8, LONG, False, "[a-z0-9+]://[^\\x00-\\x20\"'<>]", ("://",)),
     Part("host", "endpoint", f"({_HOST_NAMES}){_SET}([A-Za-z0-9.:-]+)", 2, 3, LONG, False, f"({_HOST_NAMES}){_SET}[A-Za-z0-9.:-]{{3}}", _HOST_HINTS),
@@ -142,11 +143,14 @@ def parts(hits: DataFrame) -> DataFrame:
         .where(counted)
         .select(ROW, F.col("kind").alias(KIND), (F.col(END) - F.col("length")).alias(START), END)
     )
-    scope = Window.partitionBy(ROW).orderBy(START).rangeBetween(-SCOPE, SCOPE)
-    near = {
-        role: F.max(F.col(KIND).isin([i for i, p in enumerate(PARTS) if p.role == role])).over(scope)
-        for role in ROLES
-    }
+    earlier = Window.partitionBy(ROW).orderBy(START).rangeBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy(ROW).orderBy(F.desc(START)).rangeBetween(Window.unboundedPreceding, 0)
+    near = {}
+    for role in ROLES:
+        own = F.col(KIND).isin([i for i, p in enumerate(PARTS) if p.role == role])
+        before = F.max(F.when(own, F.col(END))).over(earlier) >= F.col(START) - SCOPE
+        after = F.min(F.when(own, F.col(START))).over(later) <= F.col(END) + SCOPE
+        near[role] = F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
     reported = F.col(KIND).isin([i for i, p in enumerate(PARTS) if p.base])
     marked = placed.select("*", *[value.alias(role) for role, value in near.items()])
     for i, part in enumerate(PARTS):
@@ -247,10 +251,12 @@ def scan_sql() -> str:
         for i, p in enumerate(PARTS)
     )
     counted = " OR ".join(f"kind = {i} AND val BETWEEN {p.least} AND {p.most}" for i, p in enumerate(PARTS))
-    roles = ", ".join(
-        f"max(kind IN ({', '.join(str(i) for i, p in enumerate(PARTS) if p.role == role)})) OVER scope AS {role}"
-        for role in ROLES
-    )
+    roles = []
+    for role in ROLES:
+        own = f"kind IN ({', '.join(str(i) for i, p in enumerate(PARTS) if p.role == role)})"
+        before = f"max(CASE WHEN {own} THEN ends END) OVER earlier >= starts - {SCOPE}"
+        after = f"min(CASE WHEN {own} THEN starts END) OVER later <= ends + {SCOPE}"
+        roles.append(f"coalesce({before}, FALSE) OR coalesce({after}, FALSE) AS {role}")
     reported = " OR ".join(
         f"kind = {i}" + "".join(f" AND {role}" for role in ([] if p.base else NEEDS[p.role]))
         for i, p in enumerate(PARTS)
@@ -266,8 +272,9 @@ def scan_sql() -> str:
         FROM (SELECT *, sum(gap + len) OVER (PARTITION BY r, kind ORDER BY i) AS ends FROM m)
         WHERE {counted}),
     near AS (
-        SELECT *, {roles} FROM placed
-        WINDOW scope AS (PARTITION BY r ORDER BY starts RANGE BETWEEN {SCOPE} PRECEDING AND {SCOPE} FOLLOWING)),
+        SELECT *, {", ".join(roles)} FROM placed
+        WINDOW earlier AS (PARTITION BY r ORDER BY starts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            later AS (PARTITION BY r ORDER BY starts RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     s AS (SELECT r, kind, starts, ends, concat_ws(':', [{names}][kind + 1], starts, ends) AS span
           FROM near WHERE {reported}),
     g AS (

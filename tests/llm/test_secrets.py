@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -58,6 +59,49 @@ def test_weak_parts_need_their_complement(found):
     assert sorted(spans[105]) == ["account", "address", "host", "weak"]
 
 
+LONG_VALUE = "Zq9/" * 225
+SCOPED = [
+    (1, f'{{"token": "{LONG_VALUE}", "client_id": "abcdef"}}'),
+    (2, f'{{"client_id": "abcdef", "token": "{LONG_VALUE}"}}'),
+    (3, "client_id=abcdef " + "Ab3+" * 30),
+    (4, f"client_id=abcdef {'. ' * 95} password=tiny12"),
+    (5, f"client_id=abcdef {'. ' * 105} password=tiny12"),
+    (6, f"password=tiny12 {LONG_VALUE} client_id=abcdef"),
+]
+
+
+def test_scopes_reach_from_end_to_start(spark):
+    kinds = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in scan(documents(spark, SCOPED)).collect()}
+    assert "account" in kinds[1] and "account" in kinds[2]
+    assert sorted(kinds[3]) == ["account", "opaque"]
+    assert sorted(kinds[4]) == ["account", "weak"] and kinds[5] == []
+    assert sorted(kinds[6]) == ["account", "opaque"]  # the short value ends too far before the name
+    masked = {r.doc_id: r.text for r in redact(documents(spark, SCOPED)).collect()}
+    assert all(LONG_VALUE not in t for t in masked.values()) and "Ab3+" not in masked[3] and "abcdef" not in masked[1]
+
+
+def test_linking_equals_comparing_all_parts(spark):
+    """Every weak part against every other part of its text, by distance from end to start."""
+    from leaguelake.llm.secrets import NEEDS, PARTS, SCOPE
+
+    rng = random.Random(8)
+    pieces = ["client_id=abcdef", "password=tiny12", "Ab3+" * 30, KEY, "host=db.example.com", "https://x.example/y", "token=" + "q" * 300]
+    texts = [(i, " ".join(rng.choice(pieces) + " ." * rng.choice([1, 60, 99, 101, 130]) for _ in range(rng.randrange(1, 8)))) for i in range(60)]
+    for r in scan(documents(spark, texts)).collect():
+        spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in r.spans.split(",") if x))
+        every = []
+        for part in PARTS:
+            for m in re.finditer(part.pattern, dict(texts)[r.doc_id], re.A):
+                if part.least <= len(m[part.group]) <= part.most:
+                    every.append((m.start(), m.end(), part))
+
+        def beside(a, b, role):
+            return any(p.role == role and c - b <= SCOPE and a - d <= SCOPE for c, d, p in every)
+
+        want = sorted((a, b, p.kind) for a, b, p in every if p.base or all(beside(a, b, x) for x in NEEDS[p.role]))
+        assert spans == want, dict(texts)[r.doc_id]
+
+
 def test_base_spans_stay(found):
     for r in found:
         base = [s for s in r.spans.split(",") if s.split(":")[0] in ("assign", "access", "hex")]
