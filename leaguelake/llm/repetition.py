@@ -1,8 +1,9 @@
 """Quality rules on repetition inside a text, from suffix arrays over its words.
 
-Words are runs of anything but space and \\t to \\r. The suffixes are sorted by prefix doubling, all texts of
-a block in one array; the longest common prefixes of neighbours give each suffix its longest repeat. Repeats of at least ``min_words`` words mark their spans; the union of the
-spans over the words of the text, and the longest repeat, are limited.
+Words are runs of anything but space and \\t to \\r. The suffixes are sorted by prefix doubling, all texts
+of a block in one array; the longest common prefixes of neighbours give each suffix its longest
+repeat. Repeats of at least ``min_words`` words mark their spans; the union of the spans over the words of
+the text, and the longest repeat, are limited.
 
 Defined cases: NULL and empty texts have no words and fail the base rule; repeated rows are judged
 alike; an empty table gives no rows; other columns are left as they are. A text is handled whole, in
