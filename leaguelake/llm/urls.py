@@ -6,28 +6,28 @@ and one of rejected URLs, interpolated from order 0 to 4 by the number of differ
 context (Witten-Bell). An URL's log-likelihood difference per character is compared with a cut that
 separates held-out rule-decided URLs best; each distinct URL teaches once.
 
-Characters are folded into 64 symbols, and contexts of three and four are hashed, so a model has a
-fixed number of cells however many URLs are counted: the tables are the only thing that reaches the
-driver and is broadcast. All distinct rule-decided URLs are counted, in tasks, and each page is scored
-by its own row.
-
-Rules see host and path, the models the whole URL with scheme, query and fragment. Defined cases: a
-NULL URL, or one without ``://``, has empty host and path and no rule; a NULL or empty URL scores 0; if rules decide no URL of one kind, the models say nothing and the verdict is allow; repeated
-rows are judged alike; an empty table gives no rows; other columns are ignored.
+Both models are tables of real contexts and counts, so they grow with the input and nothing shares a
+row. What a character adds to the difference depends on it and the four before it alone: each distinct
+run of five characters is scored once, by joins of its suffixes with the counts, and an URL's score is
+the sum over its runs, joined by run. Tables are stored, so Spark broadcasts small ones and shuffles
+large ones. Differences are whole millionths: sums have one value in whatever order they are added up.
+
+Rules see host and path, the models the whole URL with scheme, query and fragment, A-Z lower-cased.
+Defined cases: a NULL URL, or one without ``://``, has empty host and path and no rule; a NULL or empty
+URL scores 0; a NUL character counts as an edge; if rules decide no URL of one kind, the models say
+nothing and the verdict is allow; repeated rows are judged alike; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaguelake.llm.arrays import summed
-from leaguelake.llm.textbuf import LOWER, Block, blocks, mix
 from leaguelake.scale import stored
 
 UPPER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,26 +53,12 @@ RULES = (
 )
 
 ORDER = 4
-SYMBOLS = 64
-HASHED = 1 << 14  # contexts of three or four symbols share so many rows
-ROWS = (1, SYMBOLS, SYMBOLS**2, HASHED, HASHED)
-FIRST_ROW = np.concatenate(([0], np.cumsum(ROWS)))
-CELLS = int(FIRST_ROW[-1]) * SYMBOLS
-EDGE = 0  # stands before the first and after the last character
+EDGE = "\0"  # stands before the first and after the last character
+SIDES = ("accepted", "rejected")
+MILLIONTHS = 1_000_000
 BIN, BINS = 0.01, 2000  # histogram of held-out scores
 
 
-def _symbols() -> np.ndarray:
-    known = b"abcdefghijklmnopqrstuvwxyz0123456789./-_?=&%#:~+,;@!"
-    table = np.full(256, len(known) + 1, np.int64)
-    table[128:] = len(known) + 2 + (np.arange(128, 256) >> 6 & 1)  # inside a code point, or its first
-    table[np.frombuffer(known, np.uint8)] = np.arange(1, len(known) + 1)
-    return table
-
-
-SYMBOL_OF = _symbols()
-
-
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host in lower case, and path."""
     rest = F.when(F.instr(url, "://") > 0, F.regexp_replace(url, "(?s)^.*?://", "")).otherwise("")
@@ -85,8 +71,9 @@ def ruled(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """page_id, host, path, the name and the verdict of the longest rule that fits, and the text models see."""
     url = F.col("url").cast("string")
     host, path = split_url(url)
+    address = F.translate(F.coalesce(url, F.lit("")), UPPER_LETTERS, UPPER_LETTERS.lower())
     split = pages.select(
-        F.col("page_id").cast("long"), host.alias("host"), path.alias("path"), F.coalesce(url, F.lit("")).alias("address")
+        F.col("page_id").cast("long"), host.alias("host"), path.alias("path"), address.alias("address")
     )
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule in sorted(rules, key=lambda r: (len(r.name), r.name)):
@@ -96,76 +83,74 @@ def ruled(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return split.select("page_id", "host", "path", name.alias("rule"), verdict.alias("ruled"), "address")
 
 
-def cells(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """For every predicted symbol its cell in each order, and which text it belongs to."""
-    lengths = np.diff(block.offsets)
-    width = lengths + ORDER + 1  # edges before, one edge after
-    begin = np.concatenate(([0], np.cumsum(width)))
-    line = np.full(begin[-1], EDGE, np.int64)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    line[np.arange(len(block.data)) + (owner + 1) * ORDER + owner] = SYMBOL_OF[LOWER[block.data]]
-    whose = np.repeat(np.arange(len(lengths)), width)
-    at = np.flatnonzero(np.arange(len(line)) - begin[whose] >= ORDER)
-    rows = np.zeros((ORDER + 1, len(at)), np.int64)
-    context = np.zeros(len(at), np.int64)
-    for order in range(1, ORDER + 1):
-        context = context * SYMBOLS + line[at - order]
-        if ROWS[order] == SYMBOLS**order:
-            rows[order] = context
-        else:
-            rows[order] = mix(context.astype(np.uint64)) % np.uint64(ROWS[order])
-    return (rows + FIRST_ROW[:-1, None]) * SYMBOLS + line[at], whose[at]
+def runs(address: Column) -> Column:
+    """For every character of a text, and for its end, the character with the four before it."""
+    line = F.split(F.concat(F.lit(EDGE * ORDER), address, F.lit(EDGE)), "")
 
+    def of(line: Column) -> Column:
+        last = F.slice(line, ORDER + 1, F.size(line))
+        return F.transform(last, lambda c, i: F.concat(*(F.get(line, i + k) for k in range(ORDER)), c))
 
-@dataclass(frozen=True)
-class CharacterModel:
-    """Counts by cell, with totals and different successors by context."""
+    # inside an array the line is split once; a lambda's body would split it for every character
+    return F.get(F.transform(F.array(line), of), F.lit(0))
 
-    counts: np.ndarray
-    totals: np.ndarray
-    kinds: np.ndarray
 
-    @classmethod
-    def of(cls, counts: np.ndarray) -> CharacterModel:
-        table = counts.reshape(-1, SYMBOLS)
-        return cls(counts.astype(np.float32), table.sum(1).astype(np.float32), (table > 0).sum(1).astype(np.float32))
+def run_counts(lessons: DataFrame) -> DataFrame:
+    """run, and how often accepted and rejected texts hold it; ``lessons`` has address and accepted."""
+    n = F.when(F.col("accepted"), 1).otherwise(0)
+    return (
+        lessons.select(F.explode(runs(F.col("address"))).alias("run"), n.alias("accepted"))
+        .groupBy("run")
+        .agg(F.sum("accepted").alias("accepted"), F.sum(1 - F.col("accepted")).alias("rejected"))
+    )
+
+
+def _suffix(order: int) -> Column:
+    return F.substring("run", ORDER + 1 - order, order + 1)
 
-    def log_likelihood(self, where: np.ndarray) -> np.ndarray:
-        p = np.full(where.shape[1], 1.0 / SYMBOLS)
-        for order in range(ORDER + 1):
-            row = where[order] // SYMBOLS
-            total, kinds = self.totals[row].astype(float), self.kinds[row].astype(float)
-            seen = total > 0
-            p = np.where(seen, (self.counts[where[order]] + kinds * p) / np.where(seen, total + kinds, 1), p)
-        return np.log(p)
 
+def _context(order: int) -> Column:
+    return F.substring("run", ORDER + 1 - order, order)
 
-def log_ratios(block: Block, accepted: CharacterModel, rejected: CharacterModel) -> np.ndarray:
-    """Mean over the characters of each text of the difference of the log-likelihoods; 0 if it is empty."""
-    where, whose = cells(block)
-    difference = accepted.log_likelihood(where) - rejected.log_likelihood(where)
-    sums = np.bincount(whose, weights=difference, minlength=len(block))
-    lengths = np.diff(block.offsets)
-    return np.where(lengths > 0, sums / (lengths + 1), 0.0)
 
+def _probability(side: str, characters: int) -> Column:
+    """Witten-Bell from order 0 up; a context never seen leaves the shorter one's value."""
+    p = F.lit(1.0 / (characters + 1))
+    for order in range(ORDER + 1):
+        n, total, kinds = (F.coalesce(F.col(f"{side}_{what}{order}"), F.lit(0)) for what in ("n", "total", "kinds"))
+        weight = F.when(total > 0, kinds).otherwise(1)
+        p = (n + weight * p) / (total + weight)
+    return p
 
-def _count(batch: pa.RecordBatch, total: np.ndarray) -> None:
-    side = batch.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64)
-    for block in blocks(batch.column("address")):
-        where, whose = cells(block)
-        np.add.at(total, (where + side[block.lo + whose] * CELLS).ravel(), 1)
 
+def run_scores(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+    """run, and by how many millionths its last character is likelier after the others in accepted texts.
 
-def _score(frame: DataFrame, models) -> DataFrame:
-    """``frame`` with log_ratio; its column address is text."""
+    ``wanted`` has distinct runs; ``counts`` is stored.
+    """
+    characters = counts.select(_suffix(0)).distinct().count()
+    scored = wanted
+    for order in range(ORDER + 1):
+        cells = counts.groupBy(_suffix(order).alias(f"suffix{order}")).agg(
+            *(F.sum(side).alias(f"{side}_n{order}") for side in SIDES)
+        )
+        cells = stored(cells, "url-cells") if order else cells
+        contexts = cells.groupBy(F.substring(f"suffix{order}", 1, order).alias(f"context{order}")).agg(
+            *(F.sum(f"{side}_n{order}").alias(f"{side}_total{order}") for side in SIDES),
+            *(F.count_if(F.col(f"{side}_n{order}") > 0).alias(f"{side}_kinds{order}") for side in SIDES),
+        )
+        scored = scored.join(cells, _suffix(order) == F.col(f"suffix{order}"), "left")
+        scored = scored.join(stored(contexts, "url-contexts"), _context(order) == F.col(f"context{order}"), "left")
+    accepted, rejected = (F.log(_probability(side, characters)) for side in SIDES)
+    return scored.select("run", F.round((accepted - rejected) * MILLIONTHS).cast("long").alias("score"))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ratios = [log_ratios(block, *models.value) for block in blocks(batch.column("address"))]
-            yield batch.append_column("log_ratio", pa.array(np.concatenate([np.zeros(0), *ratios]), pa.float64()))
 
-    columns = ", ".join(f"`{name}` {kind}" for name, kind in frame.dtypes)
-    return frame.mapInArrow(task, f"{columns}, log_ratio double")
+def with_log_ratio(addresses: DataFrame, counts: DataFrame) -> DataFrame:
+    """``addresses``, stored and with a number for each row, and the mean difference over its characters."""
+    lines = addresses.where("address != ''").select("number", F.explode(runs(F.col("address"))).alias("run"))
+    scores = stored(run_scores(lines.select("run").distinct(), counts), "url-runs")
+    sums = lines.join(scores, "run").groupBy("number").agg((F.sum("score") / F.count("score") / MILLIONTHS).alias("log_ratio"))
+    return addresses.join(sums, "number", "left").withColumn("log_ratio", F.coalesce("log_ratio", F.lit(0.0)))
 
 
 def best_cut(bins: dict[tuple[int, bool], int]) -> float:
@@ -183,26 +168,27 @@ def best_cut(bins: dict[tuple[int, bool], int]) -> float:
 
 def judged(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, log_ratio."""
-    spark = pages.sparkSession
     rows = ruled(pages, rules)
-    lessons = stored(
-        rows.where("ruled IS NOT NULL")
-        .select("address", (F.col("ruled") == "allow").alias("accepted"))
-        .distinct()
-        .withColumn("held_out", F.crc32(F.col("address").cast("binary")) % 5 == 0),
-        "url-lessons",
+    # equal addresses of different letter case may be decided differently: then they teach both
+    distinct = rows.groupBy("address").agg(
+        F.bool_or(F.col("ruled") == "allow").alias("allowed"), F.bool_or(F.col("ruled") == "block").alias("blocked")
     )
-    counts = summed(lessons.where("NOT held_out").select("address", "accepted"), _count, 2 * CELLS)
-    if not counts[:CELLS].any() or not counts[CELLS:].any():
+    addresses = stored(distinct.withColumn("number", F.monotonically_increasing_id()), "url-addresses")
+    held_out = F.crc32(F.col("address").cast("binary")) % 5 == 0
+    sides = F.array_compact(F.array(F.when(F.col("allowed"), True), F.when(F.col("blocked"), False)))
+    taught = addresses.where(~held_out).select("address", F.explode(sides).alias("accepted"))
+    counts = stored(run_counts(taught), "url-counts")
+    seen = counts.agg(*(F.coalesce(F.sum(side), F.lit(0)).alias(side) for side in SIDES)).first()
+    if not seen["accepted"] or not seen["rejected"]:
         return rows.select(
             "page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("log_ratio")
         )
-    models = spark.sparkContext.broadcast((CharacterModel.of(counts[CELLS:]), CharacterModel.of(counts[:CELLS])))
-    tests = _score(lessons.where("held_out").select("address", "accepted"), models)
+    scored = stored(with_log_ratio(addresses, counts), "url-scores")
     bin_number = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor(F.col("log_ratio") / BIN) + BINS // 2))
-    bins = tests.groupBy(bin_number.cast("int").alias("bin"), "accepted").count().collect()  # BINS rows a kind
+    tests = scored.where(held_out).select(bin_number.cast("int").alias("bin"), F.explode(sides).alias("accepted"))
+    bins = tests.groupBy("bin", "accepted").count().collect()  # BINS rows a kind
     cut = best_cut({(r["bin"], r["accepted"]): r["count"] for r in bins}) if bins else 0.0
     own = F.when(F.col("log_ratio") >= cut, "allow").otherwise("block")
-    return _score(rows, models).select(
+    return rows.join(scored.select("address", "log_ratio"), "address").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "log_ratio"
     )

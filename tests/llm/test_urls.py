@@ -3,14 +3,14 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
+from pyspark.sql import functions as F
 
 from leaguelake.llm import urls
-from leaguelake.llm.textbuf import blocks
-from leaguelake.llm.urls import RULES, CharacterModel, best_cut, cells, judged, log_ratios
+from leaguelake.llm.urls import RULES, best_cut, judged, run_counts, with_log_ratio
 
 SCHEMA = "page_id long, url string, html string"
 URLS = [
@@ -64,41 +64,75 @@ def test_models_separate_what_rules_do_not_decide(spark):
     assert len(unruled) > 500 and right / len(unruled) > 0.95
 
 
-def test_scores_equal_a_plain_model():
-    """Contexts kept exactly, one character at a time."""
-    lessons = {True: ["news.com/a", "abc.com/b", "", "aéb"], False: ["pills.net/es/", "pi.net"]}
-    models = []
-    for accepted in (True, False):
-        counts = np.zeros(urls.CELLS, np.int64)
-        for block in blocks(pa.array(lessons[accepted])):
-            np.add.at(counts, cells(block)[0].ravel(), 1)
-        models.append(CharacterModel.of(counts))
-
-    def symbols(text):
-        return [urls.SYMBOL_OF[b] for b in text.encode()]
-
-    def plain(text, taught):
-        seen = defaultdict(Counter)
-        for t in taught:
-            line = [0] * urls.ORDER + symbols(t) + [0]
-            for i in range(urls.ORDER, len(line)):
+def plain_scores(texts, taught):
+    """Mean difference by text: one character at a time, from order 0 up."""
+    line = lambda text: "\0" * urls.ORDER + text + "\0"
+    seen = {side: defaultdict(Counter) for side in (True, False)}
+    for side, lessons in taught.items():
+        for text in map(line, lessons):
+            for i in range(urls.ORDER, len(text)):
                 for order in range(urls.ORDER + 1):
-                    seen[tuple(line[i - order : i])][line[i]] += 1
-        line, total = [0] * urls.ORDER + symbols(text) + [0], 0.0
-        for i in range(urls.ORDER, len(line)):
-            p = 1 / urls.SYMBOLS
+                    seen[side][text[i - order : i]][text[i]] += 1
+    characters = set("\0".join(sum(taught.values(), [""])) + "\0")
+
+    def likelihood(side, text):
+        total = 0.0
+        for i in range(urls.ORDER, len(text)):
+            p = 1 / (len(characters) + 1)
             for order in range(urls.ORDER + 1):
-                c = seen[tuple(line[i - order : i])]
+                c = seen[side].get(text[i - order : i])
                 if c:
-                    p = (c[line[i]] + len(c) * p) / (sum(c.values()) + len(c))
+                    p = (c[text[i]] + len(c) * p) / (sum(c.values()) + len(c))
             total += math.log(p)
         return total
 
-    texts = ["news.net/es/", "abc", "", "zz9", "pills.com", "é"]
-    for block in blocks(pa.array(texts)):
-        got = log_ratios(block, *models)
-    want = [(plain(t, lessons[True]) - plain(t, lessons[False])) / (len(t.encode()) + 1) if t else 0.0 for t in texts]
-    assert np.allclose(got, want, atol=1e-5)
+    return [(likelihood(True, line(t)) - likelihood(False, line(t))) / (len(t) + 1) if t else 0.0 for t in texts]
+
+
+def test_scores_equal_a_plain_model(spark):
+    taught = {True: ["news.com/a", "abc.com/b", "", "aéb", "日本.jp"], False: ["pills.net/es/", "pi.net", "日曜"]}
+    texts = ["news.net/es/", "abc", "", "zz9", "pills.com", "é", "日本", "日", "x" * 3000 + "news"]
+    lessons = spark.createDataFrame([(t, side) for side, ts in taught.items() for t in ts], "address string, accepted boolean")
+    addresses = spark.createDataFrame(list(enumerate(texts)), "number long, address string")
+    got = {r.number: r.log_ratio for r in with_log_ratio(addresses, run_counts(lessons)).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], plain_scores(texts, taught), atol=2e-6)
+
+
+def test_verdicts_equal_brute_force_and_joins_agree(spark):
+    """All rows of the query against plain Python, with broadcast joins and with shuffled ones."""
+    texts = random_urls(400) + URLS + ["http://x.net/ES/a", "http://x.net/es/a"]
+    small = pages(spark, texts)
+    got = sorted(map(tuple, judged(small).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, judged(small).collect())) == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def low(url):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url or "")
+
+    sides = {(low(u), brute(u)[3] == "allow") for u in texts if brute(u)[3]}
+    held_out = lambda text: zlib.crc32(text.encode()) % 5 == 0
+    taught = {side: sorted(t for t, s in sides if s == side and not held_out(t)) for side in (True, False)}
+    tests = sorted((t, s) for t, s in sides if held_out(t))
+    bins = Counter()
+    for (_, side), score in zip(tests, plain_scores([t for t, _ in tests], taught), strict=True):
+        bins[(min(urls.BINS - 1, max(0, math.floor(round(score, 6) / urls.BIN) + urls.BINS // 2)), side)] += 1
+    cut = best_cut(bins)
+    scores = plain_scores([low(u) for u in texts], taught)
+    want = [(i, *brute(u)[:3], brute(u)[3] or ("allow" if s >= cut else "block")) for i, (u, s) in enumerate(zip(texts, scores, strict=True))]
+    close = {i for i, s in enumerate(scores) if abs(s - cut) < 1e-5}
+    assert [row[:5] for row in got if row[0] not in close] == [row for row in want if row[0] not in close]
+
+
+def test_clashing_columns_and_a_very_long_url(spark):
+    texts = random_urls(60) + ["http://h.org/" + "long/" * 40_000]
+    rows = pages(spark, texts)
+    for name in ("run", "address", "number", "score", "log_ratio", "accepted", "ruled", "rule", "host", "suffix1"):
+        rows = rows.withColumn(name, F.lit("clash"))
+    got = sorted(map(tuple, judged(rows).collect()))
+    assert got == sorted(map(tuple, judged(pages(spark, texts)).collect())) and len(got) == 61
 
 
 def test_cut_separates():
