@@ -19,12 +19,12 @@ from leaguelake.scale import scratch_path, stored
 from leaguelake.sinks import documents
 from leaguelake.sinks.state import write_state
 from leaguelake.sources import incremental, lake, raw
-from leaguelake.streaming.games import current_games, load_new_games
+from leaguelake.streaming.games import current_games, current_table, load_new_games
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-FIRST_RUN, SECOND_RUN = "2001-09-01", "2001-09-02"
+FIRST_RUN, SECOND_RUN, THIRD_RUN = "2001-09-01", "2001-09-02", "2001-09-03"
 SPLIT_SEASON = 1998  # the first run lands seasons up to it, the second lands it again and the rest
 SPLIT_ROWS = 500  # makes every team of the small tables a hot one
 
@@ -923,3 +923,19 @@ def stream_incremental(spark, sf):
     fixtures.land_bare(corrected, f"{root}/{RUN}={SECOND_RUN}")
     load_new_games(spark, root, table, checkpoint)
     return current_games(spark, table)
+
+
+@query
+def stream_upsert(spark, sf):
+    """Three loads, the last a repetition, into a table that holds one copy of each game."""
+    root, table, checkpoint, path = (scratch_path(spark, n) for n in ("raw", "loads", "offsets", "current"))
+    current = current_table(path, buckets=16)
+    games = fixtures.raw_games(spark, sf)
+    season = F.col("season").cast("int")
+    fixtures.land_wrapped(games.where(season <= SPLIT_SEASON), f"{root}/{RUN}={FIRST_RUN}")
+    load_new_games(spark, root, table, checkpoint, current=current)
+    corrected = games.where(season >= SPLIT_SEASON).withColumn("status", F.lit("FINAL"))
+    for run in (SECOND_RUN, THIRD_RUN):
+        fixtures.land_bare(corrected, f"{root}/{RUN}={run}")
+        load_new_games(spark, root, table, checkpoint, current=current)
+    return current_games(spark, current)
