@@ -19,6 +19,7 @@ from leaguelake.scale import scratch_path, stored
 from leaguelake.sinks import documents
 from leaguelake.sinks.state import write_state
 from leaguelake.sources import incremental, lake, raw
+from leaguelake.plans.form_table import FormTable
 from leaguelake.streaming.games import current_games, current_table, load_new_games
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -596,6 +597,18 @@ def team_form_split(spark, sf):
     )
 
 
+@query
+def form_table(spark, sf):
+    """The same from a kept table: early seasons with a wrong score in the last of them, then the rest."""
+    games, season = fixtures.games(spark, sf), F.col("season")
+    wrong = F.when(season == SPLIT_SEASON, F.col("home_team_score") + 1).otherwise(F.col("home_team_score"))
+    table = FormTable(scratch_path(spark, "form"), buckets=8)
+    table.update(games.where(season <= SPLIT_SEASON).withColumn("home_team_score", wrong), 1)
+    table.update(games.where(season >= SPLIT_SEASON), 2)
+    rate = ["win_rate_last5", "avg_points_last5", "rest_days"]
+    return table.read(spark).select("game_id", "team_id", "games_played", *_RATES, *rate)
+
+
 @query
 def customer_orders_before(spark, sf):
     """The same windows over another timeline: what every customer ordered before each order."""

@@ -772,6 +772,7 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE["form_table"] = ORACLE["team_form_split"]
 ORACLE["stream_upsert"] = ORACLE["stream_incremental"]
 ORACLE["user_events_last5_split"] = ORACLE["user_events_last5"]
 ORACLE["sos_rank_split"] = ORACLE["sos_rank"]
