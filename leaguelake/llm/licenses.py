@@ -1,9 +1,14 @@
 """License statements by ordered signature rules with a keyword prefilter.
 
-Every license family below gives one rule per form (identifier tag, grant, address, title), a few
-hundred regular expressions in all. A rule is tried only on texts that hold its family's keyword and
-its form's; keywords are looked up once per block of texts, those of two letters as whole words. Of overlapping detections, one that lies
-inside another of higher priority, or of the same priority and greater length, is dropped.
+Every license family below gives one rule per form (identifier tag, grant, address, title), and the
+wordings of license bodies and of the notices in file headers are rules of their own, a few hundred
+regular expressions in all. A rule is tried only on texts that hold its keywords; they are looked up
+once per block of texts, those of two letters as whole words. Of overlapping detections, one that lies
+inside another of higher priority, or of the same priority and greater length, is dropped: a body that
+goes on to a third clause hides the opening it shares with the two-clause body.
+
+A version number behind the name of a product ("Apache 2.4") is no license; without the word itself
+such a name counts only behind a grant. "Licence" counts as "license" in names.
 
 Words are runs of digits, letters and non-ASCII characters after A-Z are lowered; separators between
 the words of a signature are free. Defined cases: a NULL text counts as empty; a text without words
@@ -31,19 +36,19 @@ FAMILIES = (
     ("afl-3.0", "academic", "academic free license(?: v(?:ersion)?)? 3 0", "afl 3 0", "opensource org licenses afl 3 0"),
     ("agpl-3.0", "affero|agpl", "(?:gnu affero general public license(?: v(?:ersion)?)? ?3|agplv?3|agpl 3 0)", "agpl 3 0(?: only| or later)?", "gnu org licenses agpl 3 0"),
     ("apache-1.1", "apache", "apache(?: software)? license(?: v(?:ersion)?)? 1 1", "apache 1 1", "apache org licenses license 1 1"),
-    ("apache-2.0", "apache", "apache(?: software)?(?: license)?(?: v(?:ersion)?)? 2(?: 0)?", "apache 2 0", "apache org licenses license 2 0"),
+    ("apache-2.0", "apache", "(?:apache(?: software)? license(?: v(?:ersion)?)? 2(?: 0)?|apache 2(?: 0)? license)(?! [0-9])", "apache 2 0", "apache org licenses license 2 0"),
     ("apsl-2.0", "apple", "apple public source license(?: v(?:ersion)?)?(?: 2 0)?", "apsl 2 0", "opensource apple com license apsl"),
     ("artistic-1.0", "artistic", "artistic license(?: v(?:ersion)?)? 1 0", "artistic 1 0", "opensource org licenses artistic 1 0"),
     ("artistic-2.0", "artistic", "artistic license(?: v(?:ersion)?)? 2 0", "artistic 2 0", "opensource org licenses artistic 2 0"),
     ("beerware", "beer", "beer ?ware license", "beerware", "people freebsd org phk"),
     ("blueoak-1.0.0", "blue", "blue oak model license(?: 1 0 0)?", "blueoak 1 0 0", "blueoakcouncil org license 1 0 0"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd license)", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
-    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)", "bsd 3 clause(?: clear)?", "opensource org licenses bsd 3 clause"),
-    ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd 4 clause", "directory fsf org wiki license bsd 4clause"),
+    ("bsd-2-clause", "bsd", "(?:(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?|freebsd license)", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
+    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: license)?", "bsd 3 clause(?: clear)?", "opensource org licenses bsd 3 clause"),
+    ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?", "bsd 4 clause", "directory fsf org wiki license bsd 4clause"),
     ("bsl-1.0", "boost", "boost software license(?: v(?:ersion)?)?(?: 1 0)?", "bsl 1 0", "boost org license 1 0"),
     ("busl-1.1", "business", "business source license(?: 1 1)?", "busl 1 1", "mariadb com bsl11"),
     ("cc0-1.0", "cc0|zero", "(?:cc0(?: 1 0)?|creative commons zero)", "cc0 1 0", "creativecommons org publicdomain zero"),
-    ("cc-by", "cc|attribution", "(?:cc by|creative commons attribution)(?: v?[1-4] [0-9])?(?! n| s)", "cc by [1-4] [0-9]", "creativecommons org licenses by [1-4]"),
+    ("cc-by", "cc|attribution", "(?:cc by v?[1-4] [0-9]|creative commons attribution(?: v?[1-4] [0-9])?)(?! n| s)", "cc by [1-4] [0-9]", "creativecommons org licenses by [1-4]"),
     ("cc-by-nc", "cc|commercial", "(?:cc by nc|creative commons attribution non ?commercial)(?: v?[1-4] [0-9])?(?! n| s)", "cc by nc [1-4] [0-9]", "creativecommons org licenses by nc [1-4]"),
     ("cc-by-nc-nd", "cc|deriv", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv[a-z]+)(?: v?[1-4] [0-9])?", "cc by nc nd [1-4] [0-9]", "creativecommons org licenses by nc nd"),
     ("cc-by-nc-sa", "cc|alike", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: v?[1-4] [0-9])?", "cc by nc sa [1-4] [0-9]", "creativecommons org licenses by nc sa"),
@@ -62,13 +67,13 @@ FAMILIES = (
     ("gpl-2.0", "general|gpl", "(?:(?:gnu )?general public license(?: v(?:ersion)?)? 2(?: 0)?|gplv?2|gpl(?: v(?:ersion)?)? 2(?: 0)?)", "gpl 2 0(?: only| or later)?", "gnu org licenses (?:old licenses )?gpl 2 0"),
     ("gpl-3.0", "general|gpl", "(?:(?:gnu )?general public license(?: v(?:ersion)?)? 3(?: 0)?|gplv?3|gpl(?: v(?:ersion)?)? 3(?: 0)?)", "gpl 3 0(?: only| or later)?", "gnu org licenses gpl 3 0"),
     ("hpnd", "historical", "historical permission notice and disclaimer", "hpnd", "opensource org licenses hpnd"),
-    ("icu", "license", "icu license", "icu", "source icu project org repos icu"),
+    ("icu", "licen", "icu license", "icu", "source icu project org repos icu"),
     ("ipl-1.0", "ibm", "ibm public license(?: v(?:ersion)?)?(?: 1 0)?", "ipl 1 0", "opensource org licenses ipl 1 0"),
-    ("isc", "license", "isc license", "isc", "opensource org licenses isc"),
+    ("isc", "licen", "isc license", "isc", "opensource org licenses isc"),
     ("lgpl-2.1", "lesser|lgpl", "(?:(?:gnu )?lesser general public license(?: v(?:ersion)?)? 2 1|lgplv?2 1|lgpl(?: v(?:ersion)?)? 2 1)", "lgpl 2 1(?: only| or later)?", "gnu org licenses (?:old licenses )?lgpl 2 1"),
     ("lgpl-3.0", "lesser|lgpl", "(?:(?:gnu )?lesser general public license(?: v(?:ersion)?)? 3(?: 0)?|lgplv?3|lgpl(?: v(?:ersion)?)? 3(?: 0)?)", "lgpl 3 0(?: only| or later)?", "gnu org licenses lgpl 3 0"),
     ("lppl-1.3c", "latex", "latex project public license(?: v(?:ersion)?)?(?: 1 3c?)?", "lppl 1 3c", "latex project org lppl"),
-    ("mit", "license", "(?:mit license|expat license|x11 license)", "mit", "opensource org licenses mit"),
+    ("mit", "licen", "(?:mit license|expat license|x11 license)", "mit", "opensource org licenses mit"),
     ("mit-0", "attribution", "mit no attribution", "mit 0", "github com aws mit 0"),
     ("mpl-1.1", "mozilla|mpl", "(?:mozilla public license(?: v(?:ersion)?)? 1 1|mpl 1 1)", "mpl 1 1", "mozilla org mpl 1 1"),
     ("mpl-2.0", "mozilla|mpl", "(?:mozilla public license(?: v(?:ersion)?)? 2 0|mpl 2 0)", "mpl 2 0", "mozilla org mpl 2 0"),
@@ -80,13 +85,13 @@ FAMILIES = (
     ("ofl-1.1", "font", "(?:sil )?open font license(?: v(?:ersion)?)?(?: 1 1)?", "ofl 1 1", "scripts sil org ofl"),
     ("openssl", "openssl", "openssl license", "openssl", "openssl org source license"),
     ("osl-3.0", "software", "open software license(?: v(?:ersion)?)?(?: 3 0)?", "osl 3 0", "opensource org licenses osl 3 0"),
-    ("php-3.01", "license", "php license(?: v(?:ersion)?)?(?: 3 01)?", "php 3 01", "php net license 3 01"),
+    ("php-3.01", "licen", "php license(?: v(?:ersion)?)?(?: 3 01)?", "php 3 01", "php net license 3 01"),
     ("postgresql", "postgresql", "postgresql license", "postgresql", "postgresql org about licen[cs]e"),
     ("psf-2.0", "python", "python software foundation license(?: v(?:ersion)?)?(?: 2)?", "psf 2 0", "docs python org 3 license"),
     ("sspl-1.0", "server|sspl", "(?:server side public license|sspl)(?: v?1)?", "sspl 1 0", "mongodb com licensing server side public license"),
     ("unlicense", "unlicense", "unlicense", "unlicense", "unlicense org"),
     ("upl-1.0", "universal", "universal permissive license(?: v(?:ersion)?)?(?: 1 0)?", "upl 1 0", "opensource org licenses upl"),
-    ("vim", "license", "vim license", "vim", "vimhelp org uganda"),
+    ("vim", "licen", "vim license", "vim", "vimhelp org uganda"),
     ("w3c", "w3c", "w3c software (?:notice and )?license", "w3c", "w3 org consortium legal"),
     ("wtfpl", "wtfpl|want", "(?:wtfpl|do what the [a-z]+ you want to public license)", "wtfpl", "wtfpl net"),
     ("zlib", "zlib", "zlib(?: libpng)? license", "zlib", "opensource org licenses zlib"),
@@ -101,6 +106,52 @@ FORMS = (
     ("address", "http", "https? (?:www )?", "", 2, 0.9),
     ("name", "", "", "", 1, 0.7),
 )
+
+# Wordings of bodies and notices: label, words every match holds, wording (<9>: up to nine words of
+# any kind), priority, confidence. Openings that several licenses share stand below what goes further.
+DEAL = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files(?: the software)? to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+    "persons to whom the software is furnished to do so "
+)
+FORMS_OF_USE = "redistribution and use in source and binary forms with or without modification are permitted"
+ENDORSE = "(?:neither the name|the names?) <16> be used to endorse or promote products derived from this software"
+ANY_PURPOSE = "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted "
+PUBLISHED = "general public license as published by the free software foundation (?:either )?version "
+WORDINGS = (
+    ("mit", "hereby charge", "permission is hereby granted free of charge to any person obtaining a copy of this software", 5, 0.8),
+    ("mit", "hereby charge furnished", DEAL + "subject to the following conditions", 6, 0.98),
+    ("mit-0", "hereby charge furnished", DEAL + "the software is provided as is", 6, 0.98),
+    ("x11", "hereby charge consortium", DEAL + "<160> except as contained in this notice the name of the x consortium", 7, 0.98),
+    ("json", "evil", "the software shall be used for good not evil", 6, 0.98),
+    ("bsl-1.0", "hereby charge organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", 6, 0.98),
+    ("bsd-2-clause", "redistribution", FORMS_OF_USE, 5, 0.8),
+    ("bsd-3-clause", "redistribution endorse", FORMS_OF_USE + " <160> " + ENDORSE, 6, 0.98),
+    ("bsd-4-clause", "redistribution endorse advertising", FORMS_OF_USE + " <120> all advertising materials <60> " + ENDORSE, 7, 0.98),
+    ("isc", "hereby fee appear", ANY_PURPOSE + "provided that the above copyright notice and this permission notice appear in all copies", 6, 0.98),
+    ("0bsd", "hereby fee provided", ANY_PURPOSE + "the software is provided as is", 6, 0.98),
+    ("hpnd", "hereby fee documentation", "permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?without fee is hereby granted", 6, 0.95),
+    ("postgresql", "hereby fee agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", 6, 0.98),
+    ("zlib", "liable altered", "in no event will the authors? be held liable for any damages arising from the use of this software <60> altered source versions must be plainly marked", 6, 0.98),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 6, 0.98),
+    ("beerware", "retain stuff", "as long as you retain this notice you can do whatever you want with this stuff", 6, 0.98),
+    ("wtfpl", "verbatim changed", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", 6, 0.98),
+    ("cc0-1.0", "waived neighboring", "to the extent possible under law <16> waived all copyright and related or neighboring rights", 6, 0.98),
+    ("apache-2.0", "contributor agreements", "licensed to the apache software foundation(?: asf)? under one or more contributor license agreements", 6, 0.95),
+    ("apache-2.0", "under apache", GRANT + "apache(?: v(?:ersion)?)? 2(?: 0)?(?! [0-9])", 3, 0.95),
+    ("cc-by", "under cc", GRANT + "(?:a )?cc by(?! n| s| [0-9])", 3, 0.9),
+    ("gpl-2.0", "general published", "gnu " + PUBLISHED + "2", 6, 0.98),
+    ("gpl-3.0", "general published", "gnu " + PUBLISHED + "3", 6, 0.98),
+    ("lgpl-2.0", "library published", "gnu library " + PUBLISHED + "2", 6, 0.98),
+    ("lgpl-2.1", "lesser published", "gnu lesser " + PUBLISHED + "2 1", 6, 0.98),
+    ("lgpl-3.0", "lesser published", "gnu lesser " + PUBLISHED + "3", 6, 0.98),
+    ("agpl-3.0", "affero published", "gnu affero " + PUBLISHED + "3", 6, 0.98),
+    ("mpl-2.0", "mozilla form", "this source code form is subject to the terms of the mozilla public license(?: v(?:ersion)?)? 2 0", 6, 0.98),
+    ("epl-2.0", "eclipse accompanying", "(?:this program and the )?accompanying materials are made available under the terms of the eclipse public license(?: v(?:ersion)?)? 2 0", 6, 0.98),
+    ("ms-pl", "governs accompanying", "this license governs use of the accompanying software if you use the software you accept this license", 5, 0.8),
+    ("bsd", "bsd", "bsd(?: style| type)? licen[cs]es?", 0, 0.6),
+)
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 BASE_CONFIDENCE = 0.5
 
@@ -108,9 +159,14 @@ _WORD = "0-9a-z\\x80-\\xff"
 
 
 def signature(spaced: str) -> re.Pattern[bytes]:
-    """A pattern whose spaces stand for any separators, on lower-case bytes, at word borders."""
+    """A pattern whose spaces stand for any separators, on lower-case bytes, at word borders.
+
+    `` <n>`` stands for up to n words of any kind; separators and words share no character, so a try is
+    linear in what it reads.
+    """
     gap = f"[^{_WORD}]+"
-    optional = spaced.replace(" ?", f"(?:{gap})?")
+    skipped = re.sub(" <([0-9]+)>", lambda m: f"(?: [{_WORD}]+){{0,{m[1]}}}?", spaced)
+    optional = skipped.replace(" ?", f"(?:{gap})?")
     return re.compile(f"(?<![{_WORD}])(?:{optional.replace(' ', gap)})(?![{_WORD}])".encode())
 
 
@@ -131,8 +187,11 @@ def rules() -> tuple[Rule, ...]:
         own = frozenset(k.encode() for k in keyword.split("|"))
         for used, word, before, after, priority, confidence in FORMS:
             needs = ([own] if used == "name" else []) + ([frozenset([word.encode()])] if word else [])
-            pattern = signature(before + part[used] + after)
-            out.append(Rule(label, tuple(needs), pattern, priority, confidence))
+            spelled = re.sub(r"\blicense\b", "licen[cs]e", part[used]) if used == "name" else part[used]
+            out.append(Rule(label, tuple(needs), signature(before + spelled + after), priority, confidence))
+    for label, held, wording, priority, confidence in WORDINGS:
+        needs = tuple(frozenset([word.encode()]) for word in held.split())
+        out.append(Rule(label, needs, signature(wording), priority, confidence))
     return tuple(out)
 
 

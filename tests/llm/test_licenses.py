@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 
-from leaguelake.llm.licenses import BASE, FAMILIES, detect, held_keywords, keywords, rules, with_licenses
+from leaguelake.llm.licenses import BASE, FAMILIES, WORDINGS, detect, held_keywords, keywords, resolve, rules, with_licenses
 from leaguelake.llm.textbuf import LOWER as LOWER_BYTES
 from leaguelake.llm.textbuf import NOT_ALNUM, blocks, words
 from rows import awkward, documents
@@ -90,8 +91,11 @@ def examples(spaced):
 
 def test_keywords_spare_no_text_with_a_match():
     phrases = {x for _, _, *parts in FAMILIES for spaced in parts for x in examples(spaced)}
+    phrases |= {x.replace("license", "licence") for x in phrases}
     grants = ["", "licensed under the ", "released under terms of ", "spdx license identifier ", "https www ", "http "]
     texts = [(before + x).replace(" ", gap) for x in sorted(phrases) for before in grants for gap in (" ", "\n", "_", "-", "  \n# ")]
+    spoken = {x for _, _, wording, _, _ in WORDINGS for x in examples(re.sub("<[0-9]+>", "some words", wording))}
+    texts += [x.replace(" ", gap) for x in sorted(spoken) for gap in (" ", "\n", "  \n# ")]
     texts += ["Creative Commons Attribution-No Derivative Works 3.0", "CC BY\nND 4.0", "CC_BY_ND 4.0", "success, cc, \u00e9cc by"]
     every, labels = set(keywords()), set()
     for block in blocks(pa.array(texts)):
@@ -102,10 +106,97 @@ def test_keywords_spare_no_text_with_a_match():
             want = detect(text, every)
             assert detect(text, held.get(i, set())) == want, text
             labels |= {x[3] for x in want}
-    assert labels == {f[0] for f in FAMILIES}
+    assert labels == {f[0] for f in FAMILIES} | {w[0] for w in WORDINGS}
 
 
 def test_notices_with_other_separators(spark):
     texts = {1: "Creative Commons Attribution-No Derivative Works 3.0", 2: "CC BY\nND 4.0", 3: "CC_BY_ND 4.0", 4: "Licensed\nunder the MIT License"}
     got = {r.doc_id: (r.labels, r.score) for r in with_licenses(documents(spark, texts)).collect()}
     assert got == {1: ("cc-by-nd", 0.7), 2: ("cc-by-nd", 0.7), 3: ("cc-by-nd", 0.7), 4: ("mit", 0.95)}
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so"""
+BSD = """Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ * 1. Redistributions of source code must retain the above copyright notice."""
+ENDORSE = """
+ * 3. Neither the name of the <organization> nor the names of its contributors may be
+ * used to endorse or promote products derived from this software"""
+ISC = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted"
+NOTICE = """// redistribute it and/or modify
+// it under the terms of the GNU {}General Public License as published by
+// the Free Software Foundation, either version {} of the License"""
+
+
+def test_bodies_and_notices(spark):
+    wanted = {
+        MIT + ", subject to the following conditions:": "mit",
+        MIT.upper() + ", subject to the following conditions:": "mit",
+        MIT + ".\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"": "mit-0",
+        MIT.split(" and associated")[0]: "mit",
+        BSD: "bsd-2-clause",
+        BSD + ENDORSE: "bsd-3-clause",
+        BSD + "\n * 3. All advertising materials mentioning features must display this." + ENDORSE: "bsd-4-clause",
+        BSD + " w" * 400 + ENDORSE: "bsd-2-clause",  # the third clause of another text
+        ISC + ", provided that the above\ncopyright notice and this permission notice appear in all copies.": "isc",
+        ISC + ".\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"": "0bsd",
+        NOTICE.format("", 2): "gpl,gpl-2.0",
+        NOTICE.format("", "3"): "gpl,gpl-3.0",
+        NOTICE.format("Lesser ", "2.1"): "gpl,lgpl-2.1",
+        NOTICE.format("Affero ", 3): "agpl-3.0,gpl",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.": "mpl-2.0",
+        "To the extent possible under law, the author(s) have waived all copyright and related or neighboring rights": "cc0-1.0",
+        "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0": "epl-2.0",
+        "under the MIT licence": "mit",
+        "the Apache Licence, Version 2.0": "apache-2.0",
+        "a BSD License": "bsd",
+        "a BSD-style licence": "bsd",
+        "the New BSD License": "bsd-3-clause",
+        "licensed under Apache 2.0": "apache-2.0",
+        "Licensed under CC BY": "cc-by",
+        "Apache 2.0 license": "apache-2.0",
+        # none of these is a license
+        "We ran Apache 2.4 on port 80": "",
+        "Apache 2.0.52 and Apache 2 serve pages": "",
+        "licensed under Apache 2.4.1 conditions": "",
+        "please cc by Friday": "",
+        "Permission is hereby granted to leave": "",
+        "redistribution of wealth and use of binary stars": "",
+        "as published by the Free Software Foundation": "",
+        "the bsd kernel; a driving licence": "",
+    }
+    texts = list(wanted)
+    got = {texts[r.doc_id]: r.labels for r in with_licenses(documents(spark, dict(enumerate(texts)))).collect()}
+    assert {t: x for t, x in got.items() if x != wanted[t]} == {} and len(got) == len(wanted)
+
+
+def test_resolve_equals_comparing_all_pairs():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        found = []
+        for i in range(int(rng.integers(0, 9))):
+            start = int(rng.integers(0, 8))
+            found.append((start, start + int(rng.integers(1, 6)), int(rng.integers(0, 3)), f"l{i}", 0.5))
+
+        def inside(one, other):
+            within = other[0] <= one[0] and one[1] <= other[1]
+            longer = other[1] - other[0] > one[1] - one[0]
+            return within and (other[2] > one[2] or (other[2] == one[2] and longer))
+
+        want = {x for x in found if not any(inside(x, y) for y in found)}
+        got = resolve(found)
+        # of detections alike in span and priority the first label stays
+        assert {x[:3] for x in got} == {x[:3] for x in want} and len({x[:3] for x in got}) == len(got)
+
+
+def test_clashing_columns_and_a_long_text(spark):
+    texts = {1: "word " * 200_000 + "MIT License", 2: BSD * 500}
+    docs = documents(spark, texts).selectExpr("*", "'x' AS labels", "1 AS score", "2 AS n_words", "3 AS detections")
+    got = {r.doc_id: (r.n_words, r.labels) for r in with_licenses(docs).collect()}
+    assert got[1] == (200_002, "mit") and got[2][1] == "bsd-2-clause"
