@@ -14,7 +14,7 @@ from leaguelake.operators import dedup, dims, form, ranking, schedule, sides
 from leaguelake.operators.asof import asof_last, daily_last
 from leaguelake.operators.lanes import Timeline
 from leaguelake.operators.sides import TEAM_GAMES
-from leaguelake.plans import dashboard, metrics, model
+from leaguelake.plans import cube, dashboard, metrics, model
 from leaguelake.scale import scratch_path, stored
 from leaguelake.sinks import documents
 from leaguelake.sinks.state import write_state
@@ -758,6 +758,51 @@ _dash("dash_sos_table", _with_strength, dashboard.sos_table)
 _dash("dash_next5_home_away", _with_strength, dashboard.next5_home_away)
 
 
+def _cube(spark: SparkSession, sf: str, schedule_kind: str = "constant") -> DataFrame:
+    """The cells of two runs: the first holds faulty rows of its last season, the second takes them
+    back and brings that season again and the later ones."""
+    path = scratch_path(spark, "cube")
+    rows = stored(_team(spark, sf, schedule_kind), "cube-rows")
+    faulty = rows.where(F.col("season") == SPLIT_SEASON).withColumns(
+        {"team_name": F.lit("faulty"), "avg_points_last5": F.col("avg_points_last5") + 7, "is_home": F.lit(1)}
+    )
+    early = rows.where(F.col("season") < SPLIT_SEASON).unionByName(faulty)
+    cube.write_cells(cube.cells(early), path, FIRST_RUN)
+    cube.write_cells(cube.changes(faulty, rows.where(F.col("season") >= SPLIT_SEASON)), path, SECOND_RUN)
+    return cube.merged(cube.read_cells(spark, path))
+
+
+def _cube_strength(spark: SparkSession, sf: str) -> DataFrame:
+    return _cube(spark, sf, "strength")
+
+
+_AHEAD = (cube.schedule_by_team, cube.sos_table, cube.next5_home_away)
+for _name, _panel in cube.PANELS.items():
+    _dash(
+        f"cube_{_name}",
+        _cube_strength if _panel in _AHEAD else _cube,
+        lambda c, panel=_panel: panel(cube.pick(c)),
+    )
+
+
+@query
+def cube_ranking_in_range(spark, sf):
+    """The ranking between two days, from the cells of whole months and of the days at the ends."""
+    return cube.team_ranking(cube.pick(_cube(spark, sf), start="1996-03-17", end="1999-10-05"))
+
+
+@query
+def cube_cells(spark, sf):
+    """All cells by day, added up over the runs: rows, wins and points are sums that lose nothing."""
+    made = _cube(spark, sf).where(F.col("level") == cube.DAY)
+    return made.select(
+        "game_date", "season", "team_name", "conference", "is_home", "rest_days", "rows",
+        F.col("is_win__sum").cast("long").alias("wins"),
+        F.round(F.col("avg_points_last5__sum").cast("double"), 6).alias("points"),
+        F.col("rest_days__known").alias("rested"),
+    )
+
+
 @query
 def dash_filtered(spark, sf):
     """Dashboard filters: two seasons, three teams, a date range."""

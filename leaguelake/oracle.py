@@ -772,6 +772,29 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+# the panels from the cube answer what those from rows answer
+_CUBE = {"win_rate_by_rest_days": "rest_days"}
+ORACLE |= {
+    f"cube_{panel}": ORACLE[f"dash_{_CUBE.get(panel, panel)}"]
+    for panel in (
+        "win_rate_by_team", "avg_points_by_team", "home_away_games", "home_away_wins", "win_rate_by_conference",
+        "win_rate_by_rest_days", "team_ranking", "team_ranking_by_conference", "schedule_by_team", "sos_table",
+        "next5_home_away",
+    )
+}
+ORACLE["cube_ranking_in_range"] = _sql(
+    "team",
+    select=f"""SELECT team_name, {_RANKING} FROM team
+    WHERE team_name IS NOT NULL AND game_date BETWEEN DATE '1996-03-17' AND DATE '1999-10-05'
+    GROUP BY team_name ORDER BY win_rate DESC NULLS LAST, team_name LIMIT 30""",
+)
+ORACLE["cube_cells"] = _sql(
+    "team",
+    select="""SELECT game_date, season, team_name, conference, is_home, rest_days, COUNT(*) AS rows,
+    CAST(SUM(is_win) AS BIGINT) AS wins, ROUND(CAST(SUM(CAST(avg_points_last5 AS DECIMAL(28, 12))) AS DOUBLE), 6) AS points,
+    COUNT(rest_days) AS rested
+    FROM team GROUP BY game_date, season, team_name, conference, is_home, rest_days""",
+)
 ORACLE["form_table"] = ORACLE["team_form_split"]
 ORACLE["stream_upsert"] = ORACLE["stream_incremental"]
 ORACLE["user_events_last5_split"] = ORACLE["user_events_last5"]

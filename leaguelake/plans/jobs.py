@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leaguelake.layout import RUN, LakeLayout
 from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.dims import team_dim
-from leaguelake.plans import metrics, model
+from leaguelake.plans import cube, metrics, model
 from leaguelake.scale import scratch, stored
 from leaguelake.sinks.documents import write_bulk
 from leaguelake.sinks.state import write_state
@@ -120,7 +120,7 @@ def combine_layer(
     schedule: str = "constant",
     status: str | None = None,
 ) -> None:
-    """Formatted tables to team_metrics and match_metrics; the team windows run once for both.
+    """Formatted tables to team_metrics, its cube and match_metrics; the team windows run once for all.
 
     Games are made unique before any window: a second copy would count as a game played earlier.
     """
@@ -138,6 +138,8 @@ def combine_layer(
         ("match_metrics", metrics.match_metrics),
     ):
         lake.write_run(build(rows, dim), layout.table("combined", GAMES, name), run_date)
+    made = cube.cells(team_view(spark, layout, run_date))
+    cube.write_cells(made, layout.table("combined", GAMES, "team_cube"), run_date)
 
 
 def train_layer(
@@ -201,6 +203,11 @@ def team_view(spark: SparkSession, layout: LakeLayout, run_date: str) -> DataFra
     return lake.read_run(spark, layout.table("combined", GAMES, "team_metrics"), run_date)
 
 
+def team_cube(spark: SparkSession, layout: LakeLayout, run_date: str) -> DataFrame:
+    """The cells of the team table, from which ``plans.cube`` answers the panels."""
+    return lake.read_run(spark, layout.table("combined", GAMES, "team_cube"), run_date)
+
+
 def match_view(spark: SparkSession, layout: LakeLayout, run_date: str) -> DataFrame:
     """The prediction table the dashboard reads, with the season its filter needs."""
     table = layout.table("combined", GAMES, "match_metrics")

@@ -9,7 +9,7 @@ from league import expected_form, random_games
 from test_sources import put
 
 from leaguelake.layout import LakeLayout
-from leaguelake.plans import jobs
+from leaguelake.plans import cube, dashboard, jobs
 from leaguelake.sources import lake
 from leaguelake.sources.incremental import read_state
 from pyspark.ml import PipelineModel
@@ -74,6 +74,9 @@ def test_a_full_run_end_to_end(spark, tmp_path, games):
     scores = jobs.run(spark, layout, run, CUTOFF, multi_line=True)
     assert set(scores) == {"train_auc", "train_accuracy", "test_auc", "test_accuracy"}
     assert same(forms(spark, layout, run), expected(games))
+    cells = jobs.team_cube(spark, layout, run)
+    panel = dashboard.team_ranking(jobs.team_view(spark, layout, run))
+    assert cube.team_ranking(cube.pick(cells)).collect() == panel.collect()
     matches = lake.read_run(spark, layout.table("combined", jobs.GAMES, "match_metrics"), run)
     assert matches.count() == 300 and len(matches.columns) == 28
     team = jobs.team_view(spark, layout, run)
