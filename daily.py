@@ -22,6 +22,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--dates", nargs=2, metavar=("FROM", "TO"), default=("-", "-"), help="- leaves an end open")
     parser.add_argument("--status", help="only games in this state")
     parser.add_argument("--train-on-all", action="store_true", help="learn from all runs up to the day")
+    parser.add_argument("--export", choices=jobs.EXPORTS, default="all", help="all documents, or what changed")
     return parser.parse_args(argv)
 
 
@@ -40,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
         (start, end),
         given.status,
         given.train_on_all,
+        given.export,
     )
     print(json.dumps(scores))
 

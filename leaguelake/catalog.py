@@ -17,6 +17,7 @@ from leaguelake.operators.sides import TEAM_GAMES
 from leaguelake.plans import cube, dashboard, metrics, model
 from leaguelake.scale import scratch_path, stored
 from leaguelake.sinks import documents
+from leaguelake.sinks.changes import CHANGED, GONE, NEW, ChangeExport, applied_all
 from leaguelake.sinks.state import write_state
 from leaguelake.sources import incremental, lake, raw
 from leaguelake.plans.form_table import FormTable
@@ -367,6 +368,39 @@ def sink_bulk_requests(spark, sf):
     )
 
 
+def _change_export(spark: SparkSession, sf: str) -> tuple[ChangeExport, DataFrame]:
+    """Two exports of the match table: the first lacks later seasons, has other scores in its last
+    season, and of that season as many matches more that the second no longer has."""
+    matches = stored(_matches(spark, sf), "matches")
+    export = ChangeExport(scratch_path(spark, "changes"), "match_metrics", ("game_id",), buckets=8)
+    last = matches.where(F.col("season") == SPLIT_SEASON)
+    early = matches.where(F.col("season") < SPLIT_SEASON)
+    other = last.withColumn("home_team_score", F.col("home_team_score") + 1)
+    extra = last.withColumn("game_id", -F.col("game_id") - 1)
+    export.write(early.unionByName(other).unionByName(extra), 1)
+    export.write(matches, 2)
+    return export, matches
+
+
+@query
+def sink_changes(spark, sf):
+    """The match table as an index holds it after both exports of changes: every field."""
+    export, matches = _change_export(spark, sf)
+    docs = applied_all(spark, export, (1, 2))
+    return docs.select(F.from_json("doc", matches.schema).alias("d")).select("d.*")
+
+
+@query
+def sink_change_counts(spark, sf):
+    """What the second export sends: new matches, changed ones, and ids to delete."""
+    export, matches = _change_export(spark, sf)
+    sent = export.read(spark, 2).withColumn("game_id", F.col("id").cast("long"))
+    late = matches.where(F.col("season") > SPLIT_SEASON).select("game_id", F.lit(True).alias("late"))
+    kind = F.when(F.col("doc").isNull(), GONE).when(F.col("late"), NEW).otherwise(CHANGED)
+    marked = sent.join(late, "game_id", "left").select(kind.alias("kind"), "game_id")
+    return marked.groupBy("kind").agg(F.count(F.lit(1)).alias("documents"), F.sum("game_id").alias("id_sum"))
+
+
 @query
 def doc_batches(spark, sf):
     batches = documents.with_batch(fixtures.games(spark, sf))

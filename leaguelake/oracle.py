@@ -772,6 +772,15 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE["sink_changes"] = ORACLE["sink_bulk_ndjson"]
+ORACLE["sink_change_counts"] = _sql(
+    "matches",
+    select="""SELECT kind, COUNT(*) AS documents, CAST(SUM(id) AS BIGINT) AS id_sum FROM (
+        SELECT 'new' AS kind, game_id AS id FROM matches WHERE season > 1998
+        UNION ALL SELECT 'changed', game_id FROM matches WHERE season = 1998
+        UNION ALL SELECT 'gone', -game_id - 1 FROM matches WHERE season = 1998)
+    GROUP BY kind""",
+)
 # the panels from the cube answer what those from rows answer
 _CUBE = {"win_rate_by_rest_days": "rest_days"}
 ORACLE |= {

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from leaguelake.layout import RUN, LakeLayout
@@ -12,15 +13,13 @@ from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.dims import team_dim
 from leaguelake.plans import cube, metrics, model
 from leaguelake.scale import scratch, stored
+from leaguelake.sinks.changes import ChangeExport
 from leaguelake.sinks.documents import write_bulk
 from leaguelake.sinks.state import write_state
 from leaguelake.sources import lake, raw
 from leaguelake.sources.incremental import (
     guard_nonempty,
-    in_dates,
-    in_seasons,
     incremental_slice,
-    loaded_mark,
     read_state,
 )
 
@@ -28,6 +27,16 @@ GAMES, VENUES = "games_api", "venues_api"
 STATE = "ingestion_last_run"
 SCHEDULE_KEYS = ["schedule_difficulty_next5", "home_games_next5", "away_games_next5"]
 MODES = ("full", "incremental", "all_runs")
+EXPORTS = ("all", "changes")
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a load wrote: games, their newest day, and rows set aside."""
+
+    games: int = 0
+    last_date: str | None = None
+    quarantined: int = 0
 
 
 def format_games(
@@ -38,7 +47,7 @@ def format_games(
     seasons: tuple[int, int] | None = None,
     dates: tuple[str | None, str | None] = (None, None),
     multi_line: bool = False,
-) -> None:
+) -> Load:
     """Raw games to the formatted table, one row per game, and move the high-water mark.
 
     ``full`` reads the raw run of ``run_date``, ``all_runs`` every raw run (the newest copy of a game
@@ -46,13 +55,16 @@ def format_games(
     or an empty slice changes nothing. Payloads that cannot be read, games without an id, and in an
     incremental load games without a readable date go to the run's quarantine. The mark is the newest
     day really loaded, so what filters left out is still new to the next incremental load.
+
+    What was loaded and set aside is measured by the writes themselves, in tasks whose result counts
+    once however often they run; no job looks at the data again.
     """
     root = layout.table("raw", GAMES, "games")
     path = root if mode == "all_runs" else layout.run("raw", GAMES, "games", run_date)
     records = lake.if_present(lambda: raw.read_games_checked(spark, path, multi_line))
     if records is None:
         if mode == "incremental":
-            return
+            return Load()
         raise RuntimeError(f"no raw games at {path}")
     if RUN not in records.columns:
         records = records.withColumn(RUN, F.lit(run_date).cast("date"))
@@ -60,28 +72,48 @@ def format_games(
     if mode == "incremental":
         undated = F.when(F.col("game_date").isNull(), raw.NO_DATE)
         rows = rows.withColumn(raw.REASON, F.coalesce(raw.REASON, undated))
-    rows = stored(rows, "parsed-games")
+    readable = F.col(raw.REASON).isNull()
+    state = layout.state(STATE)
+    mark = read_state(spark, state) if mode == "incremental" else None
+    wanted = _wanted(mark, seasons, dates)
+    parsed = Observation("parsed-games")
+    counts = F.count_if(readable & wanted).alias("wanted"), F.count_if(~readable).alias("quarantined")
+    rows = stored(rows.observe(parsed, *counts), "parsed-games")
     lake.write_run(raw.quarantined(rows), layout.table("quarantine", GAMES, "games"), run_date)
 
-    good = rows.where(F.col(raw.REASON).isNull()).drop(raw.REASON, raw.RAW_TEXT, raw.FILE)
-    state = layout.state(STATE)
-    if mode == "incremental":
-        good = incremental_slice(good, read_state(spark, state))
-    guard_nonempty(_wanted(good, seasons, dates), "games", incremental=mode == "incremental")
-    games = _wanted(latest_run(good, ["game_id"]).drop(RUN), seasons, dates)
-    if mode == "incremental" and _wanted(good, seasons, dates).isEmpty():
-        return
-    table = layout.table("formatted", GAMES, "games")
-    lake.write_run(games, table, run_date)
-    write_state(loaded_mark(lake.read_run(spark, table, run_date)), state, run_date)
+    measures = Load(quarantined=parsed.get["quarantined"])
+    if not parsed.get["wanted"]:
+        if mode == "incremental":
+            return measures
+        raise RuntimeError("no games in a full load")
+    good = rows.where(readable).drop(raw.REASON, raw.RAW_TEXT, raw.FILE)
+    if mark is not None:
+        good = incremental_slice(good, mark)
+    games = latest_run(good, ["game_id"]).drop(RUN).where(_wanted(None, seasons, dates))
+    written = Observation("written-games")
+    newest = F.max("game_date").cast("string").alias("last_date")
+    games = games.observe(written, F.count(F.lit(1)).alias("games"), newest)
+    lake.write_run(games, layout.table("formatted", GAMES, "games"), run_date)
+    measures = Load(written.get["games"], written.get["last_date"], measures.quarantined)
+    if measures.last_date is not None:
+        mark_row = [(measures.last_date, measures.games)]
+        write_state(spark.createDataFrame(mark_row, "last_date string, last_game_count long"), state, run_date)
+    return measures
 
 
 def _wanted(
-    games: DataFrame, seasons: tuple[int, int] | None, dates: tuple[str | None, str | None]
-) -> DataFrame:
-    if seasons is not None:
-        games = in_seasons(games, *seasons)
-    return in_dates(games, *dates)
+    mark: str | None, seasons: tuple[int, int] | None, dates: tuple[str | None, str | None]
+) -> Column:
+    """Whether a game is after the mark and within the filters; a game whose day or season it needs and
+    lacks is not."""
+    first, last = dates
+    asked = [
+        None if mark is None else F.col("game_date") > F.lit(mark).cast("date"),
+        None if seasons is None else F.col("season").between(*seasons),
+        None if first is None else F.col("game_date") >= F.lit(first).cast("date"),
+        None if last is None else F.col("game_date") <= F.lit(last).cast("date"),
+    ]
+    return F.coalesce(functools.reduce(Column.__and__, [a for a in asked if a is not None], F.lit(True)), F.lit(False))
 
 
 def format_dimensions(
@@ -160,8 +192,17 @@ def train_layer(
     return model.evaluate(trained)
 
 
-def export_layer(spark: SparkSession, layout: LakeLayout, run_date: str) -> None:
-    """Replace the documents of both indices."""
+def change_export(layout: LakeLayout, index: str) -> ChangeExport:
+    """Where the changes of an index are exported; an export's number is its run date as yyyymmdd."""
+    key, keep = {
+        "team_metrics": (("game_id", "team_id", "is_home"), tuple(SCHEDULE_KEYS)),
+        "match_metrics": (("game_id",), ()),
+    }[index]
+    return ChangeExport(layout.table("export", GAMES, f"{index}_changes"), index, key, keep)
+
+
+def export_layer(spark: SparkSession, layout: LakeLayout, run_date: str, export: str = "all") -> None:
+    """Replace the documents of both indices, or write what ``changes`` since the export before."""
     team = lake.read_run(spark, layout.table("combined", GAMES, "team_metrics"), run_date)
     match = lake.read_run(
         spark, layout.table("combined", GAMES, "match_metrics_with_preds"), run_date
@@ -170,7 +211,10 @@ def export_layer(spark: SparkSession, layout: LakeLayout, run_date: str) -> None
         ("team_metrics", team, SCHEDULE_KEYS),
         ("match_metrics", match, ()),
     ):
-        write_bulk(rows, layout.table("export", GAMES, index), index, keep)
+        if export == "changes":
+            change_export(layout, index).write(rows, int(run_date.replace("-", "")))
+        else:
+            write_bulk(rows, layout.table("export", GAMES, index), index, keep)
 
 
 def run(
@@ -185,16 +229,19 @@ def run(
     dates: tuple[str | None, str | None] = (None, None),
     status: str | None = None,
     train_on_all: bool = False,
+    export: str = "all",
 ) -> dict[str, float]:
     """All jobs of one day; returns the model's scores and leaves no intermediate table behind."""
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
+    if export not in EXPORTS:
+        raise ValueError(f"export is one of {EXPORTS}")
     with scratch(spark, f"run-{run_date}"):
         format_games(spark, layout, run_date, mode, seasons, dates, multi_line)
         format_dimensions(spark, layout, run_date, mode != "incremental", multi_line)
         combine_layer(spark, layout, run_date, mode != "full", schedule, status)
         scores = train_layer(spark, layout, run_date, cutoff, train_on_all)
-        export_layer(spark, layout, run_date)
+        export_layer(spark, layout, run_date, export)
     return scores
 
 

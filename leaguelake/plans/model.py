@@ -139,7 +139,8 @@ def train(matches: DataFrame, cutoff: str, trees: int = 10, depth: int = 3, seed
     ]
     parts = max(LEAST_PARTITIONS, -(-before.count() // TRAIN_ROWS))
     model = Pipeline(stages=stages).fit(before.repartition(parts, "game_id").sortWithinPartitions("game_id"))
-    return Trained(model, before, before if eval_on == "train" else after, eval_on)
+    # a copy has no training summary, which holds the session: tasks that score would have to take it along
+    return Trained(model.copy(), before, before if eval_on == "train" else after, eval_on)
 
 
 def score(trained: Trained, rows: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from test_sources import put
 
 from leaguelake.layout import LakeLayout
 from leaguelake.plans import cube, dashboard, jobs
+from leaguelake.sinks.changes import applied_all
+from leaguelake.sinks.documents import read_bulk
 from leaguelake.sources import lake
 from leaguelake.sources.incremental import read_state
 from pyspark.ml import PipelineModel
@@ -213,3 +215,46 @@ def test_nothing_landed(spark, tmp_path):
     land(tmp_path, "2024-06-01", [])
     with pytest.raises(RuntimeError):
         jobs.format_games(spark, layout, "2024-06-01", multi_line=True)
+
+
+def test_a_load_is_measured_by_its_writes(spark, tmp_path, games):
+    layout, run = LakeLayout(str(tmp_path)), "2024-06-01"
+    land(tmp_path, run, games + games[:20])
+    put(tmp_path / "raw" / jobs.GAMES / "games" / f"dt={run}" / "bad.json", '{"data": [{"id": "x"}, {"date": "2024-01-01"}]}')
+    context, jobs_of = spark.sparkContext, {}
+    for mode in ("full", "incremental"):
+        context.setJobGroup(f"load-{mode}", mode)
+        load = jobs.format_games(spark, layout, run, mode, multi_line=True)
+        jobs_of[mode] = len(context.statusTracker().getJobIdsForGroup(f"load-{mode}"))
+        if mode == "full":
+            assert load == jobs.Load(300, str(max(g[1] for g in games)), 2)
+        else:
+            assert load == jobs.Load(0, None, 2)  # nothing is after the mark
+    context.setLocalProperty("spark.jobGroup.id", None)
+    # parse, quarantine, dedup and write (shuffle and result), state; nothing that only counts
+    assert jobs_of["full"] <= 7, jobs_of
+    assert jobs_of["incremental"] <= 4, jobs_of
+
+
+def test_exports_of_changes_follow_the_table(spark, tmp_path, games):
+    layout, days = LakeLayout(str(tmp_path)), ("2024-06-01", "2024-06-02")
+    middle = sorted(g[1] for g in games)[200]
+    land(tmp_path, days[0], [g for g in games if g[1] <= middle])
+    land(tmp_path, days[1], games[20:])
+    for day in days:
+        jobs.format_games(spark, layout, day, multi_line=True)
+        jobs.format_dimensions(spark, layout, day, multi_line=True)
+        jobs.combine_layer(spark, layout, day)
+        jobs.train_layer(spark, layout, day, CUTOFF)
+        jobs.export_layer(spark, layout, day, "changes")
+        jobs.export_layer(spark, layout, day)
+    for index in ("team_metrics", "match_metrics"):
+        numbers = [int(d.replace("-", "")) for d in days]
+        held = applied_all(spark, jobs.change_export(layout, index), numbers)
+        whole = read_bulk(spark, layout.table("export", jobs.GAMES, index), index)
+        assert sorted(r.doc for r in held.collect()) == sorted(r.doc for r in whole.collect())
+
+
+def test_the_kind_of_export_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.run(spark, LakeLayout(str(tmp_path)), "2024-06-01", CUTOFF, export="some")
