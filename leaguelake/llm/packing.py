@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leaguelake.llm.tables import tidy
+from leaguelake.llm.tables import batches_of, tidy
 from leaguelake.llm.textbuf import blocks
 from leaguelake.scale import stored
 
@@ -35,6 +35,9 @@ LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
 MEMORY = 200_000  # words of which a task keeps the ids, some 50 MB
 SEGMENT = 1 << 20  # characters split at a time
+BLOCK = 1 << 20  # bytes of texts whose words are looked up together
+LOOKED_UP = 8192  # words tokenized as one text
+BATCH_ROWS = 1000  # of documents sent to a worker together
 CLOSING = (0).to_bytes(4, "little")
 
 # how the tokenizer splits lower-case text, spelled out for characters below U+0100
@@ -82,7 +85,9 @@ class Encoder:
             if len(self._known) + len(missing) > MEMORY:
                 self._known.clear()
                 missing = list(needed)
-            self._known.update(zip(missing, self._each(missing), strict=True))
+            for at in range(0, len(missing), LOOKED_UP):
+                part = missing[at : at + LOOKED_UP]
+                self._known.update(zip(part, self._each(part), strict=True))
 
     @staticmethod
     def _is_plain(text: str) -> bool:
@@ -138,7 +143,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
         lane = TaskContext.get().partitionId()
         made = np.zeros(length + 1, np.int64)
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), BLOCK):
                 ids = batch.column("doc_id").slice(block.lo, len(block)).to_pylist()
                 rows = []
                 for doc_id, coded in zip(ids, coder.encode([block.text(i) for i in range(len(block))]), strict=True):
@@ -154,7 +159,9 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_
     whole, small = pa.int64(), pa.int32()
     kinds = [whole, small, whole, whole, whole, small, whole] + [pa.binary()] * with_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, lane int, place long" + ", ids binary" * with_ids
-    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(task), schema), "pack-pieces")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return stored(rows.mapInArrow(tidy(task), schema), "pack-pieces")
 
 
 Step = tuple[tuple[int, ...], int]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -44,6 +45,19 @@ def tidy(task: Callable) -> Callable:
     return run
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send workers at most ``rows`` rows together: whole texts make large batches, which
+    the executor holds outside its heap and the worker once more."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Shelf:
     """Tables in the shared folder, by name: putting a name again deletes what it stood for before.
 
