@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leaguelake.llm.arrays import summed
-from leaguelake.llm.tables import tidy
+from leaguelake.llm.tables import batches_of, tidy
 from leaguelake.llm.textbuf import Block, blocks, mix, span_hashes
 
 KEEP_FROM = 0.3  # scores from here on count as good
+BATCH_ROWS = 1000  # of documents sent to a worker together
 
 
 @dataclass(frozen=True)
@@ -107,7 +108,9 @@ def word_vectors(docs: DataFrame, s: Settings) -> np.ndarray:
         for block in blocks(batch.column("text")):
             count_neighbours(block, total, s)
 
-    table = summed(docs.select("text"), fill, s.rows * s.width).reshape(s.rows, s.width).astype(np.float64)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        total = summed(docs.select("text"), fill, s.rows * s.width)
+    table = total.reshape(s.rows, s.width).astype(np.float64)
     length = np.sqrt((table * table).sum(1, keepdims=True))
     return (table / np.maximum(length, 1)).astype(np.float32)
 

@@ -2,7 +2,7 @@
 
 A task sees the UTF-8 bytes of many texts as one buffer. Words are found by a byte table and hashed
 eight bytes at a time, all words together, so no Python object is made per word. All separators are
-ASCII, which makes byte tables exact for UTF-8. Buffers are taken in blocks of a few megabytes; only a single
+ASCII, which makes byte tables exact for UTF-8. Buffers are taken in blocks of a megabyte; only a single
 longer text makes a longer block.
 """
 
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 LONG = 512  # bytes of a span that is hashed by itself
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
