@@ -3,11 +3,13 @@
 A window partitioned by entity alone puts each entity into one task: 30 teams are 30 tasks however
 large the cluster, and an entity with a third of all rows is one endless task. ``enter`` therefore
 looks whether any entity has more than ``task_rows`` rows. While none has, the plain window is used.
-Otherwise the rows are dealt by range, in the order (entity, day, ties), to as many partitions as
-there are limits' worth of rows, and stored with their partition number as the *lane*: the ranges of
-such a shuffle are sampled, so they have to be used as they came out. A lane is as long as a
-partition, however the rows crowd on days or moments; only rows alike in entity, day and all ties
-cannot be parted. Every lane gets, as extra rows, what windows need from the lanes before and after:
+Otherwise the rows are dealt by range, in the order (entity, day, ties), sorted within the partitions
+and stored with their place in this order: the ranges of such a shuffle are sampled, so they have to be
+used as they came out. Every ``task_rows`` rows of a partition are a *lane*, however the rows crowd on days
+or moments. Lanes are as many as rows over the limit, partitions (tasks and files) are not: these follow
+``spark.sql.shuffle.partitions`` and the sorting of some million rows in one task, so a small limit
+makes many short lanes, not many tasks. Windows go by the place, so lanes agree on the order of rows alike
+in entity, day and all ties. Every lane gets, as extra rows, what windows need from the lanes before and after:
 
 * one carry row holding count and totals of all earlier lanes of the entity,
 * the last ``before`` rows ahead of it and the first ``after`` rows behind it.
@@ -25,9 +27,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from leaguelake.scale import stored, task_rows
+from leaguelake.scale import DEFAULT_TASK_ROWS, stored, task_rows
 
-LANE, KIND = "__lane", "__kind"
+LANE, KIND, PLACE = "__lane", "__kind", "__place"
+IN_PARTITION = (1 << 33) - 1  # the bits of a place that count the rows of a partition
+LANES_PER_TASK = 4  # at least, unless they are long
 CARRIED = "__carried_"  # prefix of the carried totals
 CARRY_N = CARRIED + "rows"
 CARRY, EARLIER, OWN, LATER = 0, 1, 2, 3
@@ -59,7 +63,7 @@ class Lanes:
         if not self.split:
             return Window.partitionBy(*self.timeline.entity).orderBy(*self.timeline.order)
         keys = [*self.timeline.entity, LANE]
-        return Window.partitionBy(*keys).orderBy(KIND, *self.timeline.order)
+        return Window.partitionBy(*keys).orderBy(KIND, *_order(self.rows, self.timeline))
 
     @property
     def is_own(self) -> Column:
@@ -100,7 +104,7 @@ class Lanes:
         """Drop the neighbour rows and the helper columns."""
         if not self.split:
             return df
-        helpers = [c for c in df.columns if c in (LANE, KIND) or c.startswith(CARRIED)]
+        helpers = [c for c in df.columns if c in (LANE, KIND, PLACE) or c.startswith(CARRIED)]
         return df.where(self.is_own).drop(*helpers)
 
 
@@ -122,7 +126,7 @@ def enter(
     total = df.count()
     if total <= limit or not _has_hot(df, timeline, limit):
         return Lanes(df, timeline, split=False)
-    rows = _dealt(df, timeline, -(-total // limit))
+    rows = _dealt(df, timeline, total, limit)
     cut = stored(_cut_entities(rows, timeline, sums), "lanes")
     own = rows.withColumn(KIND, F.lit(OWN))
     extra = [_carries(cut, timeline, sums)]
@@ -151,11 +155,24 @@ def _has_hot(df: DataFrame, tl: Timeline, limit: int) -> bool:
     return not counts.where(F.col("n") > limit).isEmpty()
 
 
-def _dealt(df: DataFrame, tl: Timeline, lanes: int) -> DataFrame:
-    """The rows, stored with the number of the range they fell in."""
+def _partitions(total: int, limit: int, usual: int) -> int:
+    """As many as a shuffle has, fewer for few lanes, more if one would get more rows than a task may sort."""
+    lanes, tasks = -(-total // limit), -(-total // max(limit, DEFAULT_TASK_ROWS))
+    return max(tasks, min(usual, -(-lanes // LANES_PER_TASK)))
+
+
+def _dealt(df: DataFrame, tl: Timeline, total: int, limit: int) -> DataFrame:
+    """The rows, stored with their place in the order and that of their lane's first row."""
     keys = [F.col(c) for c in tl.entity]
-    ranged = df.repartitionByRange(lanes, *keys, *tl.order)
-    return stored(ranged.withColumn(LANE, F.spark_partition_id().cast("long")), "dealt")
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(_partitions(total, limit, usual), *keys, *tl.order)
+    placed = ranged.sortWithinPartitions(*keys, *tl.order).withColumn(PLACE, F.monotonically_increasing_id())
+    row = F.col(PLACE).bitwiseAND(F.lit(IN_PARTITION))
+    return stored(placed.withColumn(LANE, F.col(PLACE) - row % limit), "dealt")
+
+
+def _order(rows: DataFrame, tl: Timeline) -> list[Column]:
+    return [F.col(PLACE)] if PLACE in rows.columns else tl.order
 
 
 def _cut_entities(rows: DataFrame, tl: Timeline, sums: Sequence[str]) -> DataFrame:
@@ -184,7 +201,7 @@ def _edges(rows: DataFrame, cut: DataFrame, tl: Timeline, n: int, kind: int) ->
     keys = [*tl.entity, LANE]
     earlier = kind == EARLIER
     payload = [c for c in rows.columns if c not in keys]
-    nearest = [c.desc() for c in tl.order] if earlier else tl.order
+    nearest = [c.desc() for c in _order(rows, tl)] if earlier else _order(rows, tl)
     wanted = cut.select(*[F.col(k).alias(f"__c_{k}") for k in keys])
     # row_number <= n is applied on the map side too: n rows per lane and task are shuffled.
     edge = (

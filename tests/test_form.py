@@ -148,6 +148,28 @@ def test_ranked_values_are_bounded_however_they_crowd(spark):
     assert lanes.rows.groupBy("__lane").count().agg(F.max("count")).first()[0] <= 3 * 50 + 1
 
 
+def test_a_small_limit_makes_many_lanes_but_few_tasks(spark):
+    """Partitions follow the session's shuffle partitions, not the rows over the limit."""
+    rows = spark.range(20_000).selectExpr("id % 3 AS who", "DATE'2024-01-01' AS day", "id")
+    lanes = enter(rows, Timeline(("who",), "day", ("id",)), before=5, max_rows=20)
+    assert lanes.rows.where(lanes.is_own).select("__lane").distinct().count() >= 20_000 / 20
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(lanes.rows.inputFiles()) <= 3 * usual  # the rows and the table of cut entities
+
+
+def test_lanes_agree_on_the_order_of_rows_alike(spark):
+    """300 rows of one entity and moment, cut into lanes: totals, numbers and last rows are of one order."""
+    rows = spark.range(300).selectExpr("'a' AS who", "DATE'2024-01-01' AS day", "id", "id * id AS v")
+    lanes = enter(rows, Timeline(("who",), "day"), ["v"], before=5, max_rows=7)
+    assert lanes.split
+    columns = [lanes.ordinal().alias("at"), lanes.prior_sum("v").alias("cum"), lanes.last_sum(F.col("v"), 5).alias("last")]
+    found = lanes.leave(lanes.rows.select("*", *columns)).orderBy("at").collect()
+    assert sorted(r.id for r in found) == list(range(300)) and found[0].asDict().keys() == {*rows.columns, "at", "cum", "last"}
+    for i, r in enumerate(found):
+        before = [x.v for x in found[:i]]
+        assert (r.at, r.cum, r["last"]) == (i + 1, sum(before) if i else None, sum(before[-5:]) if i else None)
+
+
 def test_few_entities_are_cut(spark):
     """A lane ends in at most one entity, so cuts are as many as lanes."""
     games = random_games(600, 40, 50, seed=4, hot_team=0.5)
