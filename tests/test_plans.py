@@ -138,3 +138,11 @@ def test_scratch_follows_the_checkpoint_setting(spark):
     shared = spark.conf.get(scale.CHECKPOINT_DIR)
     assert scale.scratch_path(spark, "x").startswith(f"{shared}/leaguelake/x-")
     assert scale.scratch_path(spark, "x") != scale.scratch_path(spark, "x")
+
+
+def test_cut_form_reads_few_files(spark):
+    """Lanes of 20 rows, as many files as partitions of a shuffle: each file is a task and a result for the driver."""
+    games = spark.createDataFrame(random_games(3000, 6, 40, seed=3), GAMES)
+    form = team_form(side_split(games), max_rows=20)
+    assert len(form.inputFiles()) <= 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert form.count() == 6000
