@@ -82,3 +82,11 @@ def test_batches_are_numbered_in_order(spark):
     assert whole == cut
     order = sorted(whole, key=lambda r: (r.game_date, r.game_id))
     assert [r.batch for r in order] == [i // 500 for i in range(1200)]
+
+
+def test_cut_numbering_reads_few_files(spark):
+    """Lanes of 20 rows do not make as many files, tasks and results for the driver."""
+    df = spark.range(10_000).selectExpr("id AS game_id", "DATE'2024-01-01' AS game_date")
+    cut = with_batch(df, batch_size=500, max_rows=20)
+    assert len(cut.inputFiles()) <= 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {(r.game_id, r.batch) for r in cut.collect()} == {(i, i // 500) for i in range(10_000)}
