@@ -20,6 +20,7 @@ HORIZON = 5
 AWAY_WEIGHT = 0.20
 B2B_WEIGHT = 0.20
 B2B_DAYS = 1
+FORMS_IN_TASK, FORMS_IN_DAY = 500_000, 1_000  # of a team and a day each; a day's are searched one by one
 
 
 def schedule_constants(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -91,7 +92,7 @@ def schedule_counts(
     return lanes.leave(rows.withColumns(counts))
 
 
-ROW, COMING = "__row", "__coming"
+ROW, COMING, WEIGHTS = "__row", "__coming", "__weights"
 _GAME = ("opponent_id", "is_home", "is_b2b")
 
 
@@ -106,33 +107,51 @@ def with_coming(lanes: Lanes, rows: DataFrame, horizon: int) -> DataFrame:
 def weighed(ahead: DataFrame, form: str, horizons: Sequence[int]) -> DataFrame:
     """Add the counts and the difficulty of the next games for every horizon, and drop the games.
 
-    ``ahead`` must be stored: it is read for the forms, the lookups and the result. All coming games
-    are looked up in one join and folded into one row before they return, whatever the horizon.
+    ``ahead`` must be stored: it is read for the forms, the lookups and the result. Forms are as many as
+    teams times days. While these are few, a row is joined with all forms of its day and looks its coming
+    games up there. Otherwise all coming games are looked up in one join and folded into one row before
+    they return, whatever the horizon. Both add up in the order of the games, so every run does so alike.
     """
     numbered = stored(ahead.withColumn(ROW, F.monotonically_increasing_id()), "ahead")
     # One row per team and day, and the distinct days it is asked for.
     known = daily_last(numbered, "team_id", "game_date", form, "game_id")
-    games = numbered.select(ROW, "game_date", F.posexplode(COMING).alias("i", "game")).select(
-        ROW, "game_date", "i", "game.*"
-    )
-    games = games.where(F.col("opponent_id").isNotNull())
-    probes = games.select(F.col("opponent_id").alias("team_id"), "game_date")
-    forms = stored(asof_last(probes, known, "team_id", "game_date", form), "forms")
-    of_opponent = forms.toDF("opponent_id", "game_date", "__form").where("__form IS NOT NULL")
-    weight = (
-        F.col("__form") * (1 + AWAY_WEIGHT * (1 - F.col("is_home"))) * (1 + B2B_WEIGHT * F.col("is_b2b"))
-    )
-    found = (
-        games.join(of_opponent, ["opponent_id", "game_date"])
-        .groupBy(ROW)
-        .agg(F.array_sort(F.collect_list(F.struct("i", weight.alias("w")))).alias("__weights"))
-    )
+    probes = numbered.select("game_date", F.explode(F.col(COMING)["opponent_id"]).alias("team_id"))
+    forms = stored(asof_last(probes.where("team_id IS NOT NULL"), known, "team_id", "game_date", form), "forms")
+    found = forms.where(F.col(form).isNotNull()).toDF("opponent_id", "game_date", "__form")
+    by_day = found.groupBy("game_date").agg(F.count(F.lit(1)).alias("n"))
+    total, most = by_day.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    few = total <= FORMS_IN_TASK and most <= FORMS_IN_DAY
+    rows = _looked_up(numbered, found) if few else _joined(numbered, found, max(horizons))
     columns = {}
     for h in horizons:
         columns |= {f"{name}_games_next{h}": _count(flag, h) for name, flag in _FLAGS.items()}
         columns[f"schedule_difficulty_next{h}"] = _mean_weight(h)
-    rows = numbered.join(found, ROW, "left").withColumns(columns)
-    return rows.drop(ROW, COMING, "__weights")
+    return rows.withColumns(columns).drop(ROW, COMING, WEIGHTS)
+
+
+def _weight(form: Column, game: Column) -> Column:
+    return form * (1 + AWAY_WEIGHT * (1 - game["is_home"])) * (1 + B2B_WEIGHT * game["is_b2b"])
+
+
+def _looked_up(numbered: DataFrame, forms: DataFrame) -> DataFrame:
+    """The weights of the coming games in order, NULL without a form, from the forms of each row's day."""
+    entry = F.struct("opponent_id", "__form")
+    days = forms.groupBy("game_date").agg(F.map_from_entries(F.collect_list(entry)).alias("__forms"))
+    rows = numbered.join(F.broadcast(stored(days, "days")), "game_date", "left")
+    weights = F.transform(COMING, lambda g: _weight(F.try_element_at("__forms", g["opponent_id"]), g))
+    return rows.withColumn(WEIGHTS, weights).drop("__forms")
+
+
+def _joined(numbered: DataFrame, forms: DataFrame, within: int) -> DataFrame:
+    """The same by one join, for any number of forms."""
+    games = numbered.select(ROW, "game_date", F.posexplode(COMING).alias("i", "game"))
+    games = games.withColumn("opponent_id", F.col("game.opponent_id")).where("opponent_id IS NOT NULL")
+    found = games.join(forms, ["opponent_id", "game_date"]).select(ROW, "i", _weight(F.col("__form"), F.col("game")).alias("w"))
+    # a number for each place and not a list: a task adds up as many rows as it gets
+    places = [F.max(F.when(F.col("i") == i, F.col("w"))).alias(f"__{i}") for i in range(within)]
+    rows = numbered.join(found.groupBy(ROW).agg(*places), ROW, "left")
+    names = [f"__{i}" for i in range(within)]
+    return rows.withColumn(WEIGHTS, F.array(*names)).drop(*names)
 
 
 _FLAGS = {
@@ -149,8 +168,8 @@ def _count(flag, horizon: int) -> Column:
 
 def _mean_weight(horizon: int) -> Column:
     """In the order of the games, so that every run adds up alike."""
-    near = F.filter("__weights", lambda x: x["i"] < horizon)
-    total = F.aggregate(near, F.lit(0.0), lambda s, x: s + x["w"])
+    near = F.filter(F.slice(WEIGHTS, 1, horizon), F.isnotnull)
+    total = F.aggregate(near, F.lit(0.0), lambda s, w: s + w)
     return F.when(F.size(near) > 0, total / F.size(near))
 
 

@@ -6,6 +6,7 @@ import pytest
 from league import GAMES, GOLDEN, expected_form, expected_strength, random_games
 from pyspark.sql import functions as F
 
+from leaguelake.operators import schedule
 from leaguelake.operators.dedup import latest_run
 from leaguelake.operators.form import prior_cumulative, team_form
 from leaguelake.operators.lanes import Timeline, enter
@@ -90,6 +91,24 @@ def test_form_equals_plain_python(spark, skew, max_rows):
     )
 
 
+@pytest.mark.parametrize("within", [{}, {"FORMS_IN_TASK": 0}, {"FORMS_IN_DAY": 1}])
+def test_strength_is_the_same_however_forms_are_found(spark, monkeypatch, within):
+    """Forms held by day, and forms joined with every coming game."""
+    for name, value in within.items():
+        monkeypatch.setattr(schedule, name, value)
+    games = random_games(150, 5, 40, seed=6, hot_team=0.3)
+    rows = schedule.form_and_strength(side_split(spark.createDataFrame(games, GAMES)), (2, 5))
+    assert ("posexplode" in rows._jdf.queryExecution().toString()) == bool(within)
+    assert not [c for c in rows.columns if c.startswith("__")]
+    for h in (2, 5):
+        names = [f"{n}_games_next{h}" for n in ("home", "away", "b2b")] + [f"schedule_difficulty_next{h}"]
+        found = {(r.game_id, r.team_id): tuple(r[c] for c in names) for r in rows.collect()}
+        expected = {k[:2]: v for k, v in expected_strength(games, h).items()}
+        assert found.keys() == expected.keys()
+        for key, want in expected.items():
+            assert found[key][:3] == want[:3] and found[key][3] == pytest.approx(want[3]), key
+
+
 @pytest.mark.parametrize("horizon", [5, 10])
 @pytest.mark.parametrize("max_rows", [None, 9])
 def test_strength_equals_plain_python(spark, horizon, max_rows):
