@@ -1,7 +1,7 @@
 """Exports of changes: what an index needs to follow a table, instead of all its documents again.
 
 Every export keeps the id and a content hash of each document in a table in parts. The next one compares
-ids and hashes only, writes action lines for documents that are new or differ and delete lines for ids
+ids and hashes only, writes action lines (gzip) for documents that are new or differ and delete lines for ids
 that are gone, and rewrites the parts of the hash table it touched. A changed document is sent whole, by
 the same action as a new one: a partial update would keep fields that have become NULL and are left out.
 
@@ -27,6 +27,7 @@ from leaguelake.sinks.parts import PART, PartTable
 
 ID, HASH, KIND = "__id", "__hash", "__kind"
 NEW, CHANGED, GONE, FAULTY = "new", "changed", "gone", "faulty"
+BROADCAST_IDS = 250_000
 
 
 @dataclass(frozen=True)
@@ -56,21 +57,24 @@ class ChangeExport:
         """Write the lines that turn the index as of the export before into ``df``."""
         spark = df.sparkSession
         doc = document(df, self.keep_nulls)
-        docs = df.select(self.document_id().alias(ID), doc.alias("doc"))
-        now = stored(docs.select(ID, F.unhex(F.sha2("doc", 256)).alias(HASH)), "hashes")
+        rows = df.withColumn(ID, self.document_id())
+        now = stored(rows.select(ID, F.unhex(F.sha2(doc, 256)).alias(HASH)), "hashes")
         before = self._hashes.read(spark, before=number)
-        if before is None:
+        first = before is None
+        if first:
             before = now.limit(0)
         changes = stored(_compared(before.select(ID, HASH), now), "changes")
         if not changes.where(F.col(KIND) == FAULTY).isEmpty():
             raise ValueError(f"documents of {self.index} without an id, or several with one")
 
-        sent = changes.where(F.col(KIND).isin(NEW, CHANGED)).select(ID)
-        line = F.concat(F.lit(self._opening("index")), _quoted(F.col(ID)), F.lit("}}\n"), F.col("doc"))
-        docs.join(sent, ID, "left_semi").select(line).write.mode("overwrite").text(self._lines("index", number))
+        if not first:  # else all documents are new
+            sent = changes.where(F.col(KIND).isin(NEW, CHANGED)).select(ID)
+            rows = rows.join(_unsorted(sent), ID, "left_semi")  # rows travel, not their documents
+        line = F.concat(F.lit(self._opening("index")), _quoted(F.col(ID)), F.lit("}}\n"), doc)
+        rows.select(line).write.mode("overwrite").text(self._lines("index", number), compression="gzip")
         line = F.concat(F.lit(self._opening("delete")), _quoted(F.col(ID)), F.lit("}}"))
         gone = changes.where(F.col(KIND) == GONE).select(line)
-        gone.write.mode("overwrite").text(self._lines("delete", number))
+        gone.write.mode("overwrite").text(self._lines("delete", number), compression="gzip")
 
         part = self._hashes.part_of()
         touched = {r[PART] for r in changes.select(part.alias(PART)).distinct().collect()}  # at most ``buckets``
@@ -95,6 +99,11 @@ class ChangeExport:
         return sent.unionByName(gone)
 
 
+def _unsorted(ids: DataFrame) -> DataFrame:
+    """Stored ids, to be joined without sorting the other side: its rows are long and would spill."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+
+
 def _quoted(text: Column) -> Column:
     """``text`` as a JSON string."""
     return F.regexp_extract(F.to_json(F.struct(text.alias("i")), {"writeNonAsciiCharacterAsCodePoint": "true"}), r"(?s)^\{\"i\":(.*)\}$", 1)
@@ -127,7 +136,8 @@ def applied(documents: DataFrame | None, changes: DataFrame) -> DataFrame:
     sent = changes.where(F.col("doc").isNotNull())
     if documents is None:
         return sent
-    return documents.join(changes.select("id"), "id", "left_anti").unionByName(sent)
+    ids = stored(changes.select("id"), "changed-ids")
+    return documents.join(_unsorted(ids), "id", "left_anti").unionByName(sent)
 
 
 def applied_all(spark: SparkSession, export: ChangeExport, numbers: Sequence[int]) -> DataFrame:

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from leaguelake.sinks import changes
 from leaguelake.sinks.changes import ChangeExport, applied_all
 
 SCHEMA = "game_id long, note string, score double, rest int"
@@ -90,3 +91,15 @@ def test_ids_of_several_columns_and_awkward_texts(spark, tmp_path):
         assert (d.get("a"), d.get("b")) == tuple(json.loads(i))
     export.write(df.where("a is not null"), 2)
     assert {tuple(json.loads(i)) for i in docs(applied_all(spark, export, [1, 2]))} == {r for r in rows if r[0] is not None}
+
+
+def test_large_changes_are_joined_without_sorting_documents(spark, export, monkeypatch):
+    monkeypatch.setattr(changes, "BROADCAST_IDS", 0)
+    export.write(table(spark, FIRST), 1)
+    export.write(table(spark, SECOND), 2)
+    held = applied_all(spark, export, [1, 2])
+    assert docs(held) == plain(SECOND)
+    text = held._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    files = [f for kind in ("index", "delete") for f in spark.read.text(export._lines(kind, 1)).inputFiles()]
+    assert files and all(f.endswith(".gz") for f in files)
